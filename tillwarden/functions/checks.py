@@ -37,4 +37,4 @@ def mask_pan(cc_no: Column | str) -> Column:
 def has_4dp(number_text: Column | str) -> Column:
     """At most four decimals in the text of a number, trailing zeros aside; NULL text passes."""
     exact = _col(number_text).cast("string").try_cast("decimal(38,18)")
-    return F.coalesce(exact == exact.cast("decimal(38,4)"), F.lit(True))
+    return F.coalesce(exact == exact.cast("decimal(24,4)"), F.lit(True))

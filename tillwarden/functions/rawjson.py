@@ -77,7 +77,7 @@ def long_scale(raw: Column | str) -> Column:
 
     def too_long(text: Column) -> Column:
         exact = text.try_cast("decimal(38,18)")
-        return F.coalesce(exact != exact.cast("decimal(38,4)"), F.lit(False))
+        return F.coalesce(exact != exact.cast("decimal(24,4)"), F.lit(False))
 
     def any_too_long(rows: Column, name: str) -> Column:
         hit = F.exists(rows, lambda m: too_long(F.element_at(m, name)))

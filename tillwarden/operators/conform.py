@@ -37,11 +37,15 @@ def conform_types(df: DataFrame, table: str, extra: list[str] | None = None) ->
 
 
 def with_keys(rtlog: DataFrame) -> DataFrame:
-    """Add record key, day number and surrogate keys to nested records."""
+    """Add record key, day number and surrogate keys to nested records.
+
+    Landed records carry their key already; it is computed only where missing.
+    """
     head = F.col("tran_head")
+    if "record_key" not in rtlog.columns:
+        rtlog = rtlog.withColumn("record_key", K.record_key())
     return (
-        rtlog.withColumn("record_key", K.record_key())
-        .withColumn("day", K.day_number(head["business_date"]))
+        rtlog.withColumn("day", K.day_number(head["business_date"]))
         .withColumn("store_day_seq_no", K.surrogate(head["store"], head["business_date"]))
         .withColumn("tran_seq_id", K.surrogate("record_key"))
     )
@@ -103,61 +107,51 @@ def nest_rtlog(
     that carry the same header; nothing is dropped.
     """
     names = list(CHILDREN)
-    parts = []
-    for child in names:
-        if child not in child_rows:
-            continue
+    given = [c for c in names if c in child_rows]
+    stacked = None
+    for child in given:
         rows = child_rows[child]
         ddl, numbering = CHILDREN[child]
-        fields = struct_of(ddl)
-        have = set(rows.columns)
-        element = F.struct(
-            *[
-                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in fields
-            ]
-        )
-        order = F.struct(*[F.col(n) for n in numbering])
         part = F.floor((F.coalesce(F.col(numbering[-1]), F.lit(1)) - 1) / LINES_PER_RECORD)
-        grouped = (
-            rows.groupBy(F.col(key), F.greatest(part, F.lit(0)).cast("int").alias("part"))
-            .agg(
-                F.sort_array(
-                    F.collect_list(F.struct(order.alias("_o"), element.alias("_e")))
-                ).alias("_rows")
-            )
-            .select(key, "part", F.transform("_rows", lambda x: x["_e"]).alias(child))
+        one = rows.select(
+            F.col(key),
+            F.greatest(part, F.lit(0)).cast("int").alias("part"),
+            F.struct(
+                F.struct(*[F.col(n) for n in numbering]).alias("_o"), _typed(rows, ddl).alias("_e")
+            ).alias(child),
         )
-        parts.append((child, grouped))
-
-    h = head.withColumn("part", F.lit(0))
-    if parts:
-        # continuation records: parts beyond 0 that any child has
-        more = reduce(
-            DataFrame.unionByName,
-            [g.filter("part > 0").select(key, "part") for _, g in parts],
-        ).distinct()
-        h = h.unionByName(head.join(more, key).select(*head.columns, "part"))
-    head_fields = struct_of(HEAD_DDL)
-    have = set(h.columns)
-    out = h.select(
+        stacked = one if stacked is None else stacked.unionByName(one, allowMissingColumns=True)
+    out = head
+    if stacked is not None:
+        # all children of a transaction meet in one aggregation
+        grouped = stacked.groupBy(key, "part").agg(
+            *[F.sort_array(F.collect_list(c)).alias(c) for c in given]
+        )
+        out = head.join(grouped, key, "left")
+    arrays = []
+    for child in names:
+        empty = F.array().cast(f"array<{struct_of(CHILDREN[child][0]).simpleString()}>")
+        if child in given:
+            empty = F.coalesce(F.transform(child, lambda x: x["_e"]), empty)
+        arrays.append(empty.alias(child))
+    return out.select(
         key,
-        "part",
-        F.col("rtlog_orig_sys"),
-        F.struct(
-            *[
-                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in head_fields
-            ]
-        ).alias("tran_head"),
+        (F.coalesce("part", F.lit(0)) if given else F.lit(0)).alias("part"),
+        "rtlog_orig_sys",
+        _typed(head, HEAD_DDL).alias("tran_head"),
+        *arrays,
+    )
+
+
+def _typed(df: DataFrame, ddl: str) -> Column:
+    """A struct of the DDL's fields; fields the frame lacks are typed NULLs."""
+    have = set(df.columns)
+    return F.struct(
+        *[
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in struct_of(ddl)
+        ]
     )
-    for child, grouped in parts:
-        out = out.join(grouped, [key, "part"], "left")
-    for child in names:
-        ddl, _ = CHILDREN[child]
-        empty = F.array().cast(f"array<{struct_of(ddl).simpleString()}>")
-        out = out.withColumn(child, F.coalesce(F.col(child), empty) if child in out.columns else empty)
-    return out.select(key, "part", "rtlog_orig_sys", "tran_head", *names)
 
 
 # --------------------------------------------------------------------------
