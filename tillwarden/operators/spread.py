@@ -32,27 +32,34 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 def with_repeated_key(df: DataFrame, keys: list[str], count_col: str = "n_rows") -> DataFrame:
     """Rows whose key occurs more than once, with the number of occurrences.
 
-    Counting combines on the map side.  Hot keys (few by construction) reach
-    the rows by broadcast; the remaining repeated keys by a shuffled join in
-    which no key is larger than 1/HOT_FRACTION of the table.
+    Counting combines on the map side.  Counts of hot keys (few by
+    construction) reach the rows by broadcast; all other repeated keys by a
+    join in which no key is larger than 1/HOT_FRACTION of the table.  If that
+    join shuffles, hot rows take part under the number of their input
+    partition, so they stay spread; the rows are scanned once.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-    total = counts.agg(F.sum(count_col)).scalar()
-    is_hot = F.col(count_col) * HOT_FRACTION > total
-    hot = counts.filter(is_hot)
-    repeated = counts.filter((F.col(count_col) > 1) & ~is_hot)
-
-    h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col(count_col).alias("_hot_n"))
-    on_hot = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    marked = df.join(F.broadcast(h), on_hot, "left")
-    from_hot = marked.filter(F.col("_hot_n") > 1).select(
-        *[F.col(c) for c in df.columns], F.col("_hot_n").alias(count_col)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    is_hot = F.col("_n") * HOT_FRACTION > total
+
+    def renamed(prefix: str) -> list[Column]:
+        return [F.col(k).alias(f"{prefix}{k}") for k in keys]
+
+    def match(prefix: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+    hot = counts.filter(is_hot).select(*renamed("_h_"), F.col("_n").alias("_hot_n"))
+    # pmod(n, 1) is 0; a plain literal would be folded out of the join key
+    rest = counts.filter((F.col("_n") > 1) & ~is_hot).select(
+        *renamed("_r_"), F.col("_n").alias("_rest_n"), F.pmod("_n", F.lit(1)).alias("_r_salt")
+    )
+    marked = df.join(F.broadcast(hot), match("_h_"), "left").withColumn(
+        "_salt",
+        F.when(F.col("_hot_n").isNotNull(), F.spark_partition_id() + 1).otherwise(0).cast("long"),
     )
-    cold = marked.filter(F.col("_hot_n").isNull()).select(*df.columns)
-    r = repeated.select(*[F.col(k).alias(f"_r_{k}") for k in keys], count_col)
-    on_cold = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    from_cold = cold.join(r, on_cold).select(*df.columns, count_col)
-    return from_hot.unionByName(from_cold)
+    joined = marked.join(rest, match("_r_") & (F.col("_salt") == F.col("_r_salt")), "left")
+    n = F.coalesce("_hot_n", "_rest_n")
+    return joined.filter(n > 1).select(*df.columns, n.alias(count_col))
 
 
 def with_row_number(
