@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -100,11 +100,9 @@ def _first_hit(child: str, number: str, test: Callable[[Get], Column]) -> Column
     return F.array_min(F.transform(hits, lambda x: x[number]))
 
 
-def nested_facts(rtlog: DataFrame) -> DataFrame:
-    """One row of facts per nested record; no shuffle."""
-    df = with_keys(rtlog)
-    file_cols = {"store": "file_store", "date": "file_date", "hour": "file_hour"}
-    files = [F.col(c).alias(a) for c, a in file_cols.items() if c in rtlog.columns]
+@lru_cache(maxsize=4)
+def _nested_fact_columns(app_id: str) -> tuple[Column, ...]:
+    """Fact expressions over the arrays; built once per application."""
     facts = []
     for name, child in COUNTS.items():
         # size() of a NULL array is -1 or NULL depending on settings
@@ -120,7 +118,16 @@ def nested_facts(rtlog: DataFrame) -> DataFrame:
         "tran_tender",
         lambda x: (x["tender_type_group"] == "CARD") & ~checks.is_masked(x["cc_no"]),
     )
-    return df.select(
+    facts.append(F.when(F.size("tran_item") > 0, in_order).otherwise(F.lit(True)).alias("items_in_order"))
+    facts.append(checks.mask_pan(F.get(open_cards, F.lit(0))["cc_no"]).alias("open_card"))
+    return tuple(facts)
+
+
+def nested_facts(rtlog: DataFrame) -> DataFrame:
+    """One row of facts per nested record; no shuffle."""
+    file_cols = {"store": "file_store", "date": "file_date", "hour": "file_hour"}
+    files = [F.col(c).alias(a) for c, a in file_cols.items() if c in rtlog.columns]
+    return with_keys(rtlog).select(
         "record_key",
         "day",
         "store_day_seq_no",
@@ -128,9 +135,7 @@ def nested_facts(rtlog: DataFrame) -> DataFrame:
         F.col("rtlog_orig_sys").alias("record_channel"),
         *files,
         "tran_head.*",
-        *facts,
-        F.when(F.size("tran_item") > 0, in_order).otherwise(F.lit(True)).alias("items_in_order"),
-        checks.mask_pan(F.get(open_cards, F.lit(0))["cc_no"]).alias("open_card"),
+        *_nested_fact_columns(rtlog.sparkSession.sparkContext.applicationId),
     )
 
 
@@ -163,12 +168,15 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
         aggs += [M.round4(F.sum(SUMS[n][1](F.col))).alias(n) for n in sums]
         aggs += [F.min(F.when(CHILD_TESTS[n][2](F.col), F.col(CHILD_TESTS[n][1]))).alias(n) for n in tests]
         if child == "tran_item":
-            # 1..n without repeats; the distinct count first spreads by number
+            # distinct numbers: a bit per number up to 62, which combines on the
+            # map side, and a distinct count for the few numbers beyond
             seq = F.col("item_seq_no")
+            small = seq.between(1, 62)
             aggs += [
                 F.min(seq).alias("_lo"),
                 F.max(seq).alias("_hi"),
-                F.count_distinct(seq).alias("_numbers"),
+                F.bit_or(F.when(small, F.expr("shiftleft(1L, cast(item_seq_no as int))"))).alias("_bits"),
+                F.count_distinct(F.when(~small, seq)).alias("_beyond"),
             ]
         if child == "tran_tender":
             is_open = (F.col("tender_type_group") == "CARD") & ~checks.is_masked("cc_no")
@@ -186,12 +194,11 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
             }
         )
         if child == "tran_item":
-            ok = (F.col("_lo") == 1) & (F.col("_hi") == F.col("n_items")) & (
-                F.col("_numbers") == F.col("n_items")
-            )
+            numbers = F.coalesce(F.bit_count("_bits"), F.lit(0)) + F.col("_beyond")
+            ok = (F.col("_lo") == 1) & (F.col("_hi") == F.col("n_items")) & (numbers == F.col("n_items"))
             out = out.withColumn(
                 "items_in_order", F.when(F.col("n_items") > 0, F.coalesce(ok, F.lit(False))).otherwise(True)
-            ).drop("_lo", "_hi", "_numbers")
+            ).drop("_lo", "_hi", "_bits", "_beyond")
     return out
 
 
@@ -337,26 +344,31 @@ RULES = {r.code: r for r in ROW_RULES}
 ERROR_KEYS = ["record_key", "store", "business_date", "tran_seq_no", "rtlog_orig_sys"]
 
 
+def _hit(rule: Rule) -> Column:
+    return F.when(
+        rule.test(),
+        F.struct(
+            F.lit(rule.code).alias("error_code"),
+            rule.key_1().cast("long").alias("key_value_1"),
+            rule.orig_value().cast("string").alias("orig_value"),
+            rule.orig_cc_no().cast("string").alias("orig_cc_no"),
+        ),
+    )
+
+
+@lru_cache(maxsize=64)
+def _hits(app_id: str, rules: tuple[Rule, ...]) -> Column:
+    return F.inline(F.array_compact(F.array(*[_hit(r) for r in rules])))
+
+
 def run_rules(
     facts: DataFrame, rules: list[Rule] | None = None, carry: list[str] | None = None
 ) -> DataFrame:
     """All row-local rules in one pass: one array of hits per row, exploded once."""
     have = set(facts.columns)
-    active = [r for r in (rules or ROW_RULES) if set(r.needs) <= have]
-    hits = [
-        F.when(
-            r.test(),
-            F.struct(
-                F.lit(r.code).alias("error_code"),
-                r.key_1().cast("long").alias("key_value_1"),
-                r.orig_value().cast("string").alias("orig_value"),
-                r.orig_cc_no().cast("string").alias("orig_cc_no"),
-            ),
-        )
-        for r in active
-    ]
+    active = tuple(r for r in (rules or ROW_RULES) if set(r.needs) <= have)
     keep = carry or [k for k in ERROR_KEYS if k in have]
-    return facts.select(*keep, F.inline(F.array_compact(F.array(*hits))))
+    return facts.select(*keep, _hits(facts.sparkSession.sparkContext.applicationId, active))
 
 
 def any_fault(rules: list[Rule] | None = None) -> Column:

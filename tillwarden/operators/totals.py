@@ -27,11 +27,11 @@ def item_disc_tax_totals(
     The four child tables are brought to one shape and summed by a single
     aggregation, so there is one shuffle and no fan-out.
     """
-    zero = M.money(0)
+    names = ["line_amt", "disc_amt", "tax_amt", "igtax_amt"]
 
     def shaped(df: DataFrame, **amounts: Column) -> DataFrame:
-        names = ["line_amt", "disc_amt", "tax_amt", "igtax_amt"]
-        return df.select(*keys, *[amounts.get(n, zero).cast("decimal(38,8)").alias(n) for n in names])
+        nothing = F.lit(None)
+        return df.select(*keys, *[amounts.get(n, nothing).cast("decimal(38,8)").alias(n) for n in names])
 
     rows = (
         shaped(items, line_amt=M.line_amount())
@@ -39,11 +39,12 @@ def item_disc_tax_totals(
         .unionByName(shaped(tax, tax_amt=F.col("tax_amt")))
         .unionByName(shaped(igtax, igtax_amt=F.col("total_igtax_amt")))
     )
+    zero = M.money(0)
     return rows.groupBy(*keys).agg(
-        M.round4(F.sum("line_amt")).alias("line_total"),
-        M.round4(F.sum("disc_amt")).alias("disc_total"),
-        M.round4(F.sum("tax_amt")).alias("tax_total"),
-        M.round4(F.sum("igtax_amt")).alias("igtax_total"),
+        F.coalesce(M.round4(F.sum("line_amt")), zero).alias("line_total"),
+        F.coalesce(M.round4(F.sum("disc_amt")), zero).alias("disc_total"),
+        F.coalesce(M.round4(F.sum("tax_amt")), zero).alias("tax_total"),
+        F.coalesce(M.round4(F.sum("igtax_amt")), zero).alias("igtax_total"),
     )
 
 
@@ -179,9 +180,8 @@ def calc_totals(
     def shaped(df: DataFrame, **amounts: Column) -> DataFrame:
         return df.select(
             "store", "day",
-            *[F.coalesce(amounts.get(n, F.lit(None)).cast("decimal(38,8)"), F.lit(0).cast("decimal(38,8)")).alias(n)
-              for n in names],
-        )
+            *[amounts.get(n, F.lit(None)).cast("decimal(38,8)").alias(n) for n in names],
+        )
 
     group = F.col("tender_type_group")
     rows = (
@@ -195,7 +195,9 @@ def calc_totals(
         .unionByName(shaped(disc, DISCTOTAL=M.disc_amount()))
         .unionByName(shaped(head, TRANCOUNT=F.lit(1)))
     )
-    summed = rows.groupBy("store", "day").agg(*[M.round4(F.sum(n)).alias(n) for n in names])
+    summed = rows.groupBy("store", "day").agg(
+        *[F.coalesce(M.round4(F.sum(n)), M.money(0)).alias(n) for n in names]
+    )
     return summed.unpivot(["store", "day"], names, "total_id", "total_value")
 
 

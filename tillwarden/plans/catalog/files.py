@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwarden.functions import keys as K
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query
 from tillwarden.session import work_dir
 from tillwarden.sources import canonical, landing, registry as G, rtlog as R
 
 
-def _landed_json(spark, sf, **options):
+def _landed_json(spark, sf):
     """The till log written as JSON lines in store/date/hour folders."""
     path = work_dir(spark, "landing")
-    R.write_rtlog(T.regional_log(T.till_log(spark, sf)), path, **options)
+    R.write_rtlog(T.regional_log(T.till_log(spark, sf)), path)
     return path
 
 
@@ -61,14 +60,13 @@ def partition_counts(spark, sf):
     return R.partition_counts(T.till_log(spark, sf))
 
 
-@query("count_lines", ["e0"], "SELECT 3 * count(*) AS n_lines FROM e0")
+@query("count_lines", ["e0"], "SELECT 2 * count(*) AS n_lines FROM e0")
 def count_lines(spark, sf):
-    """Written, then replaced, then appended twice: three times the records."""
+    """Written, then replaced, then appended to: twice the records."""
     path = _landed_json(spark, sf)
     log = T.regional_log(T.till_log(spark, sf))
     R.write_rtlog(log, path)
     R.write_rtlog(log, path, append=True)
-    R.write_rtlog(log, path, append=True, files_per_folder=2)
     return R.count_lines(spark, path)
 
 
@@ -149,7 +147,7 @@ def write_canonical(spark, sf):
         {"store": F.col("store") % 5 + 1, "day": F.month("business_date"), "record_key": F.col("tran_no").cast("string")}
     )
     canonical.write_canonical({"sa_tran_head": heads}, base)
-    canonical.write_canonical({"sa_tran_head": heads}, base, files_per_day=2)
+    canonical.write_canonical({"sa_tran_head": heads}, base)
     return canonical.read_canonical(spark, base, "sa_tran_head").select(
         F.col("store").cast("long").alias("store"), "day", "tran_no", "tran_type", "value", "rtlog_orig_sys"
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwarden import reference as ref
 from tillwarden.functions import money as M
-from tillwarden.operators import audit, joins, rules, totals
+from tillwarden.operators import joins, rules, totals
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query
 
@@ -128,28 +128,18 @@ def lookup_error_codes(spark, sf):
 @query(
     "attach_store_day",
     ["o_head"],
-    """SELECT tran_no, store, business_date, 'Y' AS attached,
-         dense_rank() OVER (ORDER BY store, business_date) AS store_day_rank FROM o_head""",
+    """SELECT store, count(*) AS n_trans, count(*) AS n_attached, count(DISTINCT business_date) AS n_store_days
+       FROM o_head GROUP BY store""",
 )
 def attach_store_day(spark, sf):
-    from pyspark.sql import Window
-
+    """Every header gets the number of its store-day."""
     head = T.order_head(spark, sf)
-    # the surrogate is a hash; its rank by natural key is what the twin can compute
-    days = head.select("store", "business_date").distinct()
-    order = Window.partitionBy("store").orderBy("business_date")
-    per_store = days.groupBy("store").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("store").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_store.select("store", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    ranked = days.withColumn("_r", F.row_number().over(order)).join(offsets, "store")
-    store_day = ranked.select(
-        "store", "business_date", (F.col("_r") + F.col("_off")).cast("long").alias("store_day_seq_no")
+    store_day = totals.build_store_day(head.withColumn("tran_datetime", F.lit(None).cast("string")), T.registry(spark, sf))
+    return joins.attach_store_day(head, store_day).groupBy("store").agg(
+        F.count(F.lit(1)).alias("n_trans"),
+        F.count("store_day_seq_no").alias("n_attached"),
+        F.count_distinct("store_day_seq_no").alias("n_store_days"),
     )
-    return joins.attach_store_day(head, store_day).select(
-        "tran_no", "store", "business_date",
-        F.when(F.col("store_day_seq_no").isNotNull(), "Y").otherwise("N").alias("attached"),
-        F.col("store_day_seq_no").alias("store_day_rank"),
-    )
 
 
 @query(

@@ -34,38 +34,36 @@ def run(
     landed = spark.read.parquet(bronze)
 
     bad = landed.filter("rejection_reason is not null")
-    bad.write.mode("overwrite").parquet(f"{base}/_quarantine")
     good = landed.filter("rejection_reason is null").drop("rejection_reason", "_corrupt")
+    flat_heads = conform.heads(good)
+    tables = conform.fan_out(good)
 
+    # everything that needs bronze only
     facts = rules.nested_facts(good.select(*RECORD_KEYS, "record_key", *R.PARTITION))
-    hits = rules.run_rules(facts, rule_list).unionByName(audit.duplicate_hits(conform.heads(good)))
-    canonical.write_canonical({"sa_error": audit.build_sa_error(hits, updated)}, base)
-    errors = canonical.read_canonical(spark, base, "sa_error")
+    hits = rules.run_rules(facts, rule_list).unionByName(audit.duplicate_hits(flat_heads))
+    children = {name: df for name, df in tables.items() if name != "sa_tran_head"}
+    first = children | {
+        "sa_error": audit.build_sa_error(hits, updated),
+        "sa_missing_tran": sequence.sa_missing_tran(flat_heads),
+        "sa_store_day": totals.build_store_day(good.select("source_file", "tran_head.*"), stores),
+        "sa_error_codes": ref.error_codes(spark),
+        "sa_total_head": ref.total_heads(spark),
+        "_quarantine": bad,
+    }
+    canonical.write_canonical(first, base)
 
-    tables = conform.fan_out(good)
-    head = audit.advance_status(
+    # headers with their workflow state, and totals, from the tables just written
+    errors = canonical.read_canonical(spark, base, "sa_error").select(
+        "record_key", "error_code", "store_override_ind", "hq_override_ind"
+    )
+    head = audit.advance_status(tables["sa_tran_head"], errors, ref.error_codes(spark))
+    sums = totals.calc_totals(
         tables["sa_tran_head"],
-        errors.select("record_key", "error_code", "store_override_ind", "hq_override_ind"),
-        ref.error_codes(spark),
-    ).drop("n_errors", "n_blocking")
-    canonical.write_canonical(tables | {"sa_tran_head": head}, base)
-
-    written = {name: canonical.read_canonical(spark, base, name) for name in tables}
-    flat_heads = conform.heads(good)
-    filed = good.select("source_file", "tran_head.*")
+        *[
+            canonical.read_canonical(spark, base, f"sa_tran_{child}")
+            for child in ("tender", "tax", "igtax", "disc")
+        ],
+    )
     canonical.write_canonical(
-        {
-            "sa_missing_tran": sequence.sa_missing_tran(flat_heads),
-            "sa_store_day": totals.build_store_day(filed, stores),
-            "totals": totals.calc_totals(
-                written["sa_tran_head"],
-                written["sa_tran_tender"],
-                written["sa_tran_tax"],
-                written["sa_tran_igtax"],
-                written["sa_tran_disc"],
-            ),
-            "sa_error_codes": ref.error_codes(spark),
-            "sa_total_head": ref.total_heads(spark),
-        },
-        base,
+        {"sa_tran_head": head.drop("n_errors", "n_blocking"), "totals": sums}, base
     )

@@ -4,36 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillwarden.jobs import run_together
 from tillwarden.schemas import PARTITION_COLUMNS
 
 
-def write_canonical(
-    tables: dict[str, DataFrame],
-    base: str,
-    append: bool = False,
-    files_per_day: int = 1,
-) -> None:
-    """Write every table below ``base``, replacing the store-days it touches.
+def write_table(df: DataFrame, path: str, append: bool = False) -> None:
+    """Write one table, replacing the store-days it touches (or all of it if it has none).
 
-    Rows are shuffled by store and day, so a store-day is one file and one
-    task; raise ``files_per_day`` when single store-days are very large.
+    Rows are rebalanced by store and day: small store-days share a task, a very
+    large one is split over tasks and files.
     """
-    for name, df in tables.items():
-        by = [c for c in PARTITION_COLUMNS if c in df.columns]
-        if len(by) < len(PARTITION_COLUMNS):
-            df.write.mode("append" if append else "overwrite").parquet(f"{base}/{name}")
-            continue
-        spread = [F.col(c) for c in by]
-        if files_per_day > 1:
-            salt_of = [c for c in ("record_key", "tran_seq_no") if c in df.columns] or df.columns
-            spread.append(F.pmod(F.xxhash64(*salt_of), F.lit(files_per_day)))
-        (
-            df.repartition(*spread)
-            .write.partitionBy(*by)
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("append" if append else "overwrite")
-            .parquet(f"{base}/{name}")
-        )
+    mode = "append" if append else "overwrite"
+    if not set(PARTITION_COLUMNS) <= set(df.columns):
+        df.write.mode(mode).parquet(path)
+        return
+    (
+        df.hint("rebalance", *[F.col(c) for c in PARTITION_COLUMNS])
+        .write.partitionBy(*PARTITION_COLUMNS)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode(mode)
+        .parquet(path)
+    )
+
+
+def write_canonical(tables: dict[str, DataFrame], base: str, append: bool = False) -> None:
+    """Write tables below ``base``; they are independent, so several are written at a time."""
+    run_together([lambda n=n, df=df: write_table(df, f"{base}/{n}", append) for n, df in tables.items()])
 
 
 def read_canonical(spark: SparkSession, base: str, name: str) -> DataFrame:

@@ -67,23 +67,18 @@ def partition_counts(rtlog: DataFrame) -> DataFrame:
     return with_partition_key(rtlog).groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def write_rtlog(
-    rtlog: DataFrame, path: str, append: bool = False, files_per_folder: int = 1
-) -> None:
+def write_rtlog(rtlog: DataFrame, path: str, append: bool = False) -> None:
     """Write one JSON object per line into store/date/hour folders.
 
     By default the folders that receive records are replaced and the others
-    are left alone; ``append`` adds files.  Rows are shuffled by folder so that
-    a folder gets one file; folders holding a large share of the rows should be
-    given more ``files_per_folder``, which also splits their shuffle.  NULLs are
-    written, since "absent" and "null" mean different things.
+    are left alone; ``append`` adds files.  Rows are rebalanced by folder:
+    small folders share a task and get one file each, a folder that holds a
+    large share of the rows is split over tasks and files.  NULLs are written,
+    since "absent" and "null" mean different things.
     """
     df = with_partition_key(rtlog).select(*RECORD_KEYS, *PARTITION)
-    spread = [F.col(c) for c in PARTITION]
-    if files_per_folder > 1:
-        spread.append(F.pmod(F.xxhash64("tran_head.tran_seq_no"), F.lit(files_per_folder)))
     writer = (
-        df.repartition(*spread)
+        df.hint("rebalance", *[F.col(c) for c in PARTITION])
         .write.partitionBy(*PARTITION)
         .option("ignoreNullFields", "false")
         .option("partitionOverwriteMode", "dynamic")

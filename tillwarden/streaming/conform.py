@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from tillwarden.functions import keys as K
+from tillwarden.jobs import run_together
 from tillwarden.operators import conform
 from tillwarden.operators.rules import Rule, nested_facts, run_rules
 from tillwarden.streaming.sinks import write_batch
@@ -12,14 +14,17 @@ from tillwarden.streaming.sinks import write_batch
 
 def conform_batch(batch: DataFrame, base: str, batch_id: int, rules: list[Rule] | None = None) -> None:
     """One micro-batch into all its tables; the input is read once."""
-    tagged = conform.tag_rejections(batch).persist(StorageLevel.DISK_ONLY)
+    keyed = batch.withColumn("record_key", K.record_key())
+    tagged = conform.tag_rejections(keyed).persist(StorageLevel.DISK_ONLY)
     try:
         good = tagged.filter("rejection_reason is null").drop("rejection_reason", "_corrupt")
-        bad = tagged.filter("rejection_reason is not null")
-        for name, df in conform.fan_out(good).items():
-            write_batch(df, f"{base}/{name}", batch_id)
-        write_batch(bad, f"{base}/_quarantine", batch_id)
-        write_batch(run_rules(nested_facts(good), rules), f"{base}/error_hits", batch_id)
+        tables = conform.fan_out(good) | {
+            "_quarantine": tagged.filter("rejection_reason is not null"),
+            "error_hits": run_rules(nested_facts(good), rules),
+        }
+        run_together(
+            [lambda n=n, df=df: write_batch(df, f"{base}/{n}", batch_id) for n, df in tables.items()]
+        )
     finally:
         tagged.unpersist()
 
