@@ -1,9 +1,9 @@
 """Look-ups, referential checks and enrichment.
 
-Seed dimensions have a fixed number of rows and are broadcast by hint.  All
-other tables are joined without a hint: Catalyst broadcasts a side only when
-its estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and uses
-a shuffled join beyond, in which adaptive execution splits skewed keys.
+No side is forced to broadcast here.  Catalyst broadcasts a side whose known
+size is under ``spark.sql.autoBroadcastJoinThreshold`` (the seed tables are
+local relations of a few rows) and uses a shuffled join beyond, in which
+adaptive execution splits skewed keys.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ def lookup_product(items: DataFrame, products: DataFrame) -> DataFrame:
 
 def lookup_promo(disc: DataFrame, promotions: DataFrame) -> DataFrame:
     p = promotions.select(F.col("promotion").alias("_promo"), "disc_pct")
-    return disc.join(F.broadcast(p), F.col("promotion") == F.col("_promo"), "left").drop("_promo")
+    return disc.join(p, F.col("promotion") == F.col("_promo"), "left").drop("_promo")
 
 
 def lookup_tender_type(tender: DataFrame, tender_types: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def lookup_tender_type(tender: DataFrame, tender_types: DataFrame) -> DataFrame:
         F.col("tender_type_id").alias("_tt"),
         F.col("tender_type_group").alias("expected_group"),
     )
-    return tender.join(F.broadcast(t), F.col("tender_type_id") == F.col("_tt"), "left").drop("_tt")
+    return tender.join(t, F.col("tender_type_id") == F.col("_tt"), "left").drop("_tt")
 
 
 def price_band_check(
@@ -124,7 +124,7 @@ def lookup_error_codes(errors: DataFrame, error_codes: DataFrame) -> DataFrame:
         F.col("store_override_ind").alias("store_may_override"),
         F.col("hq_override_ind").alias("hq_may_override"),
     )
-    return errors.join(F.broadcast(e), F.col("error_code") == F.col("_ec"), "left").drop("_ec")
+    return errors.join(e, F.col("error_code") == F.col("_ec"), "left").drop("_ec")
 
 
 def attach_store_day(head: DataFrame, store_day: DataFrame) -> DataFrame:

@@ -122,10 +122,10 @@ def assign_counters(
     df: DataFrame,
     group: list[str],
     order: list[Column],
-    bucket: Column,
+    bucket: Column | None = None,
     out: str = "tran_no",
 ) -> DataFrame:
-    """Running numbers 1..n per group in a total order."""
+    """Running numbers 1..n per group in a total order (see ``with_row_number``)."""
     return spread.with_row_number(df, group, order, bucket, out)
 
 
@@ -160,6 +160,23 @@ def head_revisions(
     return numbered.withColumn("rev_no", F.col("_version") - 1).drop("_version")
 
 
+def sa_tran_head_rev(versions: DataFrame, compare: list[str]) -> DataFrame:
+    """Revision table in canonical form, from versions of conformed headers.
+
+    ``versions`` has the canonical header columns and ``record_key``.
+    """
+    from tillwarden.operators.conform import conform_types
+
+    revs = head_revisions(
+        versions.drop("rev_no"),
+        ["record_key"],
+        ["update_datetime"],
+        F.date_trunc("day", "update_datetime"),
+        compare,
+    )
+    return conform_types(revs, "sa_tran_head_rev", ["record_key"])
+
+
 def as_of_revision(
     revisions: DataFrame, key: list[str], at: Column, order: list[str], updated: str = "update_datetime"
 ) -> DataFrame:

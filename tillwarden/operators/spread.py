@@ -18,6 +18,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillwarden.session import work_dir
+
 # A key is hot when it holds more than 1/HOT_FRACTION of all rows.  At most
 # HOT_FRACTION - 1 keys can do so, whatever the data, so the list of hot keys
 # is always small enough to broadcast.
@@ -62,14 +64,42 @@ def with_repeated_key(df: DataFrame, keys: list[str], count_col: str = "n_rows")
     return joined.filter(n > 1).select(*df.columns, n.alias(count_col))
 
 
+def _in_ranges(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
+    """The rows cut into even ranges of (group, order), written with ``_bucket``.
+
+    Range bounds come from sampling and would differ between two evaluations,
+    so the cut is written down once.  Ties are cut by input position.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, "ranges")
+    by = [F.col(g) for g in group]
+    (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*by, *order, F.col("_tie"))
+        .withColumn("_bucket", F.spark_partition_id())
+        .write.parquet(path)
+    )
+    return spark.read.parquet(path)
+
+
 def with_row_number(
-    df: DataFrame, group: list[str], order: list[Column], bucket: Column, out: str = "row_no"
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    bucket: Column | None = None,
+    out: str = "row_no",
 ) -> DataFrame:
     """``row_number()`` of every group in ``order``, computed bucket by bucket.
 
-    ``bucket`` must not decrease along ``order``.
+    ``bucket`` must not decrease along ``order``; give one where the order
+    has a natural coarse form that keeps buckets small.  Without it the rows
+    are first cut into even ranges, which costs one written table and holds
+    for any distribution.
     """
-    rows = df.withColumn("_bucket", bucket)
+    if bucket is None:
+        rows, order = _in_ranges(df, group, order), [*order, F.col("_tie")]
+    else:
+        rows = df.withColumn("_bucket", bucket)
     sizes = rows.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1

@@ -71,7 +71,7 @@ def type_mix(head: DataFrame) -> DataFrame:
     counts = head.groupBy("tran_type").agg(F.count(F.lit(1)).alias("n_trans"))
     return (
         counts.withColumn("n_all", counts.agg(F.sum("n_trans")).scalar())
-        .join(F.broadcast(ref.type_mix(spark)), "tran_type", "left")
+        .join(ref.type_mix(spark), "tran_type", "left")
         .withColumn("share_bp", F.expr("n_trans * 10000 div n_all"))
     )
 
@@ -86,7 +86,7 @@ def tender_mix(tender: DataFrame) -> DataFrame:
     expected = ref.tender_types(spark).select("tender_type_id", "expected_pct")
     return (
         g.withColumn("n_all", g.agg(F.sum("n_tenders")).scalar())
-        .join(F.broadcast(expected), "tender_type_id", "left")
+        .join(expected, "tender_type_id", "left")
         .withColumn("share_bp", F.expr("n_tenders * 10000 div n_all"))
     )
 

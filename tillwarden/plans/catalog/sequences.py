@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwarden.operators import conform, sampling, sequence, spread
+from tillwarden import reference as ref
+from tillwarden.operators import audit, conform, sampling, sequence
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query
 
@@ -124,7 +125,7 @@ def assign_counters(spark, sf):
         heads,
         ["store", "register"],
         [F.col("tran_datetime"), F.col("event_id")],
-        F.substring("tran_datetime", 1, 10),
+        F.substring("tran_datetime", 1, 13),
         "counter",
     ).drop("tran_datetime")
 
@@ -138,7 +139,7 @@ def assign_line_numbers(spark, sf):
     """New item numbers 1..n where the given ones repeat."""
     items = T.order_item(spark, sf)
     order = [F.col(c) for c in ("item_seq_no", "l_partkey", "unit_retail", "qty")]
-    return sequence.assign_counters(items, ["tran_no"], order, F.col("item_seq_no"), "line_no").select(
+    return sequence.assign_counters(items, ["tran_no"], order, out="line_no").select(
         "tran_no", "line_no", "item", "unit_retail"
     )
 
@@ -172,7 +173,7 @@ def head_revisions(spark, sf):
         _versions(spark, sf),
         ["user_id"],
         ["update_datetime", "event_id"],
-        F.to_date("update_datetime"),
+        F.date_trunc("hour", "update_datetime"),
         ["status"],
     ).select("user_id", "event_id", "status", "rev_no")
 
@@ -188,7 +189,7 @@ def as_of_revision(spark, sf):
         _versions(spark, sf),
         ["user_id"],
         ["update_datetime", "event_id"],
-        F.to_date("update_datetime"),
+        F.date_trunc("hour", "update_datetime"),
         ["status"],
     )
     at = F.lit("2024-01-15 12:00:00").cast("timestamp")
@@ -197,6 +198,29 @@ def as_of_revision(spark, sf):
     )
 
 
+@query(
+    "sa_tran_head_rev",
+    ["ev_head", "ev_hits"],
+    """SELECT h.tran_no, CAST(r AS BIGINT) AS rev_no, CASE r WHEN 0 THEN status WHEN 1 THEN
+           CASE WHEN b > 0 THEN 'ERRORED' WHEN e > 0 THEN 'VALIDATED' ELSE 'APPROVED' END END AS status
+       FROM (SELECT event_id, tran_no, status FROM ev_head) h
+       LEFT JOIN (SELECT event_id, count(*) AS e, count(*) FILTER (WHERE error_code NOT IN ('VOID_OOH', 'ITEM_SEQ_GAP',
+           'TAX_MODE_MIX', 'PAIDIO_SHAPE', 'SEQ_FORMAT', 'BANNER_INVALID', 'CURR_AMT_MISMATCH', 'POS_DROP_SHIP')) AS b
+         FROM ev_hits GROUP BY 1) x ON x.event_id = h.event_id, generate_series(0, 1) g(r)""",
+)
+def sa_tran_head_rev(spark, sf):
+    """Imported headers, the same delivered again, then with their audited state."""
+    log = T.till_log(spark, sf)
+    head = conform.fan_out(log)["sa_tran_head"]
+    again = head.withColumn("update_datetime", F.expr("update_datetime + interval 1 hour"))
+    errors = audit.build_sa_error(audit.audit_nested(log)).drop("store", "business_date")
+    audited = audit.advance_status(head, errors, ref.error_codes(spark)).select(*head.columns).withColumn(
+        "update_datetime", F.expr("update_datetime + interval 1 day")
+    )
+    versions = head.unionByName(again).unionByName(audited)
+    return sequence.sa_tran_head_rev(versions, ["status", "value"]).select("tran_no", "rev_no", "status")
+
+
 @query(
     "first_n",
     ["o_head"],

@@ -125,7 +125,7 @@ def stream_head_rev(spark, sf):
         "user_id", "event_id", "event_type as status", "cast(ts as timestamp) as update_datetime"
     )
     writer = revisions.stream_head_rev(
-        changes, path, ["user_id"], ["update_datetime", "event_id"], F.to_date("update_datetime"), ["status"]
+        changes, path, ["user_id"], ["update_datetime", "event_id"], F.date_trunc("hour", "update_datetime"), ["status"]
     )
     sinks.run_available(writer, cp)
     return revisions.read_revisions(spark, path).select("user_id", "event_id", "status", "rev_no")

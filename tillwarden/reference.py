@@ -7,6 +7,7 @@ always be broadcast.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # code type -> codes
@@ -131,9 +132,17 @@ TOTALS = [
 ]
 
 
+def _seed(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A fixed table as a local relation: its size is known to Catalyst, which broadcasts it."""
+    names = [field.split()[0] for field in ddl.split(",")]
+    columns = [list(c) for c in zip(*rows, strict=True)]
+    df = spark.createDataFrame(pa.table(dict(zip(names, columns, strict=True))))
+    return df.selectExpr(*[f"cast({f.split()[0]} as {f.split()[1]}) as {f.split()[0]}" for f in ddl.split(",")])
+
+
 def code_detail(spark: SparkSession) -> DataFrame:
     rows = [(kind, code) for kind, codes in CODE_LISTS.items() for code in codes]
-    return spark.createDataFrame(rows, "code_type string, code string")
+    return _seed(spark, rows, "code_type string, code string")
 
 
 def products(spark: SparkSession) -> DataFrame:
@@ -143,8 +152,8 @@ def products(spark: SparkSession) -> DataFrame:
         for dept, cls, sub, prefix, desc in PRODUCT_LINES
         for n in range(1, SKUS_PER_LINE + 1)
     ]
-    df = spark.createDataFrame(
-        rows, "sku string, dept long, class long, subclass long, description string, base long"
+    df = _seed(
+        spark, rows, "sku string, dept long, class long, subclass long, description string, base long"
     )
     return df.selectExpr(
         "sku", "dept", "class", "subclass", "description", "cast(base as decimal(20,4)) as base_price"
@@ -152,20 +161,20 @@ def products(spark: SparkSession) -> DataFrame:
 
 
 def tender_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        TENDER_TYPES, "tender_type_id long, tender_type_group string, expected_pct int"
+    return _seed(
+        spark, TENDER_TYPES, "tender_type_id long, tender_type_group string, expected_pct int"
     )
 
 
 def promotions(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(PROMOTIONS, "promotion long, pct string, rms_promo_type string")
+    df = _seed(spark, PROMOTIONS, "promotion long, pct string, rms_promo_type string")
     return df.selectExpr("promotion", "cast(pct as decimal(4,4)) as disc_pct", "rms_promo_type")
 
 
 def tax_authorities(spark: SparkSession) -> DataFrame:
     rows = [(n, *row) for n, row in enumerate(IGTAX_AUTHORITIES, start=1)]
-    df = spark.createDataFrame(
-        rows, "authority_no int, tax_authority string, igtax_code string, rate string"
+    df = _seed(
+        spark, rows, "authority_no int, tax_authority string, igtax_code string, rate string"
     )
     return df.selectExpr(
         "authority_no", "tax_authority", "igtax_code", "cast(rate as decimal(4,4)) as igtax_rate"
@@ -174,19 +183,20 @@ def tax_authorities(spark: SparkSession) -> DataFrame:
 
 def hour_weights(spark: SparkSession) -> DataFrame:
     rows = list(enumerate(HOUR_WEIGHTS))
-    df = spark.createDataFrame(rows, "hour int, w string")
+    df = _seed(spark, rows, "hour int, w string")
     return df.selectExpr("hour", "cast(w as decimal(4,1)) as weight")
 
 
 def type_mix(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TYPE_MIX, "tran_type string, expected_pct int")
+    return _seed(spark, TYPE_MIX, "tran_type string, expected_pct int")
 
 
 def error_codes(spark: SparkSession) -> DataFrame:
     """The error-code lookup in canonical column order."""
     from tillwarden.operators.conform import conform_types
 
-    df = spark.createDataFrame(
+    df = _seed(
+        spark,
         ERROR_CODES,
         "error_code string, short_desc string, required_ind string, "
         "store_override_ind string, hq_override_ind string",
@@ -198,7 +208,7 @@ def total_heads(spark: SparkSession) -> DataFrame:
     """Definitions of the calculated totals in canonical column order."""
     from tillwarden.operators.conform import conform_types
 
-    df = spark.createDataFrame(TOTALS, "total_id string, total_desc string, count_sum_ind string")
+    df = _seed(spark, TOTALS, "total_id string, total_desc string, count_sum_ind string")
     df = df.selectExpr(
         "*", "1L as total_rev_no", "'S' as total_type", "'N' as comb_total_ind",
         "'TOTAL' as total_cat", "'S' as bal_level", "timestamp'2024-01-01 00:00:00' as update_datetime",
