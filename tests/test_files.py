@@ -34,7 +34,9 @@ def test_read_keeps_unreadable_lines_and_prunes_folders(spark, tmp_path):
     (d / "broken.json").write_text('{"rtlog_orig_sys": "POS", "tran_head": {\n{"tran_head": {"tran_no": "x"}}\n')
     df = R.read_rtlog(spark, path)
     assert df.count() == 6
-    assert df.filter("_corrupt is not null").select("_corrupt", "rtlog_orig_sys").distinct().count() == 2
+    # the verdict does not depend on the columns a query asks for
+    assert df.filter("_corrupt is not null").select("_corrupt").distinct().count() == 2
+    assert df.filter("_corrupt is not null").select("rtlog_orig_sys").count() == 2
     plan = df.filter("store = 5 and hour = '02'").select("tran_head.value")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(store" in plan
     good, bad = conform.quarantine(df)

@@ -42,9 +42,7 @@ def rtlog_write_read(spark, sf):
 )
 def raw_lineage(spark, sf):
     raw = R.read_rtlog_raw(spark, _landed_json(spark, sf))
-    return raw.groupBy(
-        F.col("store").cast("long").alias("store"), F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour")
-    ).agg(
+    return raw.groupBy("store", "hour").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_distinct("record_key").alias("n_keys"),
         F.count_distinct("source_file").alias("n_files"),

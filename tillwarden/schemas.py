@@ -78,7 +78,6 @@ def struct_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(" ".join(ddl.split()))
 
 
-@lru_cache(maxsize=None)
 def rtlog_schema() -> T.StructType:
     """The nested record as it stands on one line of a till log."""
     schema = T.StructType().add("rtlog_orig_sys", T.StringType())
@@ -88,16 +87,6 @@ def rtlog_schema() -> T.StructType:
     return schema
 
 
-def rtlog_read_schema(corrupt: str | None = "_corrupt") -> T.StructType:
-    """Record plus the column for unreadable lines plus the partition columns."""
-    schema = T.StructType(list(rtlog_schema().fields))
-    if corrupt:
-        schema = schema.add(corrupt, T.StringType())
-    return (
-        schema.add("store", T.LongType()).add("date", T.DateType()).add("hour", T.StringType())
-    )
-
-
 # --------------------------------------------------------------------------
 # Canonical tables.  One column per entry, in table order:
 #   name type[!][*]    "!" = part of the primary key, "*" = mandatory

@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwarden.functions import keys as K
-from tillwarden.schemas import RECORD_KEYS, rtlog_read_schema
+from tillwarden.schemas import RECORD_KEYS, rtlog_schema
 
 PARTITION = ["store", "date", "hour"]
 
+LINES_DDL = "value STRING, store BIGINT, date DATE, hour STRING"
+
+
+def _parse(lines: DataFrame, *carry: str) -> DataFrame:
+    """Lines to nested records; a line with any unreadable part keeps its text in ``_corrupt``.
+
+    The JSON file source parses only the columns a query asks for, and so would
+    find a line good or bad depending on the query.  Parsing the text with the
+    full schema gives every query the same answer.
+    """
+    schema = rtlog_schema().add("_corrupt", "string")
+    record = F.from_json(
+        "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    )
+    rows = lines.filter(F.trim("value") != "")
+    return rows.select(record.alias("_r"), *PARTITION, *carry).select("_r.*", *PARTITION, *carry)
+
 
 def read_rtlog(spark: SparkSession, path: str, lineage: bool = False) -> DataFrame:
     """Nested records with a fixed schema.
@@ -16,37 +33,32 @@ def read_rtlog(spark: SparkSession, path: str, lineage: bool = False) -> DataFra
     Unreadable lines stay, with their text in ``_corrupt``.  Filters on store,
     date and hour prune folders.
     """
-    df = (
-        spark.read.schema(rtlog_read_schema())
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-    )
-    return df.withColumn("source_file", F.col("_metadata.file_path")) if lineage else df
+    lines = spark.read.schema(LINES_DDL).text(path)
+    if not lineage:
+        return _parse(lines)
+    return _parse(lines.withColumn("source_file", F.col("_metadata.file_path")), "source_file")
 
 
 def read_rtlog_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines with file lineage and a key per line."""
     return (
-        spark.read.text(path)
+        spark.read.schema(LINES_DDL)
+        .text(path)
         .filter(F.trim("value") != "")
         .select(
             "value",
             F.sha2("value", 256).alias("record_key"),
             F.col("_metadata.file_path").alias("source_file"),
             F.col("_metadata.file_modification_time").alias("source_modified"),
-            *[F.col(c) for c in PARTITION],
+            *PARTITION,
         )
     )
 
 
 def stream_rtlog(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """The same records as they land, a bounded number of files per trigger."""
-    return (
-        spark.readStream.schema(rtlog_read_schema())
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("maxFilesPerTrigger", max_files)
-        .json(path)
+    return _parse(
+        spark.readStream.schema(LINES_DDL).option("maxFilesPerTrigger", max_files).text(path)
     )
 
 
