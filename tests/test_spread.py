@@ -58,6 +58,21 @@ def test_row_number_and_previous(spark):
     assert {r.id: r.p for r in got} == want_prev
 
 
+def test_row_number_without_a_bucket(spark):
+    """Even ranges cut through one huge group and through ties."""
+    rows = [("hot", n % 3, n) for n in range(2000)] + [("b", 5, 1), (None, 1, 2)]
+    df = spark.createDataFrame(rows, "k string, v long, id long").repartition(4)
+    got = spread.with_row_number(df, ["k"], [F.col("v")]).collect()
+    by_key = defaultdict(list)
+    for r in got:
+        by_key[r.k].append((r.row_no, r.v))
+    assert {k: len(x) for k, x in by_key.items()} == {"hot": 2000, "b": 1, None: 1}
+    for x in by_key.values():
+        x.sort()
+        assert [n for n, _ in x] == list(range(1, len(x) + 1))
+        assert [v for _, v in x] == sorted(v for _, v in x)
+
+
 def test_missing_numbers_across_ranges(spark):
     have = {("a", n) for n in range(1, 12000) if n % 7 and not 4000 < n < 8500} | {("b", 3), (None, 2), ("c", 1)}
     df = spark.createDataFrame([*have, ("a", 1), ("b", None)], "k string, tran_no long")

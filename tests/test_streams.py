@@ -61,6 +61,24 @@ def test_stream_revisions_continue_numbers(spark, tmp_path):
     assert got == [(1, 0, "A"), (1, 1, "B"), (1, 2, "C"), (1, 3, "A"), (2, 0, "X"), (2, 1, "Y"), (3, 0, "N")]
 
 
+def test_revisions_by_date_read_only_their_dates(spark, tmp_path):
+    path = str(tmp_path / "revs")
+    key, order = ["business_date", "k"], ["update_datetime"]
+    batches = [
+        [("2024-01-01", 1, "2024-01-01 10:00:00", "A"), ("2024-01-02", 1, "2024-01-02 10:00:00", "A")],
+        [("2024-01-02", 1, "2024-01-03 10:00:00", "B"), ("2024-01-02", 2, "2024-01-03 11:00:00", "C")],
+    ]
+    for n, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "d string, k long, t string, s string").selectExpr(
+            "cast(d as date) business_date", "k", "s", "cast(t as timestamp) update_datetime"
+        )
+        revisions.revision_batch(
+            df, path, n, key, order, F.date_trunc("hour", "update_datetime"), ["s"], "business_date"
+        )
+    got = sorted((str(r.business_date), r.k, r.rev_no, r.s) for r in revisions.read_revisions(spark, path).collect())
+    assert got == [("2024-01-01", 1, 0, "A"), ("2024-01-02", 1, 0, "A"), ("2024-01-02", 1, 1, "B"), ("2024-01-02", 2, 0, "C")]
+
+
 def test_hourly_sales_and_dedup(spark, tmp_path):
     recs = log()
     path = land(recs + recs[:5], tmp_path / "in", lines_per_file=2)

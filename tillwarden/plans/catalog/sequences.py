@@ -8,6 +8,7 @@ from tillwarden import reference as ref
 from tillwarden.operators import audit, conform, sampling, sequence
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query
+from tillwarden.session import work_dir
 
 
 def _heads(spark, sf):
@@ -217,7 +218,10 @@ def sa_tran_head_rev(spark, sf):
     audited = audit.advance_status(head, errors, ref.error_codes(spark)).select(*head.columns).withColumn(
         "update_datetime", F.expr("update_datetime + interval 1 day")
     )
-    versions = head.unionByName(again).unionByName(audited)
+    # written once: the revision steps read the versions several times
+    path = work_dir(spark, "versions")
+    head.unionByName(again).unionByName(audited).write.parquet(path)
+    versions = spark.read.parquet(path)
     return sequence.sa_tran_head_rev(versions, ["status", "value"]).select("tran_no", "rev_no", "status")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwarden.operators import sequence, spread
 from tillwarden.operators.spread import same
-from tillwarden.streaming.sinks import read_batches, write_batch
+from tillwarden.streaming.sinks import read_batches, within_span, write_batch
 
 
 def revision_batch(
@@ -19,15 +19,21 @@ def revision_batch(
     order: list[str],
     bucket: Column,
     compare: list[str],
+    date_col: str | None = None,
 ) -> None:
-    """Append the real changes of one batch with continued revision numbers."""
+    """Append the real changes of one batch with continued revision numbers.
+
+    ``date_col`` names a key column (the business date) to partition the history
+    by; a batch then reads only the dates it touches.
+    """
     spark = changes.sparkSession
     earlier = read_batches(spark, path, before=batch_id)
     if earlier is None:
-        write_batch(
-            sequence.head_revisions(changes, key, order, bucket, compare), path, batch_id
-        )
+        first = sequence.head_revisions(changes, key, order, bucket, compare)
+        write_batch(first, path, batch_id, date_col)
         return
+    if date_col:
+        earlier = within_span(earlier, changes, date_col)
     touched = changes.select(*key).distinct()
     mine = earlier.join(touched, same(earlier, touched, key), "left_semi")
     others = [c for c in changes.columns if c not in key]
@@ -49,14 +55,22 @@ def revision_batch(
         .withColumn("rev_no", F.col("_version") + F.coalesce("_base", F.lit(-1)))
         .select(*changes.columns, "rev_no")
     )
-    write_batch(out, path, batch_id)
+    write_batch(out, path, batch_id, date_col)
 
 
 def stream_head_rev(
-    changes: DataFrame, path: str, key: list[str], order: list[str], bucket: Column, compare: list[str]
+    changes: DataFrame,
+    path: str,
+    key: list[str],
+    order: list[str],
+    bucket: Column,
+    compare: list[str],
+    date_col: str | None = None,
 ):
     return changes.writeStream.foreachBatch(
-        lambda batch, batch_id: revision_batch(batch, path, batch_id, key, order, bucket, compare)
+        lambda batch, batch_id: revision_batch(
+            batch, path, batch_id, key, order, bucket, compare, date_col
+        )
     )
 
 

@@ -10,8 +10,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(f"{path}/batch_id={batch_id}")
+
+
+def within_span(history: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """History rows in the span of a column's values in the batch.
+
+    When history is partitioned by that column, other folders are not read.
+    """
+    span = batch.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    return history.filter(
+        F.col(column).between(span.select("lo").scalar(), span.select("hi").scalar())
+    )
 
 
 def read_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
