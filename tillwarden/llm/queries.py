@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwarden.llm import token_records
+from tillwarden.llm import near_duplicates, token_records
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -21,8 +21,14 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_index(spark, f"{folder}/index").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents, on shingles of four words."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
