@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwarden.llm import near_duplicates, token_records
+from tillwarden.llm import near_duplicates, repeated_passages, token_records
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -26,9 +26,17 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without windows of 20 words that start earlier somewhere."""
+    docs = table(spark, sf_dir, "documents")
+    parsed = repeated_passages.repeated_passages(docs, window=20, keep_text=False)
+    return parsed.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_repeated_passages": op9_repeated_passages,
 }
 
 ORACLES: dict[str, str] = {}
