@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwarden.llm import near_duplicates, repeated_passages, token_records
+from tillwarden.llm import near_duplicates, pseudonyms, repeated_passages, token_records
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -21,6 +21,16 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_index(spark, f"{folder}/index").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+# A fixed key keeps the results of a trial comparable; a real run passes its own secret.
+TRIAL_KEY = "trial-key-of-the-registered-queries"
+
+
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data replaced, and the kinds of the values replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(docs, TRIAL_KEY)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents, on shingles of four words."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
@@ -35,6 +45,7 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op3_pseudonyms": op3_pseudonyms,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeated_passages": op9_repeated_passages,
 }
