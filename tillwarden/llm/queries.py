@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwarden.llm import near_duplicates, pseudonyms, repeated_passages, token_records
+from tillwarden.llm import near_duplicates, pseudonyms, repeated_passages, templates, token_records
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -43,11 +43,17 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or re-parameterised."""
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op3_pseudonyms": op3_pseudonyms,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeated_passages": op9_repeated_passages,
+    "op10_templates": op10_templates,
 }
 
 ORACLES: dict[str, str] = {}
