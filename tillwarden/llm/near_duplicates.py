@@ -12,7 +12,11 @@ k/2 = 2 this is 0.9994 at 0.8 and 0.99998 at 0.87.
    a drawn one), only between different components of the links so far.  Pairs stay linear in the
    size of a bucket, however large a group of copies is.
 4. What is still in another component than its bucket's drawn member is compared with every
-   member of the bucket outside its own component, so no link of a bucket is left out.
+   member of the bucket outside its own component, so no link of a bucket is left out.  A large
+   group whose members are a little too different has many such pairs, so the join
+   itself compares finer sketches: 256 bins of the hash range with four bits of each bin's least
+   shingle.  A pair is looked at in its first common table only, and goes on unless its share of
+   agreeing bins is four standard errors below the threshold.
 5. Candidates that fit in size and sketch get their texts by two joins, and are confirmed on
    the full sets.  Up to 100,000 pairs their ids are broadcast, so only their texts are shuffled;
    beyond that, all texts are.
@@ -43,6 +47,8 @@ GROUPS = 8  # m: groups in a collection
 MINIMA = 2  # minima in a group
 SKETCH_LEAST = 17
 BROADCAST_PAIRS = 100_000
+CODES = 16  # longs of 16 four-bit codes
+STANDARD_ERRORS = 4.0
 
 _draw = np.random.Generator(np.random.PCG64(8))
 _COUNT = 2 * GROUPS * MINIMA
@@ -64,6 +70,15 @@ def shingle_sets(batch: list[bytes], k: int) -> Iterator[np.ndarray]:
                 yield np.empty(0, dtype=np.uint64)
 
 
+def _codes(values: np.ndarray) -> np.ndarray:
+    """Four bits (1 to 15, 0: none) of the least value in each of 256 ranges, in 16 numbers."""
+    bins = (values >> U(56)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], bins[1:] != bins[:-1]))) if len(values) else bins
+    code = np.zeros(16 * CODES, dtype=np.uint64)
+    code[bins[first]] = U(1) + (values[first] & U(0xFFFFFFFF)) % U(15)
+    return (code.reshape(CODES, 16) << (U(4) * np.arange(16, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
+
+
 def _minima(sets: list[np.ndarray]) -> np.ndarray:
     """(functions, sets) minima; every set has an element."""
     begins = np.cumsum([0, *(len(s) for s in sets[:-1])])
@@ -76,7 +91,10 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-SIGNED = "doc_id long, n_shingles long, set_id string, sketch long, left_groups array<long>, right_groups array<long>"
+SIGNED = (
+    "doc_id long, n_shingles long, set_id string, sketch long, "
+    "left_groups array<long>, right_groups array<long>, codes array<long>"
+)
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
@@ -109,8 +127,9 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                     pa.array(sketch.view(np.int64)),
                     pa.array(list(signed[:, 0]), pa.list_(pa.int64())),
                     pa.array(list(signed[:, 1]), pa.list_(pa.int64())),
+                    pa.array([_codes(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set_id", "sketch", "left_groups", "right_groups"],
+                ["doc_id", "n_shingles", "set_id", "sketch", "left_groups", "right_groups", "codes"],
             )
 
     return texts(docs).select("doc_id", F.col("text").cast("binary")).mapInArrow(sign, SIGNED)
@@ -128,6 +147,40 @@ def _fits(percent: int) -> Column:
     return (small * 100 >= large * percent) & (_agreement(F.col("sketch"), F.col("other_sketch")) >= SKETCH_LEAST)
 
 
+def _table_key(table: Column, left: Column, right: Column) -> Column:
+    return F.xxhash64(table, left, right)
+
+
+def _close(percent: int) -> Column:
+    """Whether two rows' codes agree in as many bins as similar sets' do, up to chance.
+
+    The bins are a draw without replacement from the union, whose size two similar sets tell.
+    """
+
+    def filled(x: Column) -> Column:
+        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(any_bit, 2))
+        return F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+
+    share = percent / 100
+    bins, differ = F.lit(0), F.lit(0)
+    for i in range(CODES):
+        x, y = F.get("codes", F.lit(i)), F.get("other_codes", F.lit(i))
+        bins, differ = bins + filled(x.bitwiseOR(y)), differ + filled(x.bitwiseXOR(y))
+    union = (F.col("n") + F.col("other_n")) / (1 + share)
+    # a hundredth of a bin keeps the error above 0 where the bins hold the whole union
+    spread = share * (1 - share) * F.greatest(1 - bins / union, F.lit(0.01)) * bins
+    return bins - differ >= share * bins - STANDARD_ERRORS * F.sqrt(spread) - 1
+
+
+def _first_common_table() -> Column:
+    def first(mine: str, other: str) -> Column:
+        return F.array_position(F.zip_with(mine, other, lambda x, y: x == y), F.lit(True)).cast("int") - 1
+
+    i, j = first("left_groups", "other_left"), first("right_groups", "other_right")
+    return _table_key(i * GROUPS + j, F.get("left_groups", i), F.get("right_groups", j)) == F.col("key")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough; ``pairs`` is a written table.
 
@@ -167,7 +220,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     signed = written(signatures(docs, shingle), "signatures")
     linkable = signed.filter("doc_id is not null and set_id is not null")
-    first = F.min(F.struct("doc_id", "n_shingles", "sketch", "left_groups", "right_groups"))
+    first = F.min(F.struct("doc_id", "n_shingles", "sketch", "left_groups", "right_groups", "codes"))
     by_set = linkable.groupBy("set_id").agg(first.alias("c"), F.count(F.lit(1)).alias("n_rows"))
     classes = written(by_set.select("set_id", "n_rows", "c.*"), "classes")
 
@@ -175,7 +228,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     keys = F.flatten(
         F.transform(
             "left_groups",
-            lambda x, i: F.transform("right_groups", lambda y, j: F.xxhash64(i * GROUPS + j, x, y)),
+            lambda x, i: F.transform("right_groups", lambda y, j: _table_key(i * GROUPS + j, x, y)),
         )
     )
     entries = classes.select(
@@ -246,12 +299,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         .select("key", "doc_id", "n", "sketch", "comp")
     )
     rest = written(rest, "rest")
-    whole = labelled().join(rest.select("key"), "key", "left_semi").select(
-        F.col("key").alias("bucket"), F.col("doc_id").alias("other"), F.col("n").alias("other_n"),
-        F.col("sketch").alias("other_sketch"), F.col("comp").alias("other_comp"),
+    signed_as = classes.select(F.col("doc_id").alias("signed_id"), "left_groups", "right_groups", "codes")
+    mine = rest.join(signed_as, F.col("doc_id") == F.col("signed_id"))
+    whole = (
+        labelled()
+        .join(rest.select(F.col("key").alias("rest_key")).distinct(), F.col("key") == F.col("rest_key"), "left_semi")
+        .join(signed_as, F.col("doc_id") == F.col("signed_id"))
+        .select(
+            F.col("key").alias("bucket"), F.col("doc_id").alias("other"), F.col("n").alias("other_n"),
+            F.col("sketch").alias("other_sketch"), F.col("comp").alias("other_comp"),
+            F.col("left_groups").alias("other_left"), F.col("right_groups").alias("other_right"),
+            F.col("codes").alias("other_codes"),
+        )
     )
-    crossed = rest.join(
-        whole, (F.col("key") == F.col("bucket")) & (F.col("comp") != F.col("other_comp")) & _fits(percent)
+    crossed = mine.join(
+        whole,
+        (F.col("key") == F.col("bucket"))
+        & (F.col("comp") != F.col("other_comp"))
+        & _fits(percent)
+        & _close(percent)
+        & _first_common_table(),
     )
     third = written(untried(pairs_of(crossed)), "pairs")
     links = links.union(written(confirmed(third, docs, shingle, percent), "links"))
