@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm import near_duplicates, pseudonyms, repeated_passages, templates, token_records
+from tillwarden.llm import block_search, near_duplicates, pseudonyms, repeated_passages, templates, token_records
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -31,6 +31,12 @@ def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(docs, TRIAL_KEY)
 
 
+def op5_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return block_search.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents, on shingles of four words."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
@@ -51,9 +57,30 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op3_pseudonyms": op3_pseudonyms,
+    "op5_block_search": op5_block_search,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_templates": op10_templates,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_block_search": """
+        WITH usable AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(
+                list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b
+            )) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 100 = 0
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS r FROM scored
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10
+    """,
+}
