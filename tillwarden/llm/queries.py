@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm import block_search, near_duplicates, pseudonyms, repeated_passages, templates, token_records
+from tillwarden.llm import block_search, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -21,6 +21,8 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_index(spark, f"{folder}/index").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+KEEP_FROM = 0.3  # least quality score of a text that is kept
+
 # A fixed key keeps the results of a trial comparable; a real run passes its own secret.
 TRIAL_KEY = "trial-key-of-the-registered-queries"
 
@@ -37,6 +39,17 @@ def op5_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"), "quality")
+    scored = quality_rules.scored(docs, model)
+    predicted = (F.col("score") >= KEEP_FROM).cast("int")
+    return scored.select(
+        "doc_id", quality_rules.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents, on shingles of four words."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
@@ -58,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op3_pseudonyms": op3_pseudonyms,
     "op5_block_search": op5_block_search,
+    "op6_quality_rules": op6_quality_rules,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_templates": op10_templates,
