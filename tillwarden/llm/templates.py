@@ -26,6 +26,8 @@ or item; repeated rows change nothing; empty tables give no rows; further column
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwarden.llm.shared import texts, written
@@ -44,14 +46,17 @@ PERCENT = 30
 MAX_BROADCAST = 200_000
 
 NAME_MARK = "\x01"
-SEPARATORS = r"(?:[^\p{L}\p{M}\p{N}\x01.,]|(?<![0-9])[.,]|[.,](?![0-9]))+"
-BEFORE_NAME = r"(?<=[^.!?\s][ \t]{1,3})(?=\p{Lu}\p{Ll})"
+# ASCII marks and white space but "_", and the blocks of general and CJK punctuation
+SEPARATORS = r"[\x02-/:-@\[-^`{-\x7f\xa0 -⁯　-〿]+"
+BEFORE_NAME = r"(?=\p{Lu})(?<=[^.!?\s][ \t]{1,3})(?=\p{Lu}\p{Ll})"
+IN_NUMBER = r"(?<=[0-9])[.,](?=[0-9])"
 SLOTS = {"number": 1, "unit": 2, "name": 3}  # no word's hash is that small in practice; words are compared later
 
 
 def words_of(text: Column) -> Column:
-    """Lower-cased words; a name begins with NAME_MARK."""
-    plain = F.translate(text, NAME_MARK, " ")
+    """Lower-cased words; a name begins with NAME_MARK, marks within a number become "_"."""
+    plain = F.regexp_replace(text, NAME_MARK, " ")
+    plain = F.when(plain.rlike("[0-9][.,][0-9]"), F.regexp_replace(plain, IN_NUMBER, "_")).otherwise(plain)
     marked = F.lower(F.regexp_replace(plain, BEFORE_NAME, NAME_MARK))
     return F.array_remove(F.split(marked, SEPARATORS, -1), "")
 
@@ -69,22 +74,6 @@ def _slot(word: Column) -> Column:
     )
 
 
-def _window_hash(slots: Column, at: Column, size: int) -> Column:
-    return F.xxhash64(F.lit(size), *(F.get(slots, at + k) for k in range(size)))
-
-
-def _window_hashes(slots: Column, sizes: list[int]) -> Column:
-    """Hashes of all windows of the given sizes, with nothing for texts shorter than them."""
-
-    def of_size(size: int) -> Column:
-        starts = F.when(F.size(slots) >= size, F.sequence(F.lit(0), F.size(slots) - size))
-        return F.coalesce(
-            F.transform(starts, lambda at: _window_hash(slots, at, size)), F.array().cast("array<bigint>")
-        )
-
-    return of_size(sizes[0]) if len(sizes) == 1 else F.concat(*(of_size(s) for s in sizes))
-
-
 def _worded(rows: DataFrame, key: str) -> DataFrame:
     """Words and slots of every text, as columns of their own so that they are worked out once."""
     return rows.select(key, words_of(F.col("text")).alias("words")).select(
@@ -92,17 +81,49 @@ def _worded(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _with_words(rows: DataFrame, key: str, sizes: list[int] | None, window: int) -> DataFrame:
-    """One row per window: hash, place and words.  Without sizes, each text has its own."""
-    worded = _worded(rows, key).withColumn("n", F.size("words")).filter("n > 0")
-    own = F.array(*map(F.lit, sizes)) if sizes else F.array(F.least("n", F.lit(window)))
-    sized = worded.withColumn("size", F.explode(own)).filter("n >= size")
-    placed = sized.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("size"))))
-    part = F.slice("words", F.col("place") + 1, F.col("size"))
-    hashed = F.lit(None).cast("long")
-    for size in sizes or range(1, window + 1):
-        hashed = F.when(F.col("size") == size, _window_hash(F.col("slots"), F.col("place"), size)).otherwise(hashed)
-    return placed.select(key, "place", "size", hashed.alias("hash"), part.alias("part"))
+def _with_windows(worded: DataFrame, sizes: list[int]) -> DataFrame:
+    """Adds ``windows_<size>``: hashes of all windows of each size, empty for shorter texts.
+
+    Longer windows are pairs of shorter ones: 8 = 4 + 4, 5 = 4 + 1.  Each length is a step of
+    its own, since it is used twice by the next one.
+    """
+    made = {1: "slots"}
+    df = worded
+
+    def add(size: int, left: int) -> None:
+        nonlocal df
+        right = size - left
+        shifted = F.slice(F.col(made[right]), F.lit(left + 1), F.greatest(F.size("slots") - left, F.lit(0)))
+        pairs = F.zip_with(made[left], shifted, lambda x, y: F.xxhash64(x, y))
+        whole = F.slice(pairs, F.lit(1), F.greatest(F.size("slots") - size + 1, F.lit(0)))
+        df = df.withColumn(f"windows_{size}", whole)
+        made[size] = f"windows_{size}"
+
+    def need(size: int) -> None:
+        if size not in made:
+            left = 1 << (size - 1).bit_length() - 1
+            need(left)
+            need(size - left)
+            add(size, left)
+
+    for size in sizes:
+        need(size)
+    return df.withColumn("windows_1", F.col("slots"))
+
+
+def _with_words(rows: DataFrame, key: str, sizes: list[int], own_size: int | None = None) -> DataFrame:
+    """One row per window: hash, place and words.  ``own_size``: windows of that size, or of the
+    whole text where it is shorter."""
+    worded = _with_windows(_worded(rows, key), sizes).withColumn("n", F.size("words"))
+    parts = []
+    for size in sizes:
+        # outer: the filter that an inner explode implies would work out the windows once more
+        wanted = worded if own_size is None else worded.filter(F.least("n", F.lit(own_size)) == size)
+        placed = wanted.select(key, "words", F.posexplode_outer(f"windows_{size}").alias("place", "hash"))
+        placed = placed.filter("hash is not null")
+        part = F.slice("words", F.col("place") + 1, F.lit(size))
+        parts.append(placed.select(key, "place", F.lit(size).alias("size"), "hash", part.alias("part")))
+    return reduce(DataFrame.union, parts)
 
 
 def _is_slot(word: Column) -> Column:
@@ -118,7 +139,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent:
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).filter("item_id is not null and text is not null")
-    item_windows = _with_words(items, "item_id", None, window).filter(
+    item_windows = _with_words(items, "item_id", list(range(1, window + 1)), window).filter(
         F.size(F.filter("part", lambda w: ~_is_slot(w))) * 2 >= F.col("size")
     )
     item_windows = written(item_windows.distinct(), "item-windows")
@@ -126,13 +147,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent:
 
     wanted = _bounded_broadcast(item_windows.select("hash").distinct())
     source = texts(docs).filter("doc_id is not null")
-    hashed = _worded(source, "doc_id").select(
-        "doc_id", F.explode(_window_hashes(F.col("slots"), sizes)).alias("hash")
-    )
+    hashed = _with_windows(_worded(source, "doc_id"), sizes)
+    windows = [F.col(f"windows_{s}") for s in sizes]
+    hashed = hashed.select("doc_id", F.explode_outer(F.concat(*windows) if len(sizes) > 1 else windows[0]).alias("hash"))
     touched = written(hashed.join(wanted, "hash", "left_semi").select("doc_id").distinct(), "touched")
 
     again = source.join(_bounded_broadcast(touched), "doc_id", "left_semi")
-    mine = _with_words(again, "doc_id", sizes, window).withColumnsRenamed({"part": "doc_part", "place": "doc_place"})
+    mine = _with_words(again, "doc_id", sizes).withColumnsRenamed({"part": "doc_part", "place": "doc_place"})
     theirs = item_windows.select("hash", "size", "item_id", "part", "place")
     same = F.forall(
         F.zip_with("doc_part", "part", lambda d, i: (_slot(d) == _slot(i)) & (_is_slot(d) == _is_slot(i))), lambda x: x
