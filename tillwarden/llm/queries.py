@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm import block_search, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records
+from tillwarden.llm import block_search, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -27,12 +27,27 @@ KEEP_FROM = 0.3  # least quality score of a text that is kept
 TRIAL_KEY = "trial-key-of-the-registered-queries"
 
 
+def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut into pieces with merge-dropout of a tenth, and whether it decodes to itself."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    return merge_dropout.encoded(table(spark, sf_dir, "documents"), model, dropout=0.1, seed=1)
+
+
 def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with its personal data replaced, and the kinds of the values replaced."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymised(docs, TRIAL_KEY)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every text, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    learn = ~quality_rules.held_out(F.col("label_id"))
+    words, toxic = toxicity.sample_rows(docs, table(spark, sf_dir, "labels"), "toxic", learn)
+    model = toxicity.fit_ordinal(words, toxicity.graded(words, toxic > 0))
+    return toxicity.scored(docs, model).withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
+
+
 def op5_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -69,7 +84,9 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op2_merge_dropout": op2_merge_dropout,
     "op3_pseudonyms": op3_pseudonyms,
+    "op4_toxicity": op4_toxicity,
     "op5_block_search": op5_block_search,
     "op6_quality_rules": op6_quality_rules,
     "op8_near_duplicates": op8_near_duplicates,

@@ -56,8 +56,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _segment(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words of one buffer."""
+def _segment(data: np.ndarray, lower: bool, prefixes: tuple = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of one buffer.
+
+    With ``prefixes``, hashes have a row for whole words and one for their first so many bytes; a
+    word that is no longer than that has its whole hash there.
+    """
     n = len(data)
     inside = np.empty(n + 2, dtype=bool)
     inside[0] = inside[-1] = False
@@ -71,7 +75,15 @@ def _segment(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.
     sums[0] = 0
     np.cumsum(_BYTE[data] * _POWER[:n], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * _INVERSE[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64)), starts, ends
+    hashes = mix(hashes + (ends - starts).astype(np.uint64))
+    if not prefixes:
+        return hashes, starts, ends
+    rows = [hashes]
+    for size in prefixes:
+        cut = np.minimum(starts + size, ends)
+        part = mix((sums[cut] - sums[starts]) * _INVERSE[starts] - U(size))
+        rows.append(np.where(ends - starts > size, part, hashes))
+    return np.stack(rows), starts, ends
 
 
 def _cuts(data: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -89,20 +101,22 @@ def _cuts(data: np.ndarray) -> Iterator[tuple[int, int]]:
         at = min(end, n)
 
 
-def words(text: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(text: bytes, lower: bool = False, prefixes: tuple = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end (byte offsets) of every word of one text."""
     data = np.frombuffer(text, dtype=np.uint8)
     if len(data) <= SEGMENT:
-        return _segment(data, lower) if len(data) else (np.empty(0, U), np.empty(0, int), np.empty(0, int))
-    parts = [(a, *_segment(data[a:b], lower)) for a, b in _cuts(data)]
+        return _segment(data, lower, prefixes)
+    parts = [(a, *_segment(data[a:b], lower, prefixes)) for a, b in _cuts(data)]
     return (
-        np.concatenate([p[1] for p in parts]),
+        np.concatenate([p[1] for p in parts], axis=-1),
         np.concatenate([p[2] + p[0] for p in parts]),
         np.concatenate([p[3] + p[0] for p in parts]),
     )
 
 
-def word_batches(texts: list[bytes], lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def word_batches(
+    texts: list[bytes], lower: bool = False, prefixes: tuple = ()
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Word hashes of runs of texts: first text, last + 1, all hashes, where each text's begin.
 
     Short texts share one buffer; the offsets have one entry more than the texts.
@@ -115,11 +129,11 @@ def word_batches(texts: list[bytes], lower: bool = False) -> Iterator[tuple[int,
             last += 1
         run = texts[first:last]
         if len(run) == 1:
-            hashes = words(run[0], lower)[0]
-            offsets = np.array([0, len(hashes)])
+            hashes = words(run[0], lower, prefixes)[0]
+            offsets = np.array([0, hashes.shape[-1]])
         else:
             data = np.frombuffer(b" ".join(run), dtype=np.uint8)
-            hashes, starts, _ = _segment(data, lower)
+            hashes, starts, _ = _segment(data, lower, prefixes)
             begins = np.cumsum([0, *(len(t) + 1 for t in run)])
             offsets = np.searchsorted(starts, begins)
         yield first, last, hashes, offsets
