@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm import block_search, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
+from tillwarden.llm import block_search, licence_rules, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -65,6 +65,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licence sentences of every text, and the licences they make up."""
+    return licence_rules.licences(table(spark, sf_dir, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents, on shingles of four words."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_block_search": op5_block_search,
     "op6_quality_rules": op6_quality_rules,
+    "op7_licence_rules": op7_licence_rules,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_templates": op10_templates,
