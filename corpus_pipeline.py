@@ -1,17 +1,87 @@
-"""The corpus pipeline: documents through quality, near-duplicates, leaks, private data and encoding."""
+"""The corpus pipeline: quality, near-duplicates, benchmark leaks, private data, encoding.
+
+Every stage takes the documents the one before kept, whatever further columns they have, and all but
+the last return the columns of ``documents``.  A stage is judged on its own input; rows that a stage
+rejects go, all others stay.
+"""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm.shared import table, written
+from tillwarden.llm import merge_dropout, near_duplicates, pseudonyms, quality_rules, templates
+from tillwarden.llm.shared import table, tokenizer_file, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+KEEP_FROM = 0.3  # least quality score of a document that stays
+SHINGLE, SIMILAR_PERCENT = 5, 80
+DROPOUT, SEED = 0.1, 1
+KEY_VARIABLE = "TILLWARDEN_PSEUDONYM_KEY"  # a real run sets its own secret
+TRIAL_KEY = "trial-key-of-the-registered-queries"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose predicted quality is at least KEEP_FROM."""
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"), "quality")
+    return quality_rules.scored(docs, model, "__score").filter(F.col("__score") >= KEEP_FROM).drop("__score")
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: that of least doc_id; one row of it, if the id is repeated.
+
+    Rows without a doc_id cannot be linked and stay.
+    """
+    found = near_duplicates.near_duplicates(docs.select("doc_id", "text"), SHINGLE, SIMILAR_PERCENT)
+    gone = written(found.filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "not-kept")
+    rest = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    repeated = written(
+        rest.groupBy(F.col("doc_id").alias("repeated_id")).agg(F.count(F.lit(1)).alias("__n"))
+        .filter("__n > 1 and repeated_id is not null").select("repeated_id"),
+        "repeated-ids",
+    )
+    if repeated.isEmpty():
+        return rest
+    single = rest.join(repeated, F.col("doc_id") == F.col("repeated_id"), "left_anti")
+    row = F.struct(*(F.col(f"`{c}`") for c in rest.columns))
+    several = rest.join(repeated, F.col("doc_id") == F.col("repeated_id"), "left_semi")
+    least = several.groupBy("doc_id").agg(F.min_by(row, F.xxhash64("text")).alias("__row")).select("__row.*")
+    return single.unionByName(least)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    leaks = templates.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    leaked = leaks.select(F.col("doc_id").alias("leaked_id")).distinct()
+    return docs.join(leaked, F.col("doc_id") == F.col("leaked_id"), "left_anti")
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by pseudonyms and n_chars brought up to date."""
+    key = os.environ.get(KEY_VARIABLE, TRIAL_KEY)
+    rewritten = pseudonyms.pseudonymised(docs, key, "__found").drop("__found")
+    if "n_chars" not in rewritten.columns:
+        return rewritten
+    return rewritten.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_ids, ids and lossless of every document."""
+    return merge_dropout.encoded(docs, tokenizer_file("piece_bpe_32k.model"), DROPOUT, SEED)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicate),
+    ("decontamination", decontamination),
+    ("private_data", private_data),
+    ("encoding", encoding),
+]
 
+# forest, MinHash tables and piece merges have no SQL; tests/llm compares the stages with plain versions
 ORACLE_SQL: str | None = None
 
 
