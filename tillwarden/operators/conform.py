@@ -65,6 +65,7 @@ def children(rtlog: DataFrame, child: str) -> DataFrame:
         "record_key",
         F.col("tran_head.store").alias("store"),
         "day",
+        F.col("tran_head.business_date").alias("business_date"),
         F.col("tran_seq_id").alias("tran_seq_no"),
         F.inline(child),
     )
@@ -92,7 +93,7 @@ def fan_out(rtlog: DataFrame) -> dict[str, DataFrame]:
         )
     }
     for child, table in CHILD_TABLES.items():
-        tables[table] = conform_types(children(rtlog, child), table, ["record_key"])
+        tables[table] = conform_types(children(rtlog, child), table, ["record_key", "business_date"])
     return tables
 
 

@@ -22,20 +22,25 @@ from tillwarden.schemas import CHILDREN
 Get = Callable[[str], Column]
 
 
+def _true(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
 def _bad_flags(*names: str) -> Callable[[Get], Column]:
     return lambda get: reduce(lambda a, b: a | b, [~checks.is_yn(get(n)) for n in names])
 
 
 # fact -> (child, number reported, test on one child row).  The fact holds the
-# lowest number of an offending row, NULL if there is none.
+# lowest number of an offending row; its companion ``<fact>_rows`` counts such rows, whether
+# or not they have a number, and decides whether a rule applies.
 CHILD_TESTS: dict[str, tuple[str, str, Callable[[Get], Column]]] = {
     "neg_item_no": (
         "tran_item",
         "item_seq_no",
         lambda get: (get("qty") < 0) & get("return_reason_code").isNull(),
     ),
-    "price_item_no": ("tran_item", "item_seq_no", lambda get: get("unit_retail") <= 0),
-    "ship_item_no": ("tran_item", "item_seq_no", lambda get: get("drop_ship_ind") != "N"),
+    "price_item_no": ("tran_item", "item_seq_no", lambda get: ~_true(get("unit_retail") > 0)),
+    "ship_item_no": ("tran_item", "item_seq_no", lambda get: ~get("drop_ship_ind").eqNullSafe(F.lit("N"))),
     "status_item_no": (
         "tran_item",
         "item_seq_no",
@@ -100,6 +105,11 @@ def _first_hit(child: str, number: str, test: Callable[[Get], Column]) -> Column
     return F.array_min(F.transform(hits, lambda x: x[number]))
 
 
+def _n_hits(child: str, test: Callable[[Get], Column]) -> Column:
+    hits = F.filter(child, lambda x: test(lambda n: x[n]))
+    return F.when(F.col(child).isNull(), 0).otherwise(F.size(hits)).cast("long")
+
+
 @lru_cache(maxsize=4)
 def _nested_fact_columns(app_id: str) -> tuple[Column, ...]:
     """Fact expressions over the arrays; built once per application."""
@@ -111,6 +121,7 @@ def _nested_fact_columns(app_id: str) -> tuple[Column, ...]:
         facts.append(M.round4(F.coalesce(_array_sum(child, amount), money(0))).alias(name))
     for name, (child, number, test) in CHILD_TESTS.items():
         facts.append(_first_hit(child, number, test).alias(name))
+        facts.append(_n_hits(child, test).alias(f"{name}_rows"))
     in_order = F.transform("tran_item", lambda x: x["item_seq_no"]).eqNullSafe(
         F.sequence(F.lit(1).cast("long"), F.size("tran_item").cast("long"))
     )
@@ -119,7 +130,16 @@ def _nested_fact_columns(app_id: str) -> tuple[Column, ...]:
         lambda x: (x["tender_type_group"] == "CARD") & ~checks.is_masked(x["cc_no"]),
     )
     facts.append(F.when(F.size("tran_item") > 0, in_order).otherwise(F.lit(True)).alias("items_in_order"))
-    facts.append(checks.mask_pan(F.get(open_cards, F.lit(0))["cc_no"]).alias("open_card"))
+    first_open = F.array_min(
+        F.transform(
+            open_cards,
+            # a line without a number comes after all others
+            lambda x: F.struct(
+                x["tender_seq_no"].isNull().alias("last"), x["tender_seq_no"].alias("no"), x["cc_no"].alias("cc_no")
+            ),
+        )
+    )
+    facts.append(checks.mask_pan(first_open["cc_no"]).alias("open_card"))
     return tuple(facts)
 
 
@@ -159,6 +179,7 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
                     **{n: F.lit(0).cast("long") for n in counts},
                     **{n: money(0) for n in sums},
                     **{n: F.lit(None).cast("long") for n in tests},
+                    **{f"{n}_rows": F.lit(0).cast("long") for n in tests},
                     **({"items_in_order": F.lit(True)} if child == "tran_item" else {}),
                     **({"open_card": F.lit(None).cast("string")} if child == "tran_tender" else {}),
                 }
@@ -167,6 +188,7 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
         aggs = [F.count(F.lit(1)).alias(n) for n in counts]
         aggs += [M.round4(F.sum(SUMS[n][1](F.col))).alias(n) for n in sums]
         aggs += [F.min(F.when(CHILD_TESTS[n][2](F.col), F.col(CHILD_TESTS[n][1]))).alias(n) for n in tests]
+        aggs += [F.count_if(CHILD_TESTS[n][2](F.col)).alias(f"{n}_rows") for n in tests]
         if child == "tran_item":
             # distinct numbers: a bit per number up to 62, which combines on the
             # map side, and a distinct count for the few numbers beyond
@@ -181,15 +203,21 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
         if child == "tran_tender":
             is_open = (F.col("tender_type_group") == "CARD") & ~checks.is_masked("cc_no")
             aggs.append(
-                F.min_by(
-                    F.when(is_open, checks.mask_pan("cc_no")),
-                    F.when(is_open, F.col("tender_seq_no")),
+                checks.mask_pan(
+                    F.min(
+                        F.when(
+                            is_open,
+                            F.struct(
+                                F.col("tender_seq_no").isNull().alias("last"), F.col("tender_seq_no").alias("no"), "cc_no"
+                            ),
+                        )
+                    )["cc_no"]
                 ).alias("open_card")
             )
         summed = rows.groupBy(*keys).agg(*aggs)
         out = out.join(summed, keys, "left").withColumns(
             {
-                **{n: F.coalesce(n, F.lit(0)) for n in counts},
+                **{n: F.coalesce(n, F.lit(0)) for n in [*counts, *(f"{t}_rows" for t in tests)]},
                 **{n: F.coalesce(n, money(0)) for n in sums},
             }
         )
@@ -214,8 +242,12 @@ class Rule:
     needs: tuple[str, ...] = ()  # facts that must be there for the rule to apply
 
 
+def _rows(fact: str) -> Column:
+    return F.col(f"{fact}_rows") > 0
+
+
 def _has(fact: str) -> Callable[[], Column]:
-    return lambda: F.col(fact).isNotNull()
+    return lambda: _rows(fact)
 
 
 def _type(*types: str) -> Column:
@@ -237,7 +269,9 @@ def void_out_of_hours(opening: int = ref.OPENING_HOUR, closing: int = ref.CLOSIN
 
 def missing_tender(strict: bool = False) -> Column:
     none = F.col("n_tenders") == 0
-    return none if strict else none & (F.col("value") > 0)
+    # a sale with items but no value at all is not known to be free
+    unpaid = F.coalesce(F.col("value") > 0, _type("SALE") & (F.col("n_items") > 0))
+    return none if strict else none & unpaid
 
 
 def seq_format_bad() -> Column:
@@ -256,7 +290,7 @@ def _partition_bad() -> Column:
 def _paid_shape_bad() -> Column:
     good = (
         (F.col("n_tenders") == 1)
-        & F.col("noncash_tender_no").isNull()
+        & ~_rows("noncash_tender_no")
         & (F.col("tender_total") == F.col("value"))
         & (F.col("pos_tran_ind") == "N")
         & F.col("vendor_no").isNotNull()
@@ -268,7 +302,7 @@ def _paid_shape_bad() -> Column:
 def _any_bad_flag() -> Column:
     marks = ["flag_item_no", "flag_tender_no", "flag_disc_no", "flag_tax_no", "flag_igtax_no"]
     bad = ~checks.is_yn("error_ind") | ~checks.is_yn("pos_tran_ind")
-    return reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in marks], bad)
+    return reduce(lambda a, b: a | b, [_rows(m) for m in marks], bad)
 
 
 def tax_mode_mix(mode: str | None = None) -> Column:
@@ -290,7 +324,7 @@ ROW_RULES: list[Rule] = [
     Rule("VOID_OOH", void_out_of_hours, orig_value=lambda: F.substring("tran_datetime", 12, 8)),
     Rule(
         "NEG_QTY_NO_REF",
-        lambda: _type("SALE") & F.col("neg_item_no").isNotNull(),
+        lambda: _type("SALE") & _rows("neg_item_no"),
         key_1=lambda: F.col("neg_item_no"),
     ),
     Rule(
@@ -310,7 +344,7 @@ ROW_RULES: list[Rule] = [
         "CODE_INVALID",
         lambda: ~checks.in_code_list("tran_type", "TRAT")
         | ~F.coalesce(F.col("status").isin(ref.HEAD_STATUSES), F.lit(False))
-        | F.col("status_item_no").isNotNull(),
+        | _rows("status_item_no"),
         key_1=lambda: F.col("status_item_no"),
         orig_value=lambda: F.col("tran_type"),
     ),
@@ -320,7 +354,7 @@ ROW_RULES: list[Rule] = [
     Rule("RETAIL_NOT_POSITIVE", _has("price_item_no"), key_1=lambda: F.col("price_item_no")),
     Rule(
         "POS_DROP_SHIP",
-        lambda: (F.col("rtlog_orig_sys") == "POS") & F.col("ship_item_no").isNotNull(),
+        lambda: (F.col("rtlog_orig_sys") == "POS") & _rows("ship_item_no"),
         key_1=lambda: F.col("ship_item_no"),
     ),
     Rule("TAX_MODE_MIX", tax_mode_mix),

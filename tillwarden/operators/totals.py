@@ -170,7 +170,7 @@ def build_store_day(head: DataFrame, stores: DataFrame) -> DataFrame:
 def calc_totals(
     head: DataFrame, tender: DataFrame, tax: DataFrame, igtax: DataFrame, disc: DataFrame
 ) -> DataFrame:
-    """Named totals per store-day as (store, day, total_id, total_value).
+    """Named totals per store and date as (store, business_date, day, total_id, total_value).
 
     Every source is summed per store-day by one aggregation over a union; the
     few totals of a store-day are then unpivoted.
@@ -179,7 +179,7 @@ def calc_totals(
 
     def shaped(df: DataFrame, **amounts: Column) -> DataFrame:
         return df.select(
-            "store", "day",
+            "store", "business_date",
             *[amounts.get(n, F.lit(None)).cast("decimal(38,8)").alias(n) for n in names],
         )
 
@@ -195,10 +195,11 @@ def calc_totals(
         .unionByName(shaped(disc, DISCTOTAL=M.disc_amount()))
         .unionByName(shaped(head, TRANCOUNT=F.lit(1)))
     )
-    summed = rows.groupBy("store", "day").agg(
+    summed = rows.groupBy("store", "business_date").agg(
         *[F.coalesce(M.round4(F.sum(n)), M.money(0)).alias(n) for n in names]
     )
-    return summed.unpivot(["store", "day"], names, "total_id", "total_value")
+    dated = summed.withColumn("day", K.day_number("business_date"))
+    return dated.unpivot(["store", "business_date", "day"], names, "total_id", "total_value")
 
 
 def errors_by_code(errors: DataFrame, *by: str) -> DataFrame:

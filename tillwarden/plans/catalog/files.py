@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillwarden.functions import keys as K
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query
 from tillwarden.session import work_dir
@@ -136,16 +137,24 @@ def land_json(spark, sf):
 @query(
     "write_canonical",
     ["o_head"],
-    """SELECT store % 5 + 1 AS store, CAST(month(business_date) AS INTEGER) AS day, tran_no, tran_type, value, rtlog_orig_sys FROM o_head""",
+    """SELECT store % 5 + 1 AS store, CAST(date_trunc('month', business_date) AS DATE) AS business_date,
+         CAST(dayofyear(date_trunc('month', business_date)) AS BIGINT) AS day, tran_no, tran_type, value, rtlog_orig_sys FROM o_head""",
 )
 def write_canonical(spark, sf):
-    """Headers filed by group of stores and month, written twice (the second run replaces)."""
+    """Headers filed by group of stores and month, written twice (the second run replaces).
+
+    The first of a month has one day number in all years; every year must stay.
+    """
     base = work_dir(spark, "canonical")
     heads = T.order_head(spark, sf).withColumns(
-        {"store": F.col("store") % 5 + 1, "day": F.month("business_date"), "record_key": F.col("tran_no").cast("string")}
-    )
+        {
+            "store": F.col("store") % 5 + 1,
+            "business_date": F.trunc("business_date", "month"),
+            "record_key": F.col("tran_no").cast("string"),
+        }
+    ).withColumn("day", K.day_number("business_date"))
     canonical.write_canonical({"sa_tran_head": heads}, base)
     canonical.write_canonical({"sa_tran_head": heads}, base)
     return canonical.read_canonical(spark, base, "sa_tran_head").select(
-        F.col("store").cast("long").alias("store"), "day", "tran_no", "tran_type", "value", "rtlog_orig_sys"
-    )
+        F.col("store").cast("long").alias("store"), "business_date", "day", "tran_no", "tran_type", "value", "rtlog_orig_sys",
+    )

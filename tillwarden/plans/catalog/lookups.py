@@ -161,12 +161,12 @@ def link_post_void(spark, sf):
     "to_usd",
     ["o_head", "stores"],
     """SELECT tran_no, CAST(round(value / exchange_rate_to_usd, 4) AS DECIMAL(20,4)) AS usd
-       FROM o_head JOIN stores ON store = store_no""",
+       FROM o_head LEFT JOIN stores ON store = store_no""",
 )
 def to_usd(spark, sf):
     s = T.registry(spark, sf).select("store_no", "exchange_rate_to_usd")
     head = T.order_head(spark, sf)
-    return head.join(s, head.store == s.store_no).select(
+    return head.join(s, head.store == s.store_no, "left").select(
         "tran_no", M.to_usd("value", "exchange_rate_to_usd").alias("usd")
     )
 

@@ -130,7 +130,7 @@ def store_day(spark, sf):
 @query(
     "calc_totals",
     ["ev_head", "ev_tender", "ev_tax", "ev_igtax", "ev_disc"],
-    """SELECT g.store, CAST(dayofyear(g.business_date) AS BIGINT) AS day, g.total_id,
+    """SELECT g.store, g.business_date, CAST(dayofyear(g.business_date) AS BIGINT) AS day, g.total_id,
          CAST(coalesce(sum(a), 0) AS DECIMAL(20,4)) AS total_value
        FROM (SELECT DISTINCT store, business_date, t AS total_id FROM ev_head,
              (VALUES ('TNDCASH'), ('TNDCARD'), ('TAXTOTAL'), ('DISCTOTAL'), ('TRANCOUNT')) x(t)) g
@@ -142,7 +142,7 @@ def store_day(spark, sf):
          UNION ALL SELECT store, business_date, 'DISCTOTAL', qty * unit_discount_amt FROM ev_disc
          UNION ALL SELECT store, business_date, 'TRANCOUNT', 1 FROM ev_head) u
        ON g.store = u.store AND g.business_date = u.business_date AND g.total_id = u.total_id
-       GROUP BY 1, 2, 3""",
+       GROUP BY 1, 2, 3, 4""",
 )
 def calc_totals(spark, sf):
     t = conform.fan_out(T.till_log(spark, sf))

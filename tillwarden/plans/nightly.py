@@ -1,22 +1,28 @@
 """The nightly batch: landing files to audited canonical tables.
 
-    landing files -> bronze (keyed Parquet) -> quarantine / canonical tables
+    landing files -> bronze (keyed Parquet, appended) -> store-days with new records
+                  -> quarantine / canonical tables
                   -> row rules + repeated numbers -> sa_error
                   -> workflow state, gaps, store-days, totals
 
-JSON is parsed and keyed once, into bronze; all later steps read columns.
+JSON is parsed and keyed once, into bronze, where a record lands once however often its file
+comes; all later steps read columns.  A run rebuilds the store-days that its ingestion date brought
+records for, from all their records, and replaces those store-days in the canonical tables.
 Every step writes a table, so a lost executor costs the running step only.
 """
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tillwarden import reference as ref
 from tillwarden.functions import keys as K
 from tillwarden.operators import audit, conform, rules, sequence, totals
 from tillwarden.schemas import RECORD_KEYS
-from tillwarden.sources import canonical, rtlog as R
+from tillwarden.sources import canonical, landing, rtlog as R
 
 
 def run(
@@ -26,12 +32,23 @@ def run(
     stores: DataFrame,
     rule_list: list[rules.Rule] | None = None,
     updated: Column | None = None,
+    ingest_date: str | None = None,
 ) -> None:
+    # the date of the run is fixed once, so that a run over midnight stays one ingestion
+    ingest_date = ingest_date or datetime.now(UTC).date().isoformat()
     raw = R.read_rtlog(spark, landing_path, lineage=True)
     bronze = f"{base}/bronze"
     keyed = conform.tag_rejections(raw.withColumn("record_key", K.record_key()))
-    keyed.write.mode("overwrite").parquet(bronze)
-    landed = spark.read.parquet(bronze)
+    landing.land_bronze(keyed, bronze, ingest_date)
+    schema = StructType(keyed.schema.fields + [StructField("ingest_date", DateType())])
+    kept = spark.read.schema(schema).parquet(bronze)
+    store_day = [F.col("tran_head.store").alias("_store"), F.col("tran_head.business_date").alias("_date")]
+    touched = kept.filter(F.col("ingest_date") == F.lit(ingest_date).cast("date")).select(*store_day).distinct()
+    same_day = F.col("tran_head.store").eqNullSafe(F.col("_store")) & F.col("tran_head.business_date").eqNullSafe(
+        F.col("_date")
+    )
+    # unreadable records have neither; they are quarantined with the run that brought them
+    landed = kept.join(touched, same_day, "left_semi").drop("ingest_date")
 
     bad = landed.filter("rejection_reason is not null")
     good = landed.filter("rejection_reason is null").drop("rejection_reason", "_corrupt")
@@ -52,15 +69,26 @@ def run(
     }
     canonical.write_canonical(first, base)
 
+    def back(name: str) -> DataFrame:
+        # with its schema: a delivery without discounts or additive taxes writes no rows
+        return canonical.read_canonical(spark, base, name, first[name].schema)
+
+    days = tables["sa_tran_head"].select(F.col("store").alias("_store"), F.col("business_date").alias("_date")).distinct()
+
+    def rebuilt(df: DataFrame) -> DataFrame:
+        """Rows of the store-days of this run."""
+        on = df["store"].eqNullSafe(F.col("_store")) & df["business_date"].eqNullSafe(F.col("_date"))
+        return df.join(days, on, "left_semi")
+
     # headers with their workflow state, and totals, from the tables just written
-    errors = canonical.read_canonical(spark, base, "sa_error").select(
+    errors = rebuilt(back("sa_error")).select(
         "record_key", "error_code", "store_override_ind", "hq_override_ind"
     )
     head = audit.advance_status(tables["sa_tran_head"], errors, ref.error_codes(spark))
     sums = totals.calc_totals(
         tables["sa_tran_head"],
         *[
-            canonical.read_canonical(spark, base, f"sa_tran_{child}")
+            rebuilt(back(f"sa_tran_{child}"))
             for child in ("tender", "tax", "igtax", "disc")
         ],
     )

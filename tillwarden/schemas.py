@@ -191,7 +191,8 @@ _TABLES = {
 # the revision table is the header table with the revision in its key
 _TABLES["sa_tran_head_rev"] = _TABLES["sa_tran_head"].replace("rev_no N(3)*", "rev_no N(3)!*")
 
-PARTITION_COLUMNS = ["store", "day"]
+# by date: the day of the year alone would file two years together
+PARTITION_COLUMNS = ["store", "business_date"]
 
 # nested child array -> canonical table
 CHILD_TABLES = {child: f"sa_{child}" for child in CHILDREN}

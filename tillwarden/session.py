@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Arrow batches of long texts stay small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # decimals in the canonical tables must fail loudly or be exact, never wrap
     "spark.sql.decimalOperations.allowPrecisionLoss": "true",
 }

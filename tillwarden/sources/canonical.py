@@ -1,8 +1,9 @@
-"""Canonical tables on disk: Parquet by store and day."""
+"""Canonical tables on disk: Parquet by store and business date."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tillwarden.jobs import run_together
 from tillwarden.schemas import PARTITION_COLUMNS
@@ -11,7 +12,7 @@ from tillwarden.schemas import PARTITION_COLUMNS
 def write_table(df: DataFrame, path: str, append: bool = False) -> None:
     """Write one table, replacing the store-days it touches (or all of it if it has none).
 
-    Rows are rebalanced by store and day: small store-days share a task, a very
+    Rows are rebalanced by store and date: small store-days share a task, a very
     large one is split over tasks and files.
     """
     mode = "append" if append else "overwrite"
@@ -32,5 +33,7 @@ def write_canonical(tables: dict[str, DataFrame], base: str, append: bool = Fals
     run_together([lambda n=n, df=df: write_table(df, f"{base}/{n}", append) for n, df in tables.items()])
 
 
-def read_canonical(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{name}")
+def read_canonical(spark: SparkSession, base: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """A table below ``base``; with its schema, a table without any row is read as well."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{base}/{name}")
