@@ -8,7 +8,8 @@ from records import bare, frame, land, record
 from tillwarden import reference as ref, schemas
 from tillwarden.functions import calendar as C, checks, keys as K, money as M, rawjson
 from tillwarden.operators import conform, joins, tax, totals
-from tillwarden.sources import landing, registry, rtlog as R
+from tillwarden.plans import nightly
+from tillwarden.sources import canonical, landing, registry, rtlog as R
 
 
 def some_records():
@@ -204,3 +205,54 @@ def test_store_day_closes_with_its_registers(spark):
     days = {r.store: r for r in totals.build_store_day(heads, stores).collect()}
     assert (days[1].store_status, days[1].data_status, days[1].inv_store_ind, days[1].files_loaded) == ("CLOSED", "F", "N", 1)
     assert (days[2].store_status, days[2].data_status, days[2].inv_store_ind) == ("OPEN", "P", "Y")
+
+
+def test_same_day_number_of_two_years_stays_apart(spark, tmp_path):
+    base = str(tmp_path / "canonical")
+    for year, no in ((2023, 1), (2024, 2)):
+        day = frame(spark, [record(no, business_date=f"{year}-01-05", tran_datetime=f"{year}-01-05T12:00:00+05:30")])
+        canonical.write_canonical(conform.fan_out(day), base)
+    heads = canonical.read_canonical(spark, base, "sa_tran_head")
+    assert sorted((str(r.business_date), r.day) for r in heads.collect()) == [("2023-01-05", 5), ("2024-01-05", 5)]
+    kids = {c: canonical.read_canonical(spark, base, f"sa_tran_{c}") for c in ("tender", "igtax")}
+    empty = conform.fan_out(frame(spark, [record(1)]))
+    sums = totals.calc_totals(heads, kids["tender"], empty["sa_tran_tax"], kids["igtax"], empty["sa_tran_disc"])
+    counts = {str(r.business_date): r.total_value for r in sums.filter("total_id = 'TRANCOUNT'").collect()}
+    assert counts == {"2023-01-05": 1, "2024-01-05": 1}
+
+
+def test_nightly_run_takes_plain_deliveries_and_repeats(spark, tmp_path):
+    """No discounts and no additive taxes; a file that comes twice; a later record of the same day."""
+    base = str(tmp_path / "base")
+    stores = spark.createDataFrame([(1, "A", 2, "India", "INR", "84.5")], "store_no long, store_name string, tills int, country string, local_currency string, exchange_rate_to_usd string")
+    nightly.run(spark, land([record(1), record(2)], tmp_path / "day1"), base, stores, ingest_date="2024-03-15")
+    again = land([record(1), record(2), record(3)], tmp_path / "day2")
+    nightly.run(spark, again, base, stores, ingest_date="2024-03-16")
+    heads = canonical.read_canonical(spark, base, "sa_tran_head")
+    assert sorted(r.tran_no for r in heads.collect()) == [1, 2, 3]
+    sums = {r.total_id: r.total_value for r in canonical.read_canonical(spark, base, "totals").collect()}
+    assert sums["TRANCOUNT"] == 3 and sums["DISCTOTAL"] == 0
+    assert spark.read.parquet(f"{base}/bronze").groupBy("ingest_date").count().count() == 2
+
+
+def test_equal_rows_of_a_file_all_land(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("k,v\n1,x\n1,x\n2,y\n")
+    path = str(tmp_path / "bronze")
+    for _ in range(2):
+        landing.land_csv(spark, str(tmp_path / "in"), "k int, v string", path, "2024-01-01")
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 1, 2]
+
+
+def test_keys_of_every_element_are_checked(spark, tmp_path):
+    r = record(1)
+    second = dict(r["tran_item"][0], item_seq_no=2, dept=None)
+    del second["class"]
+    r["tran_item"].append(second)
+    raw = R.read_rtlog_raw(spark, land([r], tmp_path))
+    got = raw.select(
+        rawjson.absent_keys("value", "tran_item").alias("absent"),
+        F.array_contains(rawjson.null_keys("value", "tran_item"), "dept").alias("null_dept"),
+        F.array_contains(rawjson.present_keys("value", "tran_item"), "class").alias("has_class"),
+    ).first()
+    assert got.absent == ["class"] and got.null_dept and not got.has_class

@@ -208,3 +208,41 @@ def test_status_follows_errors(spark):
     over = audit.advance_status(conform.heads(df), e.withColumn("hq_override_ind", F.lit("Y")), ref.error_codes(spark))
     assert {r.status for r in over.collect()} == {"APPROVED", "VALIDATED"}
     assert [d.audit_status for d in audit.advance_audit_status(over, post=True).collect()] == ["POSTED"]
+
+
+def test_faulty_lines_without_a_number_are_reported(spark):
+    def faults(r):
+        r["tran_item"][0].update(item_seq_no=None, unit_retail=None)
+        r["tran_tender"][0].update(tender_seq_no=None, cc_no="4111111111111111")
+
+    codes = {c for c, _ in hits(spark, [edit(faults)])}
+    assert {"RETAIL_NOT_POSITIVE", "CC_NOT_MASKED"} <= codes
+
+
+def test_sale_without_value_and_tender_is_reported(spark):
+    def faults(r):
+        r["tran_head"]["value"] = None
+        r["tran_tender"] = []
+
+    assert "MISSING_TENDER" in {c for c, _ in hits(spark, [edit(faults)])}
+
+
+def test_card_shown_is_that_of_the_line_named(spark):
+    def faults(r):
+        first = dict(r["tran_tender"][0], tender_seq_no=2, cc_no="4222222222222222", tender_amt=0.0, orig_curr_amt=0.0)
+        r["tran_tender"][0]["cc_no"] = "4111111111111111"
+        r["tran_tender"].insert(0, first)
+
+    row = audit.audit_nested(frame(spark, [edit(faults)])).filter("error_code = 'CC_NOT_MASKED'").first()
+    assert row.key_value_1 == 1 and row.orig_cc_no.endswith("1111")
+
+
+def test_tax_numbers_are_unique_with_repeated_items(spark):
+    from tillwarden.operators import tax
+
+    items = spark.createDataFrame(
+        [(1, 1, 2.0, 10.0), (1, 1, 1.0, 5.0), (1, 3, 1.0, 7.0)], "tran_no long, item_seq_no long, qty double, unit_retail double"
+    ).withColumns({"qty": F.col("qty").cast("decimal(12,4)"), "unit_retail": F.col("unit_retail").cast("decimal(20,4)")})
+    lines = tax.igtax_lines(items, ["tran_no"]).collect()
+    assert sorted(r.igtax_seq_no for r in lines) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.tax_seq_no for r in tax.additive_tax_lines(items, ["tran_no"]).collect()) == [1, 2, 3]

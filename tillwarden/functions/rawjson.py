@@ -22,29 +22,36 @@ def section_keys(section: str) -> list[str]:
     return struct_of(HEAD_DDL if section == "tran_head" else CHILDREN[section][0]).fieldNames()
 
 
-def _path(section: str) -> str:
-    if section == "$" or section == "tran_head":
-        return "$" if section == "$" else "$.tran_head"
-    return f"$.{section}[0]"
+def _objects(raw: Column, section: str) -> Column:
+    """The objects of a section as maps: one for the record or header, every element of an array."""
+    if section == "$":
+        return F.array(F.from_json(raw, "map<string,string>"))
+    body = F.get_json_object(raw, f"$.{section}")
+    if section == "tran_head":
+        return F.when(body.isNotNull(), F.array(F.from_json(body, "map<string,string>")))
+    return F.from_json(body, "array<map<string,string>>")
 
 
 def present_keys(raw: Column | str, section: str = "$") -> Column:
-    raw = _col(raw)
-    return F.json_object_keys(raw if section == "$" else F.get_json_object(raw, _path(section)))
+    """Keys that every object of the section has; NULL when the section is absent or empty."""
+    objects = _objects(_col(raw), section)
+    keys = F.transform(objects, lambda m: F.map_keys(m))
+    return F.aggregate(keys, F.get(keys, F.lit(0)), lambda a, b: F.array_intersect(a, b))
 
 
 def absent_keys(raw: Column | str, section: str = "$") -> Column:
-    """Keys that are not there at all; NULL when the section itself is absent."""
+    """Keys that some object of the section lacks; NULL when the section itself is absent."""
     wanted = F.array(*[F.lit(k) for k in section_keys(section)])
-    return F.array_except(wanted, present_keys(raw, section))
+    objects = _objects(_col(raw), section)
+    lacking = F.transform(objects, lambda m: F.array_except(wanted, F.map_keys(m)))
+    return F.array_distinct(F.flatten(lacking))
 
 
 def null_keys(raw: Column | str, section: str = "$") -> Column:
-    """Keys that are there with an explicit null."""
-    raw = _col(raw)
-    body = raw if section == "$" else F.get_json_object(raw, _path(section))
-    as_map = F.from_json(body, "map<string,string>")
-    return F.array_sort(F.map_keys(F.map_filter(as_map, lambda _, v: v.isNull())))
+    """Keys that are there with an explicit null in some object of the section."""
+    objects = _objects(_col(raw), section)
+    nulls = F.transform(objects, lambda m: F.map_keys(F.map_filter(m, lambda _, v: v.isNull())))
+    return F.array_sort(F.array_distinct(F.flatten(nulls)))
 
 
 def item_keys_ok(raw: Column | str) -> Column:

@@ -7,22 +7,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwarden import reference as ref
 from tillwarden.functions import money as M
 from tillwarden.operators.joins import items_by_authority, lookup_promo
+from tillwarden.operators.spread import with_row_number
 
 TAX_MODES = ("IGTAX", "TAX", "BOTH")
 
 
+def _numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Running numbers in a transaction, by ranges of item numbers so that a long one is spread."""
+    bucket = F.floor(F.coalesce("item_seq_no", F.lit(0)) / 4096)
+    return with_row_number(rows, keys, [F.coalesce(c, F.lit(0)) for c in order], bucket)
+
+
 def igtax_lines(items: DataFrame, keys: list[str], authorities: list[tuple] | None = None) -> DataFrame:
     """One row per item and authority, numbered through the whole transaction.
 
-    With items numbered 1..n the running number follows from the item number
-    and the position of the authority, so no window is needed.
+    Numbers are counted, not derived from item numbers, which may repeat or leave gaps.
     """
-    n = len(authorities if authorities is not None else ref.IGTAX_AUTHORITIES)
-    rows = items_by_authority(items, authorities)
+    rows = _numbered(items_by_authority(items, authorities), keys, ["item_seq_no", "authority_no"])
     return rows.select(
         *keys,
         "item_seq_no",
-        ((F.col("item_seq_no") - 1) * n + F.col("authority_no")).cast("long").alias("igtax_seq_no"),
+        F.col("row_no").alias("igtax_seq_no"),
         "tax_authority",
         "igtax_code",
         "igtax_rate",
@@ -32,10 +37,11 @@ def igtax_lines(items: DataFrame, keys: list[str], authorities: list[tuple] | No
 
 
 def additive_tax_lines(items: DataFrame, keys: list[str]) -> DataFrame:
-    return items.select(
+    """One row per item, numbered through the whole transaction."""
+    return _numbered(items, keys, ["item_seq_no"]).select(
         *keys,
         F.lit(ref.ADDITIVE_TAX[0]).alias("tax_code"),
-        F.col("item_seq_no").cast("long").alias("tax_seq_no"),
+        F.col("row_no").alias("tax_seq_no"),
         M.additive_tax().alias("tax_amt"),
         F.lit("N").alias("error_ind"),
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tillwarden.operators.spread import with_row_number
+
 
 def _existing_keys(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -34,8 +36,16 @@ def land_bronze(df: DataFrame, path: str, ingest_date: Column | str | None = Non
 
 
 def _keyed(df: DataFrame) -> DataFrame:
-    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
-    return df.withColumn("record_key", F.sha2(row, 256))
+    """Rows keyed by file, content and which of the file's equal rows they are.
+
+    Equal rows of a file are separate records; a file that comes again adds nothing.
+    """
+    columns = df.columns
+    row = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
+    told = df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.sha2(row, 256)})
+    numbered = with_row_number(told, ["_file", "_row"], [F.col("_row")], out="_copy")
+    key = F.sha2(F.concat_ws("|", "_file", "_row", F.col("_copy").cast("string")), 256)
+    return numbered.select(*columns, key.alias("record_key"))
 
 
 def land_csv(
