@@ -27,6 +27,28 @@ def _toward_minimum(edges: DataFrame, both_ways: bool) -> DataFrame:
     return moved.filter(F.col("a") != F.col("b")).distinct()
 
 
+def joined_components(labels: DataFrame, links: DataFrame, name: str = "components") -> DataFrame:
+    """Labels from ``components`` after further links (a, b), a written table.
+
+    Only the links' own components take part: links are drawn between component ids, which are then
+    renamed, so the work follows the new links and one pass over the labels.
+    """
+    if links.isEmpty():
+        return labels
+    ends = links
+    for side in ("a", "b"):
+        known = labels.select(F.col("doc_id").alias("node"), F.col("component_id").alias("comp"))
+        ends = ends.join(known, F.col(side) == F.col("node"), "left").withColumn(side, F.coalesce("comp", side))
+        ends = ends.drop("node", "comp")
+    renamed = components(ends, name).select(F.col("doc_id").alias("old"), F.col("component_id").alias("new"))
+    kept = labels.join(renamed, F.col("component_id") == F.col("old"), "left").select(
+        "doc_id", F.coalesce("new", "component_id").alias("component_id")
+    )
+    # component ids that had no label of their own: documents without a link so far
+    fresh = renamed.join(labels.select("doc_id"), F.col("old") == F.col("doc_id"), "left_anti")
+    return written(kept.union(fresh.select("old", "new")), name)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(doc_id, component_id) of every node with an edge; the id is the least node reached.
 

@@ -14,7 +14,7 @@ k/2 = 2 this is 0.9994 at 0.8 and 0.99998 at 0.87.
 4. What is still in another component than its bucket's drawn member is compared with every
    member of the bucket outside its own component, so no link of a bucket is left out.  A large
    group whose members are a little too different has many such pairs, so the join
-   itself compares finer sketches: 256 bins of the hash range with four bits of each bin's least
+   itself compares finer sketches: 512 bins of the hash range with four bits of each bin's least
    shingle.  A pair is looked at in its first common table only, and goes on unless its share of
    agreeing bins is four standard errors below the threshold.
 5. Candidates that fit in size and sketch get their texts by two joins, and are confirmed on
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwarden.llm import wordhash
-from tillwarden.llm.components import components
+from tillwarden.llm.components import components, joined_components
 from tillwarden.llm.shared import texts, written
 
 U = np.uint64
@@ -47,7 +47,8 @@ GROUPS = 8  # m: groups in a collection
 MINIMA = 2  # minima in a group
 SKETCH_LEAST = 17
 BROADCAST_PAIRS = 100_000
-CODES = 16  # longs of 16 four-bit codes
+BIN_BITS = 9
+CODES = (1 << BIN_BITS) // 16  # longs of 16 four-bit codes
 STANDARD_ERRORS = 4.0
 
 _draw = np.random.Generator(np.random.PCG64(8))
@@ -71,8 +72,8 @@ def shingle_sets(batch: list[bytes], k: int) -> Iterator[np.ndarray]:
 
 
 def _codes(values: np.ndarray) -> np.ndarray:
-    """Four bits (1 to 15, 0: none) of the least value in each of 256 ranges, in 16 numbers."""
-    bins = (values >> U(56)).astype(np.int64)
+    """Four bits (1 to 15, 0: none) of the least value in each of 512 ranges, in 32 numbers."""
+    bins = (values >> U(64 - BIN_BITS)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], bins[1:] != bins[:-1]))) if len(values) else bins
     code = np.zeros(16 * CODES, dtype=np.uint64)
     code[bins[first]] = U(1) + (values[first] & U(0xFFFFFFFF)) % U(15)
@@ -188,7 +189,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     centre is joined last, so rows that share it arrive together and its set is built once.
     """
     source = texts(docs)
-    if pairs.count() <= BROADCAST_PAIRS:
+    n_pairs = pairs.count()
+    if n_pairs == 0:
+        return pairs.select("a", "b")
+    if n_pairs <= BROADCAST_PAIRS:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         source = source.join(F.broadcast(ids), F.col("doc_id") == F.col("id"), "left_semi")
     one = source.select(F.col("doc_id").alias("a_id"), F.col("text").alias("a_text"))
@@ -259,8 +263,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         return fit.select(F.col("doc_id").alias("a"), F.col("other").alias("b")).distinct()
 
     tried = written(pairs_of(members), "pairs")
-    links = written(confirmed(tried, docs, shingle, percent).union(same_id), "links")
-    labels = components(links)
+    labels = written(components(confirmed(tried, docs, shingle, percent).union(same_id)), "labels")
 
     def untried(pairs: DataFrame) -> DataFrame:
         both = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -285,8 +288,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
     second = written(untried(pairs_of(apart)), "pairs")
     tried = tried.union(second)
-    links = links.union(written(confirmed(second, docs, shingle, percent), "links"))
-    labels = components(links)
+    labels = joined_components(labels, written(confirmed(second, docs, shingle, percent), "links"))
 
     # the rest: rows outside their centre's component against the whole bucket
     comps = labels.select(F.col("doc_id").alias("node"), F.col("component_id").alias("new_comp"))
@@ -321,8 +323,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         & _first_common_table(),
     )
     third = written(untried(pairs_of(crossed)), "pairs")
-    links = links.union(written(confirmed(third, docs, shingle, percent), "links"))
-    labels = components(links).select(F.col("doc_id").alias("node"), "component_id")
+    labels = joined_components(labels, written(confirmed(third, docs, shingle, percent), "links"))
+    labels = labels.select(F.col("doc_id").alias("node"), "component_id")
 
     # only classes of several rows need to be looked up by their set
     shared_sets = classes.filter("n_rows > 1").select(
