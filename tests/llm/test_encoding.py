@@ -19,6 +19,7 @@ TEXTS = [
     (7, "again"), (7, "again"),
     (None, "no id"),
     (9, "w" * 5000 + " end"),
+    (10, "End. End, e\u0301t. \u0301. I\u0307. x.. don't. 12. a1, ß! K\u212a. \u01c5? end: . ,"),
 ]
 
 
@@ -42,7 +43,7 @@ def test_records_hold_the_librarys_ids(spark, docs, tmp_path):
     crc = lambda ids: zlib.crc32(np.array(ids, dtype="<u4").tobytes())
     got = sorted(index, key=lambda r: r.start)
     assert [r.doc_id is not None for r in got] == sorted(r.doc_id is not None for r in got)
-    assert [r.doc_id for r in got if r.doc_id] == [1, 2, 3, 5, 5, 7, 7, 9]
+    assert [r.doc_id for r in got if r.doc_id] == [1, 2, 3, 5, 5, 7, 7, 9, 10]
     assert sorted((r.doc_id or 0, r.n_tokens, r.ids_crc32) for r in got) == sorted((i, len(x), crc(x)) for _, i, x in want)
     assert [r.start for r in got] == [0, *itertools.accumulate(r.n_tokens for r in got)][:-1]
     for seed in (1, 2):

@@ -82,6 +82,7 @@ class WordEncoder:
     KNOWN = 500_000
     LONG = 80  # longer words are encoded each time
     SEPARATOR = "\x01"
+    ENDS = ".,;:!?"
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -99,6 +100,20 @@ class WordEncoder:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _learn(self, words: list[str]) -> None:
+        """Ids of new words; a word of letters and one end mark is put together from the two.
+
+        The pre-tokenizer parts letters from marks, and neither normalises into the other.
+        """
+        marked = [w for w in words if w[-1] in self.ENDS and w[:-1].isalpha()]
+        if marked:
+            bare = {w[:-1] for w in marked}.union(w[-1] for w in marked).difference(self.known)
+            self._learn_whole(sorted(bare.union(words).difference(marked)))
+            for w in marked:
+                self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
+        else:
+            self._learn_whole(words)
+
+    def _learn_whole(self, words: list[str]) -> None:
         apart = [w for w in words if self.mark is None or self.SEPARATOR in w]
         for w in apart:
             self.known[w] = self._one(w)
