@@ -120,4 +120,54 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10
     """,
+    "op8_near_duplicates": """
+        WITH RECURSIVE read AS (
+            SELECT doc_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'
+            ), []) AS w FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 3), ' ') AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, least(len(w), 1)))) AS s FROM read)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c >= 80 * (x.n + y.n - c)
+        ),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+        ),
+        least_one AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least_one c ON c.doc_id = d.doc_id
+    """,
+    "op9_repeated_passages": """
+        WITH read AS (
+            SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS s FROM read WHERE len(w) >= 20)
+        ),
+        repeats AS (
+            SELECT doc_id, s FROM (
+                SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS r FROM windows
+            ) WHERE r > 1
+        ),
+        gone AS (SELECT DISTINCT doc_id, s + k AS p FROM repeats, generate_series(0, 19) t(k)),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM read),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+            FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT r.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM read r LEFT JOIN kept k ON k.doc_id = r.doc_id
+    """,
 }
