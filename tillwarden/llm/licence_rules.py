@@ -115,9 +115,10 @@ NUMBER = r"[0-9]+(?:\.[0-9]+)*"
 
 def _sentences(text: Column) -> Column:
     """Running prose cut at end marks, then single lines; each in the order of the text."""
-    lines = F.split(text, "\n")
-    prose = F.regexp_replace(text, r"\n[ \t]*\n", ". ")
-    prose = F.regexp_replace(prose, r"\n[ \t]*(?://|#|\*|--)?", " ")
+    plain = F.regexp_replace(text, r"(?m)^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+)[ \t]*", "")
+    lines = F.split(plain, "\n")
+    prose = F.regexp_replace(plain, r"\n[ \t]*\n", ". ")
+    prose = F.regexp_replace(prose, r"\n[ \t]*", " ")
     # a full stop inside a number is none: the mark must be followed by white space
     prose = F.split(F.regexp_replace(prose, r"([.!?;:])+\s+", "\n"), "\n")
     return F.struct(prose.alias("prose"), lines.alias("lines"))
