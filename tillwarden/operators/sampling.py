@@ -24,12 +24,13 @@ def _slot(h: Column) -> Column:
 def sample_exact(df: DataFrame, key: list[str], rate: float, seed: int = 0) -> DataFrame:
     """Exactly ``round(n * rate)`` rows (half to even), without replacement.
 
-    Rows are taken in the order of a seeded hash of their unique key.  Counts
+    Rows are taken in the order of the MD5 of seed and unique key.  Counts
     per hash slot tell which slots are taken whole and which single slot is
     taken in part; only that slot is sorted.  Nothing passes the driver.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *key)).withColumn(
-        "_slot", _slot(F.col("_hash"))
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    hashed = df.withColumn("_hash", F.md5(text.cast("binary"))).withColumn(
+        "_slot", F.conv(F.substring("_hash", 1, SLOT_BITS // 4), 16, 10).cast("long")
     )
     sizes = hashed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n"))
     total = F.coalesce(sizes.agg(F.sum("_n")).scalar(), F.lit(0))

@@ -13,7 +13,10 @@ TAX_MODES = ("IGTAX", "TAX", "BOTH")
 
 
 def _numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Running numbers in a transaction, by ranges of item numbers so that a long one is spread."""
+    """Running numbers in a transaction, by ranges of item numbers so that a long one is spread.
+
+    Lines of one item number follow their price and quantity.
+    """
     bucket = F.floor(F.coalesce("item_seq_no", F.lit(0)) / 4096)
     return with_row_number(rows, keys, [F.coalesce(c, F.lit(0)) for c in order], bucket)
 
@@ -23,7 +26,7 @@ def igtax_lines(items: DataFrame, keys: list[str], authorities: list[tuple] | No
 
     Numbers are counted, not derived from item numbers, which may repeat or leave gaps.
     """
-    rows = _numbered(items_by_authority(items, authorities), keys, ["item_seq_no", "authority_no"])
+    rows = _numbered(items_by_authority(items, authorities), keys, ["item_seq_no", "unit_retail", "qty", "authority_no"])
     return rows.select(
         *keys,
         "item_seq_no",
@@ -38,7 +41,7 @@ def igtax_lines(items: DataFrame, keys: list[str], authorities: list[tuple] | No
 
 def additive_tax_lines(items: DataFrame, keys: list[str]) -> DataFrame:
     """One row per item, numbered through the whole transaction."""
-    return _numbered(items, keys, ["item_seq_no"]).select(
+    return _numbered(items, keys, ["item_seq_no", "unit_retail", "qty"]).select(
         *keys,
         F.lit(ref.ADDITIVE_TAX[0]).alias("tax_code"),
         F.col("row_no").alias("tax_seq_no"),

@@ -134,7 +134,8 @@ def igtax_lines(spark, sf):
 @query(
     "additive_tax",
     ["o_item"],
-    """SELECT tran_no, 'GSTTOT' AS tax_code, item_seq_no AS tax_seq_no,
+    """SELECT tran_no, 'GSTTOT' AS tax_code,
+         row_number() OVER (PARTITION BY tran_no ORDER BY item_seq_no, unit_retail, qty) AS tax_seq_no,
          CAST(qty * CAST(0.18 AS DECIMAL(4,4)) * unit_retail AS DECIMAL(20,4)) AS tax_amt FROM o_item""",
 )
 def additive_tax(spark, sf):

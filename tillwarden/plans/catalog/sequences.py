@@ -236,9 +236,16 @@ def first_n(spark, sf):
     return sampling.first_n(heads, order, 1000)
 
 
-@query("sample_exact")
+@query(
+    "sample_exact",
+    ["o_head"],
+    """SELECT tran_no, store, business_date, value FROM o_head
+       QUALIFY row_number() OVER (ORDER BY md5('7|' || CAST(tran_no AS VARCHAR)), tran_no)
+         <= (SELECT CAST(round_even(CAST(count(*) AS DOUBLE) * 0.02, 0) AS BIGINT) FROM o_head)""",
+)
 def sample_exact(spark, sf):
-    return sampling.sample_exact(T.order_head(spark, sf), ["tran_no"], 0.02, seed=7)
+    sample = sampling.sample_exact(T.order_head(spark, sf), ["tran_no"], 0.02, seed=7)
+    return sample.select("tran_no", "store", "business_date", "value")
 
 
 @query(

@@ -211,7 +211,7 @@ _view("o_tender", [], """
       (['AED', 'USD', 'INR', 'GBP', 'SGD'])[l_suppkey % 5 + 1] AS orig_currency
     FROM lineitem""")
 _view("o_igtax", ["o_item"], """
-    SELECT tran_no, item_seq_no, row_number() OVER (PARTITION BY tran_no ORDER BY item_seq_no, a) AS igtax_seq_no,
+    SELECT tran_no, item_seq_no, row_number() OVER (PARTITION BY tran_no ORDER BY item_seq_no, unit_retail, qty, a) AS igtax_seq_no,
       CASE a WHEN 1 THEN 'CGST' ELSE 'SGST' END AS tax_authority,
       CAST(qty * CAST(0.09 AS DECIMAL(4,4)) * unit_retail AS DECIMAL(20,4)) AS total_igtax_amt
     FROM o_item, generate_series(1, 2) g(a)""")
