@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwarden import reference as ref
 from tillwarden.functions import calendar as C, keys as K, money as M
+from tillwarden.operators import sequence, spread
 
 SUM = "decimal(38,4)"
 
@@ -212,10 +213,12 @@ def errors_rollup(errors: DataFrame) -> DataFrame:
 
 
 def fault_rate(facts: DataFrame, is_bad: Column) -> DataFrame:
-    """Share of bad records and whether it is within 0..10 per cent."""
-    return facts.agg(
-        F.count(F.lit(1)).alias("n_all"), F.count_if(is_bad).alias("n_bad")
-    ).withColumns(
+    """Share of records that are bad or repeat a number, and whether it is within 0..10 per cent."""
+    marked = facts.withColumn("_bad", is_bad)
+    alone = marked.agg(F.count(F.lit(1)).alias("n_all"), F.count_if("_bad").alias("n_bad"))
+    repeated = spread.with_repeated_key(marked.select("_bad", *sequence.TRAN_NO_KEY), sequence.TRAN_NO_KEY)
+    more = repeated.agg(F.lit(0).cast("long").alias("n_all"), F.count_if(~F.col("_bad")).alias("n_bad"))
+    return alone.unionByName(more).agg(F.sum("n_all").alias("n_all"), F.sum("n_bad").alias("n_bad")).withColumns(
         {
             "rate_bp": F.expr("n_bad * 10000 div n_all"),
             "in_range": F.when(F.col("n_bad") * 10 <= F.col("n_all"), "Y").otherwise("N"),

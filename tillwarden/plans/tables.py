@@ -195,10 +195,8 @@ def till_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     if where not in _LANDED:
         path = work_dir(spark, "till_log")
         events = table(spark, sf_dir, "events")
-        cores = spark.sparkContext.defaultParallelism
-        if len(events.inputFiles()) < cores:
-            # fewer files than cores: spread the rows before the work starts
-            events = events.repartition(cores, "event_id")
+        # rows are spread before the work starts; adaptive execution chooses how far
+        events = events.repartition("event_id")
         nest_events(events).withColumn("record_key", K.record_key()).write.parquet(path)
         _LANDED[where] = path
     return spark.read.parquet(_LANDED[where])
