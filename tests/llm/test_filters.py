@@ -115,15 +115,15 @@ def test_toxic_words_are_learned_and_odd_rows_scored(spark, odd):
     rows = [(i, text(i, i % 3 == 0)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)] + [(None, 1), (3, None)], "doc_id long, toxic int")
-    words, toxic = X.sample_rows(docs, labels, "toxic", F.lit(True))
-    model = X.fit_ordinal(words, X.graded(words, toxic > 0))
+    words, toxic, weights = X.sample_rows(docs, labels, "toxic", F.lit(True))
+    model = X.fit_ordinal(words, X.graded(words, toxic > 0), weights)
     got = {r.doc_id: r for r in X.scored(docs, model).collect()}
     assert all((got[i].p_toxic > 0.5) == (i % 3 == 0) for i in range(300))
     out = X.scored(odd, model).collect()
     assert len(out) == len(ODD) and all(r.p_toxic < 0.5 for r in out)
     assert X.scored(odd.limit(0), model).collect() == []
-    words, toxic = X.sample_rows(docs, labels.limit(0), "toxic", F.lit(True))
-    assert all(r.severity < 1e-6 for r in X.scored(odd, X.fit_ordinal(words, toxic)).collect())
+    words, toxic, weights = X.sample_rows(docs, labels.limit(0), "toxic", F.lit(True))
+    assert all(r.severity < 1e-6 for r in X.scored(odd, X.fit_ordinal(words, toxic, weights)).collect())
 
 
 # --- quality

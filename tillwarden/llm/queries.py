@@ -43,8 +43,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every text, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
     learn = ~quality_rules.held_out(F.col("label_id"))
-    words, toxic = toxicity.sample_rows(docs, table(spark, sf_dir, "labels"), "toxic", learn)
-    model = toxicity.fit_ordinal(words, toxicity.graded(words, toxic > 0))
+    words, toxic, weights = toxicity.sample_rows(docs, table(spark, sf_dir, "labels"), "toxic", learn)
+    model = toxicity.fit_ordinal(words, toxicity.graded(words, toxic > 0), weights)
     return toxicity.scored(docs, model).withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
 
 

@@ -13,8 +13,9 @@ thresholds are kept in order by learning the logarithms of their distances.
 Where labels only say toxic or not, ``graded`` makes grades: 0 for clean rows, and for toxic ones
 1 to 3 by terciles of the number of words that toxic rows hold far more often than clean ones.
 
-The fit takes at most SAMPLE labelled rows, those of least hash of their doc_id; scoring runs over all
-rows, by whole texts, in Arrow batches.
+The fit takes at most SAMPLE labelled rows, half of them toxic, those of least hash of their doc_id; each
+counts as many times as rows of its kind were left out, so probabilities are those of all labelled
+rows.  Scoring runs over all rows, by whole texts, in Arrow batches.
 
 Cases: a null text is scored as an empty one; rows with a null label or doc_id are not learned from;
 without both kinds of labels the expected severity is the labels' mean grade (0 without any);
@@ -72,12 +73,17 @@ class OrdinalModel:
         return _sigmoid(values[:, None] - self.thresholds[None, :])
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray) -> OrdinalModel:
-    """Fit on the distinct buckets and the grade (0 to K) of each row."""
+def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, weights: np.ndarray | None = None) -> OrdinalModel:
+    """Fit on the distinct buckets, the grade (0 to K) and the weight of each row."""
     top = int(grades.max(initial=0))
     n, toxic = len(rows), int((grades > 0).sum())
+    counts = np.ones(n) if weights is None else weights * (n / max(weights.sum(), 1e-9))
+
+    def reaching(k: int) -> float:
+        return float(((grades >= k) * counts).sum() / n)
+
     if top == 0 or toxic == n:
-        share = np.array([(grades >= k).mean() if n else 0.0 for k in range(1, max(top, 1) + 1)])
+        share = np.array([reaching(k) if n else 0.0 for k in range(1, max(top, 1) + 1)])
         share = np.clip(share, 1e-9, 1 - 1e-9)
         return OrdinalModel(np.empty(0, np.int64), np.empty(0), -np.log(share / (1 - share)))
     sets = [np.unique(r) for r in rows]
@@ -102,7 +108,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray) -> OrdinalModel:
     col, row = place[index[keep]], owner[keep]
 
     # thresholds: first one and the logarithms of the steps up
-    shares = np.clip([(grades >= k).mean() for k in range(1, top + 1)], 1e-6, 1 - 1e-6)
+    shares = np.clip([reaching(k) for k in range(1, top + 1)], 1e-6, 1 - 1e-6)
     start = -np.log(shares / (1 - shares))
     free = np.concatenate(([start[0]], np.log(np.maximum(np.diff(start), 1e-2))))
     w = np.zeros(len(chosen))
@@ -115,11 +121,12 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray) -> OrdinalModel:
         here = np.maximum(reach[sits, grades] - reach[sits, grades + 1], 1e-9)
         slope = reach * (1 - reach)
         # of minus the log likelihood: by the value, and by the cuts below and above the grade
-        by_value = -(slope[sits, grades] - slope[sits, grades + 1]) / here / n
+        share = counts / here / n
+        by_value = -(slope[sits, grades] - slope[sits, grades + 1]) * share
         by_cut = np.zeros(top)
         low, high = grades > 0, grades < top
-        np.add.at(by_cut, grades[low] - 1, (slope[sits, grades] / here / n)[low])
-        np.add.at(by_cut, grades[high], -(slope[sits, grades + 1] / here / n)[high])
+        np.add.at(by_cut, grades[low] - 1, (slope[sits, grades] * share)[low])
+        np.add.at(by_cut, grades[high], -(slope[sits, grades + 1] * share)[high])
         by_free = np.concatenate(([by_cut.sum()], np.exp(free[1:]) * np.cumsum(by_cut[::-1])[::-1][1:]))
         gradient = np.concatenate([np.bincount(col, weights=by_value[row], minlength=len(w)) + RIDGE * w, by_free])
         moment = 0.9 * moment + 0.1 * gradient
@@ -147,11 +154,16 @@ def graded(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic, 1 + (hits > cuts[0]) + (hits > cuts[1]), 0)
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> tuple[list[np.ndarray], np.ndarray]:
-    """Word buckets and labels of at most SAMPLE labelled rows, on the driver."""
+def sample_rows(
+    docs: DataFrame, labels: DataFrame, label: str, learn: Column
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Word buckets, labels and weights of at most SAMPLE labelled rows, on the driver."""
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col(label).cast("int").alias("label"))
     known = known.filter("label_id is not null and label is not null").filter(learn)
-    chosen = known.orderBy(F.xxhash64("label_id"), "label_id", "label").limit(SAMPLE)
+    kinds = [known.filter("label > 0"), known.filter("label <= 0")]
+    totals = known.agg(F.count_if(F.col("label") > 0), F.count_if(F.col("label") <= 0)).first()
+    drawn = [k.orderBy(F.xxhash64("label_id"), "label_id", "label").limit(SAMPLE // 2) for k in kinds]
+    chosen = drawn[0].union(drawn[1])
     source = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +175,9 @@ def sample_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -
 
     featurised = source.select("label", F.col("text").cast("binary")).mapInArrow(featurise, "label int, words array<int>")
     got = featurised.limit(2 * SAMPLE).toArrow()  # repeated doc_ids may add rows
-    return [np.asarray(x.values) for x in got.column(1)], got.column(0).to_numpy().astype(np.int64)
+    found = got.column(0).to_numpy().astype(np.int64)
+    weights = np.where(found > 0, totals[0] / min(max(totals[0], 1), SAMPLE // 2), totals[1] / min(max(totals[1], 1), SAMPLE // 2))
+    return [np.asarray(x.values) for x in got.column(1)], found, weights
 
 
 def scored(docs: DataFrame, model: OrdinalModel) -> DataFrame:
