@@ -42,6 +42,7 @@ KNOWN = 800_000
 BLANK = "▁"
 UNIT = re.compile(r" *[^ \n]+|\n| +")
 NO_RANK = np.int32(2**31 - 1)
+NO_PAIR = np.int64(2**62)
 _BYTES = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -201,37 +202,40 @@ class DropoutEncoder:
         symbol = np.where(inside, self.vocabulary.by_code[codes], none).astype(np.int64)
         unknown = symbol < 0
         symbol[unknown] = none  # forms no pair
-        begin = np.tile(np.arange(width), (len(units), 1))  # first character of each symbol
+        # two numbers per place: symbol and its first character, rank and piece of the pair with the next
+        cells = symbol << 8 | np.arange(width)[None, :]
         sums = np.where(inside, (codes + 1).astype(np.uint64) * _factors(width)[None, :], U(0)).sum(axis=1, dtype=np.uint64)
         key = mix(mix(sums) + U((self.seed + stream * STEP) & MASK))
-        rank = np.full((len(units), width), NO_RANK, dtype=np.int32)
-        piece = np.zeros((len(units), width), dtype=np.int32)
+        pairs = np.full((len(units), width), NO_PAIR, dtype=np.int64)
 
         def offer(rows: np.ndarray, cols: np.ndarray) -> None:
-            r, p = self.vocabulary.merges(symbol[rows, cols], symbol[rows, cols + 1])
-            h = mix(key[rows] ^ (begin[rows, cols].astype(np.uint64) << U(32) | p.astype(np.uint64)))
+            left, right = cells[rows, cols], cells[rows, cols + 1]
+            r, p = self.vocabulary.merges(left >> 8, right >> 8)
             if self.limit:
+                h = mix(key[rows] ^ ((left & 255).astype(np.uint64) << U(32) | p.astype(np.uint64)))
                 r = np.where(h >= U(self.limit), r, NO_RANK)
-            rank[rows, cols], piece[rows, cols] = r, p
+            pairs[rows, cols] = np.where(r < NO_RANK, r.astype(np.int64) << 32 | p, NO_PAIR)
 
         if width > 1:
             offer(*np.nonzero(np.ones((len(units), width - 1), dtype=bool)))
-        live = np.flatnonzero(rank.min(axis=1) < NO_RANK)
+        live = np.flatnonzero(pairs.min(axis=1) < NO_PAIR)
+        columns = np.arange(width)[None, :]
         while len(live):
-            at = rank[live].argmin(axis=1)
-            symbol[live, at] = piece[live, at]
+            at = pairs[live].argmin(axis=1)
+            merged = pairs[live, at] & 0xFFFFFFFF
+            cells[live, at] = merged << 8 | (cells[live, at] & 255)
             # close the gap: everything right of the merged pair moves one place to the left
-            moved = np.arange(width)[None, :] + (np.arange(width)[None, :] > at[:, None])
-            moved[:, -1] = width - 1
-            for table, empty in ((symbol, none), (begin, 0), (rank, NO_RANK), (piece, 0)):
-                rows = np.take_along_axis(table[live], np.minimum(moved, width - 1), axis=1)
+            moved = np.minimum(columns + (columns > at[:, None]), width - 1)
+            for table, empty in ((cells, none << 8), (pairs, NO_PAIR)):
+                rows = np.take_along_axis(table[live], moved, axis=1)
                 rows[:, -1] = empty
                 table[live] = rows
             inner = at < width - 1
             offer(live[inner], at[inner])
             left = at > 0
             offer(live[left], at[left] - 1)
-            live = live[rank[live].min(axis=1) < NO_RANK]
+            live = live[pairs[live].min(axis=1) < NO_PAIR]
+        symbol = cells >> 8
         # symbols that are a piece, or a character without one
         out = []
         counts = (symbol != none).sum(axis=1)
@@ -254,7 +258,8 @@ class DropoutEncoder:
 
     def encode(self, batch: list[tuple[int, str]]) -> Iterator[bytes]:
         """Ids of (doc_id, text) as packed integers."""
-        cut, drawn = [], []
+        known = self.known
+        cut, drawn, packed = [], [], []
         wanted: list[set[str]] = [set() for _ in range(self.streams)]
         for doc_id, text in batch:
             units = UNIT.findall(" " + text) if text else []
@@ -264,22 +269,21 @@ class DropoutEncoder:
                 streams = (h % U(self.streams)).tolist()
             else:
                 streams = [0] * len(units)
+            parts = [known[s].get(u) for s, u in zip(streams, units)]
+            if None in parts:
+                for part, s, u in zip(parts, streams, units):
+                    if part is None:
+                        wanted[s].add(u)
             cut.append(units)
             drawn.append(streams)
-            if self.streams > 1:
-                for unit, s in set(zip(units, streams, strict=True)):
-                    if unit not in self.known[s]:
-                        wanted[s].add(unit)
-            else:
-                wanted[0].update(units)
-        for s, seen in enumerate(wanted):
-            self.learn(seen.difference(self.known[s]), s)
-        known = self.known
-        for units, streams in zip(cut, drawn, strict=True):
-            try:
-                yield b"".join([known[s][u] for s, u in zip(streams, units)])
-            except KeyError:
-                yield b"".join([known[s].get(u) or self.one(u, s) for s, u in zip(streams, units)])
+            packed.append(parts)
+        for s, units in enumerate(wanted):
+            self.learn(units, s)
+        for units, streams, parts in zip(cut, drawn, packed, strict=True):
+            if None in parts:
+                # long units are not stored
+                parts = [p or known[s].get(u) or self.one(u, s) for p, s, u in zip(parts, streams, units)]
+            yield b"".join(parts)
         for s, store in enumerate(known):
             if len(store) > KNOWN // self.streams:  # frequent units come first, so the later half goes
                 known[s] = dict(list(store.items())[: KNOWN // self.streams // 2])
