@@ -230,6 +230,19 @@ def test_reparameterised_items_are_found_and_mixed_ones_not(spark):
     assert leaks(spark, [], items) == [] and leaks(spark, docs, []) == []
 
 
+def test_a_conflict_removes_only_the_windows_that_hold_it(spark):
+    text = ("A shop sells {} red kites to each of the children who come by in the morning and then {} blue boats "
+            "to those who are still there when it closes")
+    named = "So {} went to the old market by the river and bought bread there before {} came home to the house on the hill"
+    items = [(1, text.format(3, 3)), (2, named.format("Anna", "Anna"))]
+    docs = [(1, text.format(5, 2)), (2, text.format(3, 4)), (3, named.format("Maria", "Eva")), (4, named.format("Anna", "Eva"))]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.n_windows, r.item_windows) for r in T.leaks(d, b).collect()}
+    # the second name stands in 8 windows, the first in 2
+    assert found == {(1, 1): (24, 24), (2, 1): (24, 24), (3, 2): (7, 17), (4, 2): (9, 17)}
+
+
 def test_windows_are_those_of_a_plain_version(spark):
     """Documents of plain words: a leak is a share of the item's windows, counted by hand."""
     import random

@@ -8,9 +8,10 @@ Texts are read as lower-cased words, of which some stand for a typed slot:
 
 Windows of ``window`` words and slots are hashed on both sides and joined.  A re-parameterised
 copy (other numbers, names and units) has the same windows; whether it is a copy shows in its slots:
-over all windows that a place of a document shares with an item, a value of the item must stand for
-one value of the document (one ``anna`` cannot be both ``maria`` and ``eva``).  A document leaks an
-item if its consistent windows make up ``percent`` of the item's windows.  Items shorter than a window
+over all windows that a place of a document shares with an item, a name or unit of the item must stand
+for one of the document (one ``anna`` cannot be both ``maria`` and ``eva``).  Windows that hold such a
+torn value do not count, unless all their names and units are the item's own; all others do.  Numbers are
+independent: two 3s of an item may become 5 and 2.  A document leaks an item if the windows that count make up ``percent`` of the item's windows.  Items shorter than a window
 are one window of their own length; windows need half of their places to be plain words, so
 that tables of figures do not match.
 
@@ -130,6 +131,11 @@ def _is_slot(word: Column) -> Column:
     return (word < ":") | word.isin(UNITS)
 
 
+def _must_agree(word: Column) -> Column:
+    """Names and units; numbers are independent, since equal ones may count different things."""
+    return (word < "0") | word.isin(UNITS)
+
+
 def _bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_BROADCAST else df
 
@@ -160,20 +166,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent:
     )
     matched = mine.join(_bounded_broadcast(theirs), ["hash", "size"]).filter(same)
     values = F.filter(
-        F.zip_with("part", "doc_part", lambda i, d: F.when(_is_slot(i), F.struct(i.alias("item"), d.alias("doc")))),
+        F.zip_with("part", "doc_part", lambda i, d: F.when(_must_agree(i), F.struct(i.alias("item"), d.alias("doc")))),
         lambda v: v.isNotNull(),
     )
     places = matched.select(
-        "doc_id", "item_id", "place", (F.col("doc_place") - F.col("place")).alias("offset"), values.alias("values")
-    )
-    groups = places.groupBy("doc_id", "item_id", "offset").agg(
-        F.collect_set("place").alias("places"), F.collect_set("values").alias("values")
+        "doc_id", "item_id", (F.col("doc_place") - F.col("place")).alias("offset"),
+        F.struct("place", values.alias("values")).alias("window"),
+    )
+    groups = places.groupBy("doc_id", "item_id", "offset").agg(F.collect_set("window").alias("windows"))
+    stands_for = F.array_distinct(F.flatten(F.transform("windows", lambda w: w["values"])))
+    groups = groups.withColumn("stands_for", stands_for)
+    # item values that stand for more than one document value
+    torn = F.array_distinct(
+        F.transform(
+            F.filter("stands_for", lambda v: F.exists("stands_for", lambda o: (o["item"] == v["item"]) & (o["doc"] != v["doc"]))),
+            lambda v: v["item"],
+        )
+    )
+    groups = groups.withColumn("torn", torn)
+    whole = F.filter(
+        "windows",
+        lambda w: F.forall(w["values"], lambda v: ~F.array_contains(F.col("torn"), v["item"]))
+        | F.forall(w["values"], lambda v: v["item"] == v["doc"]),
     )
-    stands_for = F.array_distinct(F.flatten("values"))
-    one_to_one = F.size(stands_for) == F.size(F.array_distinct(F.transform(stands_for, lambda v: v["item"])))
     found = (
-        groups.filter(one_to_one)
-        .select("doc_id", "item_id", F.explode("places").alias("place"))
+        groups.select("doc_id", "item_id", F.explode(F.transform(whole, lambda w: w["place"])).alias("place"))
         .groupBy("doc_id", "item_id")
         .agg(F.count_distinct("place").alias("n_windows"))
     )
