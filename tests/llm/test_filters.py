@@ -243,6 +243,21 @@ def test_a_conflict_removes_only_the_windows_that_hold_it(spark):
     assert found == {(1, 1): (24, 24), (2, 1): (24, 24), (3, 2): (7, 17), (4, 2): (9, 17)}
 
 
+def test_names_at_sentence_starts_and_slot_heavy_items(spark):
+    tom = "Tom has 3 red apples. Tom gives 2 away. How many are left?"
+    sums = "12 + 30 = 42, 5 kg + 6 kg = 11 kg, 7 - 2 = 5"
+    wrapped = "the price that\nAnna paid for it\n    Bella wrote down in the book"
+    items = [(1, tom), (2, sums), (3, wrapped)]
+    docs = [
+        (1, "Yes. " + tom.replace("Tom", "Anna").replace("3", "5").replace("2", "4")), (2, "See: " + sums + " and so on"),
+        (3, "13 + 31 = 44, 6 kg + 7 kg = 13 kg, 8 - 2 = 6"), (4, " ".join(wrapped.replace("Anna", "Maria").split())),
+        (5, tom.replace("3", "8").replace("Tom gives", "They give")),
+    ]
+    assert leaks(spark, docs, items) == [(1, 1), (2, 2), (4, 3)]
+    lone = "Anna 5 Bella 6 Clara 7 kg 8 met a man who then sold them a loaf of bread"
+    assert leaks(spark, [(1, lone.replace("5", "6").replace("Anna", "Eva"))], [(1, lone)], percent=100) == [(1, 1)]
+
+
 def test_windows_are_those_of_a_plain_version(spark):
     """Documents of plain words: a leak is a share of the item's windows, counted by hand."""
     import random
