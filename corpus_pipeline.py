@@ -31,25 +31,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that of least doc_id; one row of it, if the id is repeated.
+    """One row of each group of equal or similar texts: that of least doc_id.
 
-    Rows without a doc_id cannot be linked and stay.
+    Rows are told apart by an id of the stage's own, drawn and written once, so that different texts under one
+    doc_id are different documents.  Rows of one doc_id and one text are one, wordless ones too.  Rows
+    without a doc_id are not linked and stay.
     """
-    found = near_duplicates.near_duplicates(docs.select("doc_id", "text"), SHINGLE, SIMILAR_PERCENT)
-    gone = written(found.filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "not-kept")
-    rest = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    repeated = written(
-        rest.groupBy(F.col("doc_id").alias("repeated_id")).agg(F.count(F.lit(1)).alias("__n"))
-        .filter("__n > 1 and repeated_id is not null").select("repeated_id"),
-        "repeated-ids",
-    )
-    if repeated.isEmpty():
-        return rest
-    single = rest.join(repeated, F.col("doc_id") == F.col("repeated_id"), "left_anti")
-    row = F.struct(*(F.col(f"`{c}`") for c in rest.columns))
-    several = rest.join(repeated, F.col("doc_id") == F.col("repeated_id"), "left_semi")
-    least = several.groupBy("doc_id").agg(F.min_by(row, F.xxhash64("text")).alias("__row")).select("__row.*")
-    return single.unionByName(least)
+    drawn = written(docs.withColumn("__row", F.monotonically_increasing_id()), "drawn-rows")
+    linked = drawn.filter("doc_id is not null")
+    found = near_duplicates.near_duplicates(
+        linked.select(F.col("__row").alias("doc_id"), "text"), SHINGLE, SIMILAR_PERCENT
+    ).select(F.col("doc_id").alias("__row"), "n_shingles", "component_id")
+    known = linked.select("__row", "doc_id", F.sha2(F.col("text").cast("string"), 256).alias("digest"))
+    placed = written(found.join(known, "__row"), "placed-rows")
+    # texts without shingles are in no group: those of one doc_id and one text are
+    worded = F.col("n_shingles") > 0
+    group = [F.when(worded, F.col("component_id")), F.when(~worded, F.col("doc_id")), F.when(~worded, F.col("digest"))]
+    least = placed.groupBy(*(g.alias(f"__g{i}") for i, g in enumerate(group))).agg(
+        F.min(F.struct("doc_id", "digest", "__row")).alias("least")
+    )
+    stays = least.select(F.col("least.__row").alias("kept_row"))
+    rest = drawn.join(stays, F.col("__row") == F.col("kept_row"), "left_semi").drop("__row")
+    return rest.unionByName(drawn.filter("doc_id is null").drop("__row"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

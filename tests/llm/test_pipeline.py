@@ -83,3 +83,13 @@ def test_stages_take_odd_and_empty_tables(spark):
         assert len(out) == (4 if name == "near_duplicates" else 5), name
         assert stage(spark, docs.limit(0), DATA).collect() == []
     assert {k for r in pseudonyms.pseudonymised(docs, "k").collect() for k in r.found} == {"email"}
+
+
+def test_different_texts_of_one_id_are_different_documents(spark):
+    a, b, c = ("".join(f"{w}{i} " for i in range(30)) for w in ("apple", "boat", "cloud"))
+    rows = [(7, a), (7, b), (7, b), (2, b), (9, c), (9, c + "more"), (7, ""), (7, ""), (7, None), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = corpus_pipeline.near_duplicate(spark, docs, DATA).collect()
+    texts = sorted((r.doc_id or 0, r.text or "none" if r.text is None else r.text) for r in out if r.doc_id != 9)
+    assert texts == sorted([(0, a), (2, b), (7, a), (7, ""), (7, "none")])
+    assert len([r for r in out if r.doc_id == 9]) == 1
