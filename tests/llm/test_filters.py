@@ -77,6 +77,23 @@ def test_values_keep_their_format_and_check(spark):
     assert new[9].endswith("@mail.example.org") and new[10].startswith('token = "') and len(new[10]) == len(values[10])
 
 
+def test_whole_secrets_and_further_formats(spark):
+    body = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(80))
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP-mB92K27uhbUJU1p=="
+    secrets = [body[:400], jwt, body]
+    values = ["token=" + s for s in secrets] + ["25/12/1990", "31/01/2001", "3782-822463-10005", "555 123 4567"]
+    new, found = pseudonyms(spark, *values, f"token={jwt}. Then")
+    assert found == [["secret"]] * 3 + [["date"]] * 2 + [["card"], ["phone"], ["secret"]]
+    for old, got in zip(secrets, new, strict=False):
+        value = got.removeprefix("token=")
+        assert len(value) == len(old) and not any(old[i : i + 12] in value for i in range(len(old) - 11))
+        assert len({value[i : i + 64] for i in range(0, len(value) - 63, 64)}) == len(value) // 64
+    for got in new[3:5]:
+        assert datetime.datetime.strptime(got, "%d/%m/%Y").day > 12
+    assert new[3] != values[3] and new[5][4] == new[5][11] == "-" and new[6][3] == new[6][7] == " "
+    assert new[7].endswith(". Then") and jwt.split(".")[1] not in new[7]
+
+
 def test_values_that_fail_their_check_stay(spark):
     values = ["2023-02-29", "000-12-3456", "666-01-0001", "999.1.1.1", "12345", "v1.2.3", "1999-99-99", "a@b", "abc123456789012"]
     new, found = pseudonyms(spark, *values)

@@ -6,12 +6,12 @@ leaves its format and no two values meet, so equal values stay linked over all d
 different ones stay apart.
 
 kind    | found if                                                  | domain
-card    | 12 to 19 digits, plain or in fours                         | all but the last digit; the last keeps its
+card    | 12 to 19 digits, plain, in fours or 4-6-5; valid or not    | all but the last digit; the last keeps its
         |                                                            | distance from the Luhn digit, so valid stays valid
-phone   | international, bracketed or dashed number of 8 digits or more | the last ten digits; country code kept
+phone   | international or bracketed number, or 3-3-4 digits with dashes, dots or blanks | the last ten digits; country code kept
 ssn     | ddd-dd-dddd with a valid area, group and serial            | all valid ones
 ip      | four octets                                                | all addresses
-date    | yyyy-mm-dd, mm/dd/yyyy or dd.mm.yyyy of a real day          | the 72,900 days of its era; eras begin at 1900-01-01
+date    | yyyy-mm-dd, mm/dd/yyyy, dd/mm/yyyy (dd > 12) or dd.mm.yyyy of a real day | the 72,900 days of its era; eras begin at 1900-01-01
 email   | local part and domain                                      | local part by keyed digest, domain kept
 secret  | 16 characters or more after token, secret, password, api key | keyed digest of the same length
 
@@ -29,9 +29,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed patterns of the formats.
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+SECRET_LABEL = r"(?i:\b(?:api[_-]?key|secret|token|password|passwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
+# of any length; a full stop after it is not part of it
+SECRET_VALUE = r"[A-Za-z0-9+/_-][A-Za-z0-9+/_.=~%-]{14,}[A-Za-z0-9+/_=~%-]"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,6}[A-Za-z]{2,24}",
-    "secret": r"(?i:\b(?:api[_-]?key|secret|token|password|passwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9+/_-]{16,256})",
+    "secret": SECRET_LABEL + SECRET_VALUE,
     "date": (
         r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
         r"(?![0-9/-]|\.[0-9])"
@@ -39,19 +42,19 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": (
         r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-        r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
+        r"|(?<![0-9.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
         r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}(?![0-9])"
         r"|\+[0-9]{8,15}(?![0-9])"
     ),
     "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{12,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{12,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
 }
 ANY = "|".join(PATTERNS.values())
-SECRET_VALUE = r"[A-Za-z0-9+/_-]{16,256}$"
 
 ROUNDS = 8
 ERA = 270  # an era has 270 * 270 days
 ERA_START = "1900-01-01"
+DATE_STEPS = 64
 LUHN_DOUBLED = "0246813579"  # digit sum of twice a digit
 
 
@@ -171,35 +174,67 @@ def _ssn(value: Column, key: str) -> Column:
     return F.when(valid, F.transform(F.array(pair), write)[0]).otherwise(value)
 
 
-def _date_as(value: Column, pattern: str, key: str) -> Column:
-    """Null unless the value is a day of one of the three eras in this format."""
+def _date_as(value: Column, pattern: str, key: str, day_after: int = 0) -> Column:
+    """Null unless the value is a day of one of the three eras in this format.
+
+    With ``day_after`` the days of the month above it are permuted among themselves: the permutation is
+    repeated until it reaches one, which takes more than DATE_STEPS times for no day in practice.
+    """
     day = F.datediff(F.try_to_timestamp(value, F.lit(pattern)).cast("date"), F.to_date(F.lit(ERA_START)))
     era = F.floor(day / (ERA * ERA)).cast("int")
     inside = F.pmod(day, F.lit(ERA * ERA))
-    pair = permuted(F.floor(inside / ERA), inside % ERA, ERA, ERA, key, F.concat(F.lit("date"), era.cast("string")))
-    moved = era * (ERA * ERA) + (pair.l * ERA + pair.r).cast("int")
-    new = F.date_format(F.date_add(F.to_date(F.lit(ERA_START)), moved.cast("int")), pattern)
+    tweak = F.concat(F.lit("date"), era.cast("string"))
+
+    def date_of(p: Column) -> Column:
+        moved = era * (ERA * ERA) + (p.l * ERA + p.r).cast("int")
+        return F.date_add(F.to_date(F.lit(ERA_START)), moved.cast("int"))
+
+    if day_after:
+        start = F.struct(
+            F.floor(inside / ERA).cast("long").alias("l"), (inside % ERA).cast("long").alias("r"), F.lit(False).alias("done")
+        )
+
+        def step(state: Column, _: Column) -> Column:
+            pair = F.array(permuted(state.l, state.r, ERA, ERA, key, tweak))
+            ended = lambda p: F.struct(p.l.alias("l"), p.r.alias("r"), (F.dayofmonth(date_of(p)) > day_after).alias("done"))
+            return F.when(state.done, state).otherwise(F.transform(pair, ended)[0])
+
+        pair = F.aggregate(F.sequence(F.lit(1), F.lit(DATE_STEPS)), start, step)
+    else:
+        pair = permuted(F.floor(inside / ERA), inside % ERA, ERA, ERA, key, tweak)
+    new = F.date_format(date_of(pair), pattern)
     return F.when(day.isNotNull() & era.between(-1, 1), new)
 
 
 def _date(value: Column, key: str) -> Column:
     by_mark = (
         F.when(F.substring(value, 5, 1) == "-", _date_as(value, "yyyy-MM-dd", key))
-        .when(F.substring(value, 3, 1) == "/", _date_as(value, "MM/dd/yyyy", key))
+        .when(F.substring(value, 3, 1) == "/", _slash_date(value, key))
         .otherwise(_date_as(value, "dd.MM.yyyy", key))
     )
     return F.coalesce(by_mark, value)
 
 
+def _slash_date(value: Column, key: str) -> Column:
+    """mm/dd, or dd/mm where the first number is above 12; neither kind becomes the other."""
+    day_first = F.substring(value, 1, 2) > "12"
+    return F.when(day_first, _date_as(value, "dd/MM/yyyy", key, day_after=12)).otherwise(_date_as(value, "MM/dd/yyyy", key))
+
+
 def _email(value: Column, key: str) -> Column:
     local = F.concat(F.lit("u"), F.substring(_keyed(key, "email", F.lower(value)), 1, 16))
     return F.concat(local, F.lit("@"), F.substring_index(value, "@", -1))
 
 
 def _secret(value: Column, key: str) -> Column:
-    old = F.regexp_extract(value, SECRET_VALUE, 0)
+    old = F.regexp_extract(value, f"^{SECRET_LABEL}({SECRET_VALUE})$", 1)
     size = F.length(old)
-    stream = F.concat(*(_keyed(key, "secret", str(i), old) for i in range(4)))
+    counters = F.sequence(F.lit(0), F.floor((size - 1) / 64).cast("int"))
+    # an array of one element: the digest of the whole secret is worked out once
+    stream = F.transform(
+        F.array(_keyed(key, "secret", old)),
+        lambda d: F.array_join(F.transform(counters, lambda i: _keyed(key, "secret", i, d)), ""),
+    )[0]
     new = F.substring(stream, F.lit(1), size)
     new = F.when(old == F.upper(old), F.upper(new)).otherwise(new)
     return F.concat(F.substring(value, F.lit(1), F.length(value) - size), new)
