@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm import block_search, licence_rules, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
+from tillwarden.llm import block_search, cell_clusters, licence_rules, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
 from tillwarden.llm.shared import table, tokenizer_file
 from tillwarden.session import work_dir
 
@@ -87,6 +87,11 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_cell_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 16 clusters after three rounds."""
+    return cell_clusters.clustered(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_merge_dropout": op2_merge_dropout,
@@ -98,8 +103,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_templates": op10_templates,
+    "op12_cell_clusters": op12_cell_clusters,
 }
 
+
+def _cluster_sql(k: int = 16, rounds: int = 3) -> str:
+    """The rounds one after the other, a pair of tables for each."""
+    parts = [
+        """
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS n, vec_id,
+                   list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(64 * x) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        )""",
+        f"""
+        c0 AS MATERIALIZED (
+            SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS INTEGER) AS c, v
+            FROM kept QUALIFY c < {k}
+        )""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""
+        a{r} AS MATERIALIZED (
+            SELECT n, vec_id, kept.v AS v, c, list_sum(list_transform(
+                list_zip(kept.v, c{r}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+            FROM kept CROSS JOIN c{r}
+            QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, c) = 1
+        )""")
+        if r < rounds:
+            parts.append(f"""
+        m{r} AS (
+            SELECT c, list(CAST(floor(CAST(s AS DOUBLE) / m) AS BIGINT) ORDER BY i) AS v FROM (
+                SELECT c, i, sum(x) AS s, count(*) AS m
+                FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i
+            ) GROUP BY c
+        ),
+        c{r + 1} AS MATERIALIZED (
+            SELECT old.c, coalesce(new.v, old.v) AS v FROM c{r} old LEFT JOIN m{r} new ON new.c = old.c
+        )""")
+    return f"""
+        WITH {",".join(parts)}
+        SELECT a.vec_id, a.c AS cluster, CAST(a.d AS BIGINT) AS distance,
+               CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(z.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} z ON z.c = a.c
+    """
+
+
 ORACLES: dict[str, str] = {
     "op5_block_search": """
         WITH usable AS (
@@ -170,4 +221,5 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(t, '')) AS kept_sha256
         FROM read r LEFT JOIN kept k ON k.doc_id = r.doc_id
     """,
+    "op12_cell_clusters": _cluster_sql(),
 }
