@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm import block_search, cell_clusters, licence_rules, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
-from tillwarden.llm.shared import table, tokenizer_file
+from tillwarden.llm import block_search, byte_merges, cell_clusters, licence_rules, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
+from tillwarden.llm.shared import table, tokenizer_file, word_pattern
 from tillwarden.session import work_dir
 
 
@@ -87,6 +87,12 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_recursive_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded by its ranks and decoded again."""
+    ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    return byte_merges.digests(byte_merges.encoded(table(spark, sf_dir, "documents"), ranks, word_pattern(), decode=True))
+
+
 def op12_cell_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors in 16 clusters after three rounds."""
     return cell_clusters.clustered(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_templates": op10_templates,
+    "op11_recursive_merges": op11_recursive_merges,
     "op12_cell_clusters": op12_cell_clusters,
 }
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import os
+from collections.abc import Callable
+from typing import Generic, TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,6 +26,13 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def word_pattern() -> str:
+    """The pattern that cuts texts into words for the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and text only, so that further columns of any name cannot clash; a null text is empty."""
     return docs.select(
@@ -51,3 +60,31 @@ def parts_for(n_bytes: int, each: int) -> int:
 def u32(column: Column) -> Column:
     """A signed 64-bit column's low 32 bits as a number from 0 on."""
     return column.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+T = TypeVar("T")
+
+
+class WordStore(Generic[T]):
+    """What is known of words, in two generations of bounded size.
+
+    When the new generation is full it becomes the old one, and what was old goes.  A word that is met again
+    moves from the old to the new one, so words met often stay, and those met once go.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.new: dict[str, T] = {}
+        self.old: dict[str, T] = {}
+
+    def ready(self, words: set[str], learn: Callable[[set[str]], dict[str, T]]) -> dict[str, T]:
+        """The new generation, in which all ``words`` are now known; ``learn`` gives those met for the first time."""
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
+        missing = words.difference(self.new)
+        for word in missing.intersection(self.old):
+            self.new[word] = self.old.pop(word)
+        first = missing.difference(self.new)
+        if first:
+            self.new.update(learn(first))
+        return self.new
