@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwarden.llm import block_search, byte_merges, cell_clusters, licence_rules, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_records, toxicity
+from tillwarden.llm import block_search, byte_merges, cell_clusters, licence_rules, merge_dropout, near_duplicates, pseudonyms, quality_rules, repeated_passages, templates, token_alignment, token_records, toxicity
 from tillwarden.llm.shared import table, tokenizer_file, word_pattern
 from tillwarden.session import work_dir
 
@@ -98,6 +98,12 @@ def op12_cell_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cell_clusters.clustered(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned over every text, and how common their links are."""
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.aligned(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_merge_dropout": op2_merge_dropout,
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_templates": op10_templates,
     "op11_recursive_merges": op11_recursive_merges,
     "op12_cell_clusters": op12_cell_clusters,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 
