@@ -157,8 +157,102 @@ def test_partition_mismatch_needs_partition_columns(spark):
     assert rules.run_rules(rules.nested_facts(wrong), rule).count() == 1
 
 
+def many_faulty_lines(r):
+    """Item 1 and two items without a number, two open cards of which one has no number, a bad flag on a tax line."""
+    first = r["tran_item"][0]
+    first.update(tax_ind="1", unit_retail=0.0)
+    r["tran_item"] += [dict(first, item_seq_no=None), dict(first, item_seq_no=None)]
+    card = r["tran_tender"][0]
+    card["cc_no"] = "4111111111111111"
+    r["tran_tender"].append(dict(card, tender_seq_no=None, cc_no="4222222222222222"))
+    r["tran_igtax"] = [dict(t, error_ind="?") if t["igtax_seq_no"] == 2 else t for t in r["tran_igtax"]]
+
+
+def test_every_offending_line_has_an_error_row(spark):
+    df = frame(spark, [edit(many_faulty_lines)])
+    found = audit.audit_nested(df)
+    rows = sorted(
+        ((r.error_code, r.key_value_1, r.key_value_2, r.orig_value, r.section) for r in found.collect() if r.section), key=repr
+    )
+    want = [("RETAIL_NOT_POSITIVE", n, None, "0.0000", "tran_item") for n in (1, None, None)]
+    want += [("IND_INVALID", n, None, "tax_ind=1", "tran_item") for n in (1, None, None)]
+    want += [("IND_INVALID", 1, 2, "error_ind=?", "tran_igtax")]
+    want += [("CC_NOT_MASKED", n, None, None, "tran_tender") for n in (1, None)]
+    assert rows == sorted(want, key=repr)
+    errors = audit.build_sa_error(found.unionByName(found))  # delivered twice: copies of an error are one row
+    assert errors.count() == found.count() == errors.select("error_seq_no").distinct().count()
+    lines = errors.filter("error_code = 'RETAIL_NOT_POSITIVE'").collect()
+    assert sorted((r.key_value_1, r.key_value_2) for r in lines if r.key_value_1) == [(1, None)] and len(lines) == 3
+    assert {r.orig_cc_no for r in errors.filter("error_code = 'CC_NOT_MASKED'").collect()} == {
+        "************1111", "************2222"
+    }
+
+
+def test_amount_in_another_currency_is_no_mismatch(spark):
+    def foreign(r):
+        r["tran_tender"][0].update(orig_currency="USD", orig_curr_amt=19.0)
+
+    stores = spark.createDataFrame([(1, "USD"), (1, "USD"), (2, "INR")], "store_no long, local_currency string")
+    df = frame(spark, [edit(foreign)])
+    assert hits(spark, [edit(foreign)]) == []  # the default currency is another one
+    assert [h[0] for h in hits(spark, [edit(foreign)], stores=stores)] == ["CURR_AMT_MISMATCH"]
+    home = edit(set_tender(orig_curr_amt=19.0))
+    assert [h[0] for h in hits(spark, [home])] == ["CURR_AMT_MISMATCH"] and hits(spark, [home], stores=stores) == []
+    assert rules.nested_facts(df, stores).count() == 1
+
+
+def test_header_without_a_value_agrees_with_nothing(spark):
+    assert [h[0] for h in hits(spark, [edit(set_head(value=None))])] == ["TENDER_VAR_GT_01", "VALUE_MISMATCH"]
+
+
+def all_hits(spark, records, **kw):
+    df = frame(spark, records)
+    rows = audit.audit_all(df, ref.products(spark), ref.promotions(spark), **kw).collect()
+    return sorted(((r.error_code, r.key_value_1, r.key_value_2, r.orig_value, r.section) for r in rows), key=repr)
+
+
+def test_checks_on_sets_are_part_of_all_hits(spark):
+    assert all_hits(spark, clean_day()) == []
+
+    def wrong(r):
+        r["tran_item"][0].update(item="APP-M-9999", total_igtax_amt=1.0)
+        r["tran_tender"][0].update(tender_type_id=1)
+        r["tran_disc"] = [
+            {"item_seq_no": 1, "discount_seq_no": n, "promotion": 500009, "qty": 0.0, "unit_discount_amt": 5.0, "error_ind": "N"}
+            for n in (1, 2)
+        ]
+
+    assert all_hits(spark, [edit(wrong)]) == sorted(
+        [
+            ("DISC_RECALC", 1, 1, "5.0000", "tran_disc"), ("DISC_RECALC", 1, 2, "5.0000", "tran_disc"),
+            ("IGTAX_ROLLUP", 1, None, "1.0000", "tran_item"),
+            ("REF_DATA_INVALID", 1, 1, "500009", "tran_disc"), ("REF_DATA_INVALID", 1, 2, "500009", "tran_disc"),
+            ("REF_DATA_INVALID", 1, None, "APP-M-9999", "tran_item"),
+            ("REF_DATA_INVALID", 1, None, "CARD", "tran_tender"),
+        ],
+        key=repr,
+    )
+    # a rejected record has no header, so each of its rows is an orphan
+    rejected = all_hits(spark, [edit(set_head(error_ind="X"))])
+    assert [h for h in rejected if h[0] == "REF_INTEGRITY"] == [
+        ("REF_INTEGRITY", 1, 1, None, "tran_igtax"), ("REF_INTEGRITY", 1, 2, None, "tran_igtax"),
+        ("REF_INTEGRITY", 1, None, None, "tran_item"), ("REF_INTEGRITY", 1, None, None, "tran_tender"),
+    ]
+
+
+def test_orphans_with_and_without_a_key(spark):
+    head = spark.createDataFrame([("a",), (None,)], "record_key string")
+    rows = [("a", 1), ("b", 2), ("b", 2), (None, 3)] + [("hot", n) for n in range(500)]
+    items = spark.createDataFrame(rows, "record_key string, item_seq_no long")
+    tender = spark.createDataFrame([("a", 1)], "record_key string, tender_seq_no long")
+    got = audit.orphan_hits(head, {"tran_item": items, "tran_tender": tender}).collect()
+    assert sorted(((r.record_key, r.key_value_1) for r in got), key=repr) == sorted(rows[1:], key=repr)
+    both = audit.numbered(audit.orphan_hits(head, {"tran_item": items})).filter("record_key = 'b'").collect()
+    assert sorted(r.line for r in both) == [1, 2]
+
+
 def test_flat_and_nested_facts_agree(spark):
-    recs = clean_day() + [edit(f) for _, f in FAULTS]
+    recs = clean_day() + [edit(f) for _, f in FAULTS] + [edit(many_faulty_lines)]
     for i, r in enumerate(recs):
         r["tran_head"]["tran_no"] = i + 1
         r["tran_head"]["cashier"] = f"C{i}"
@@ -170,7 +264,7 @@ def test_flat_and_nested_facts_agree(spark):
     kids = {c: conform.children(df, c).drop("store", "day", "tran_seq_no") for c in
             ("tran_item", "tran_disc", "tran_tender", "tran_tax", "tran_igtax")}
     flat = rules.run_rules(rules.flat_facts(head, kids, ["record_key"]))
-    cols = ["record_key", "error_code", "key_value_1", "orig_value", "orig_cc_no"]
+    cols = ["record_key", *audit.HIT_KEYS, "orig_cc_no"]
     a = sorted(map(tuple, nested.select(*cols).collect()), key=repr)
     b = sorted(map(tuple, flat.select(*cols).collect()), key=repr)
     assert a == b and len(a) >= len(FAULTS)

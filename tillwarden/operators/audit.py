@@ -9,14 +9,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwarden import reference as ref
 from tillwarden.functions import checks, keys as K, rawjson
 from tillwarden.operators import joins, sequence, spread, tax, totals
-from tillwarden.operators.conform import conform_types
-from tillwarden.operators.rules import ERROR_KEYS, Rule, flat_facts, nested_facts, run_rules
+from tillwarden.operators.conform import conform_types, rejection_reasons, with_keys
+from tillwarden.operators.rules import ERROR_KEYS, LINE_KEYS, Rule, flat_facts, nested_facts, run_rules
+from tillwarden.schemas import CHILDREN
 
-HIT_COLUMNS = [*ERROR_KEYS, "error_code", "key_value_1", "orig_value", "orig_cc_no"]
+# which error of a record a hit is; section and line keep rows apart that have no number or the same one
+HIT_KEYS = ["error_code", "key_value_1", "key_value_2", "orig_value", "section", "line"]
+HIT_COLUMNS = [*ERROR_KEYS, "error_code", "key_value_1", "key_value_2", "orig_value", "orig_cc_no", "section", "line"]
 
 
 def as_hits(
-    df: DataFrame, code: str, key_1: Column | None = None, orig_value: Column | None = None
+    df: DataFrame,
+    code: str,
+    key_1: Column | None = None,
+    orig_value: Column | None = None,
+    key_2: Column | None = None,
+    section: str | None = None,
 ) -> DataFrame:
     """Rows found by a set-based check, in the shape of rule hits."""
     have = set(df.columns)
@@ -25,11 +33,27 @@ def as_hits(
         *[(F.col(k) if k in have else null.cast("string")).alias(k) for k in ERROR_KEYS],
         F.lit(code).alias("error_code"),
         (key_1 if key_1 is not None else null).cast("long").alias("key_value_1"),
+        (key_2 if key_2 is not None else null).cast("long").alias("key_value_2"),
         (orig_value if orig_value is not None else null).cast("string").alias("orig_value"),
         null.cast("string").alias("orig_cc_no"),
+        F.lit(section).cast("string").alias("section"),
+        null.cast("int").alias("line"),
     )
 
 
+def line_hits(df: DataFrame, code: str, section: str, orig_value: Column | None = None) -> DataFrame:
+    """Child rows found by a set-based check, with the numbers of the child."""
+    first, second = LINE_KEYS[section]
+    return as_hits(df, code, F.col(first), orig_value, F.col(second) if second else None, section)
+
+
+def numbered(hits: DataFrame) -> DataFrame:
+    """Equal hits on different rows told apart by ``line``: counted with partial sums, then spread out again."""
+    keys = [c for c in HIT_COLUMNS if c != "line"]
+    counted = hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select(*keys, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("line"))
+
+
 def duplicate_hits(head: DataFrame) -> DataFrame:
     """TRAN_NO_DUP and TRAN_SEQ_DUP."""
     dup_no = sequence.dup_tran_no(head)
@@ -58,13 +82,9 @@ def reference_hits(
         ~F.col("expected_group").eqNullSafe(F.col("tender_type_group"))
     )
     return (
-        as_hits(bad_item, "REF_DATA_INVALID", F.col("item_seq_no"), F.col("item"))
-        .unionByName(
-            as_hits(bad_promo, "REF_DATA_INVALID", F.col("item_seq_no"), F.col("promotion").cast("string"))
-        )
-        .unionByName(
-            as_hits(bad_tender, "REF_DATA_INVALID", F.col("tender_seq_no"), F.col("tender_type_group"))
-        )
+        line_hits(bad_item, "REF_DATA_INVALID", "tran_item", F.col("item"))
+        .unionByName(line_hits(bad_promo, "REF_DATA_INVALID", "tran_disc", F.col("promotion").cast("string")))
+        .unionByName(line_hits(bad_tender, "REF_DATA_INVALID", "tran_tender", F.col("tender_type_group")))
     )
 
 
@@ -72,11 +92,35 @@ def tax_hits(items: DataFrame, igtax: DataFrame, keys: list[str]) -> DataFrame:
     """IGTAX_ROLLUP: item total against its lines, and lines against prices."""
     roll = tax.igtax_rollup_errors(items, igtax, keys)
     line = tax.igtax_line_errors(igtax, items, keys)
-    return as_hits(roll, "IGTAX_ROLLUP", F.col("item_seq_no")).unionByName(
-        as_hits(line, "IGTAX_ROLLUP", F.col("item_seq_no"), F.col("total_igtax_amt").cast("string"))
+    amount = F.col("total_igtax_amt").cast("string")
+    return line_hits(roll, "IGTAX_ROLLUP", "tran_item", amount).unionByName(
+        line_hits(line, "IGTAX_ROLLUP", "tran_igtax", amount)
     )
 
 
+def discount_hits(disc: DataFrame, items: DataFrame, promotions: DataFrame, keys: list[str]) -> DataFrame:
+    """DISC_RECALC: discounts of other types than sales, or other than price times share."""
+    bad = tax.discount_errors(disc.drop("tran_type", "unit_retail"), items, promotions, keys)
+    return line_hits(bad, "DISC_RECALC", "tran_disc", F.col("unit_discount_amt").cast("string"))
+
+
+def orphan_hits(head: DataFrame, child_rows: dict[str, DataFrame], key: str = "record_key") -> DataFrame:
+    """REF_INTEGRITY: rows of any child without a header, a null key included.
+
+    Headers and all children meet once, as keys with a mark: marks combine on the map side, so a key costs one
+    row a task however many rows it has.  Only keys without a header go back to the children.
+    """
+    marks = head.select(F.col(key).alias("_k"), F.lit(True).alias("_head"))
+    for rows in child_rows.values():
+        marks = marks.unionByName(rows.select(F.col(key).alias("_k"), F.lit(False).alias("_head")))
+    lost = marks.groupBy("_k").agg(F.bool_or("_head").alias("_head")).filter(~F.col("_head") | F.col("_k").isNull())
+    found = []
+    for section, rows in child_rows.items():
+        orphans = rows.join(lost.select("_k"), F.col(key).eqNullSafe(F.col("_k")), "left_semi")
+        found.append(line_hits(orphans, "REF_INTEGRITY", section))
+    return reduce(DataFrame.unionByName, found)
+
+
 def raw_hits(raw: DataFrame) -> DataFrame:
     """SCALE_GT_4 and KEYS_MISSING from raw lines (column ``value`` holds the text)."""
     text = F.col("value")
@@ -90,45 +134,83 @@ def raw_hits(raw: DataFrame) -> DataFrame:
         F.get_json_object(text, "$.tran_head"),
         "store bigint, business_date date, tran_seq_no string, rtlog_orig_sys string",
     )
+    null = F.lit(None)
+
+    def hit(code: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(code).alias("error_code"),
+            null.cast("long").alias("key_value_1"),
+            null.cast("long").alias("key_value_2"),
+            value.cast("string").alias("orig_value"),
+            null.cast("string").alias("orig_cc_no"),
+            null.cast("string").alias("section"),
+            null.cast("int").alias("line"),
+        )
+
+    found = F.array(
+        F.when(rawjson.long_scale(text), hit("SCALE_GT_4", null)),
+        F.when(F.size(gone) > 0, hit("KEYS_MISSING", F.array_join(gone, ","))),
+    )
     return raw.select(
         "record_key",
         head["store"].alias("store"),
         head["business_date"].alias("business_date"),
         head["tran_seq_no"].alias("tran_seq_no"),
         head["rtlog_orig_sys"].alias("rtlog_orig_sys"),
-        F.inline(
-            F.array_compact(
-                F.array(
-                    F.when(
-                        rawjson.long_scale(text),
-                        F.struct(
-                            F.lit("SCALE_GT_4").alias("error_code"),
-                            F.lit(None).cast("long").alias("key_value_1"),
-                            F.lit(None).cast("string").alias("orig_value"),
-                            F.lit(None).cast("string").alias("orig_cc_no"),
-                        ),
-                    ),
-                    F.when(
-                        F.size(gone) > 0,
-                        F.struct(
-                            F.lit("KEYS_MISSING").alias("error_code"),
-                            F.lit(None).cast("long").alias("key_value_1"),
-                            F.array_join(gone, ",").alias("orig_value"),
-                            F.lit(None).cast("string").alias("orig_cc_no"),
-                        ),
-                    ),
-                )
-            )
-        ),
-    )
-
-
-def audit_nested(rtlog: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+        F.inline(F.array_compact(found)),
+    )
+
+
+def audit_nested(rtlog: DataFrame, rules: list[Rule] | None = None, stores: DataFrame | None = None) -> DataFrame:
     """Hits of the row-local rules and the duplicate checks on nested records."""
-    facts = nested_facts(rtlog)
+    facts = nested_facts(rtlog, stores)
     return run_rules(facts, rules).unionByName(duplicate_hits(facts.select(*_HEAD_KEYS)))
 
 
+def typed_children(rtlog: DataFrame, child: str) -> DataFrame:
+    """Rows of one child of nested records, with what an error row shows of the header."""
+    head = F.col("tran_head")
+    return with_keys(rtlog).select(
+        "record_key", head["store"].alias("store"), head["business_date"].alias("business_date"),
+        head["tran_seq_no"].alias("tran_seq_no"), head["rtlog_orig_sys"].alias("rtlog_orig_sys"),
+        head["tran_type"].alias("tran_type"), F.inline(child),
+    )
+
+
+def audit_sets(head: DataFrame, child_rows: dict[str, DataFrame], products: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Hits of the checks that look at several rows or at reference data: taxes, discounts, references.
+
+    ``head`` holds the accepted headers; children carry the transaction keys and the type.
+    """
+    key = ["record_key"]
+    found = [
+        tax_hits(child_rows["tran_item"], child_rows["tran_igtax"], key),
+        discount_hits(child_rows["tran_disc"], child_rows["tran_item"], promotions, key),
+        reference_hits(child_rows["tran_item"], child_rows["tran_disc"], child_rows["tran_tender"], products),
+        orphan_hits(head, child_rows),
+    ]
+    return numbered(reduce(DataFrame.unionByName, found))
+
+
+def audit_all(
+    rtlog: DataFrame,
+    products: DataFrame,
+    promotions: DataFrame,
+    stores: DataFrame | None = None,
+    raw: DataFrame | None = None,
+    rules: list[Rule] | None = None,
+) -> DataFrame:
+    """Hits of every rule over nested records, rejected ones included.
+
+    Children of rejected records have no header.  ``raw`` has the text of the records
+    (record_key, value) for the checks that only the text can answer.
+    """
+    children = {child: typed_children(rtlog, child) for child in CHILDREN}
+    accepted = with_keys(rtlog).filter(F.size(rejection_reasons(rtlog)) == 0).select("record_key")
+    hits = audit_nested(rtlog, rules, stores).unionByName(audit_sets(accepted, children, products, promotions))
+    return hits if raw is None else hits.unionByName(raw_hits(raw))
+
+
 _HEAD_KEYS = [*ERROR_KEYS, "register", "tran_no"]
 
 
@@ -146,12 +228,12 @@ def build_sa_error(
 ) -> DataFrame:
     """Canonical error rows with repeatable ids; copies of one error are one row."""
     stamp = updated if updated is not None else F.current_timestamp()
-    distinct = hits.dropDuplicates(["record_key", "error_code", "key_value_1", "orig_value"])
+    distinct = hits.dropDuplicates(["record_key", *HIT_KEYS])
     out = distinct.withColumns(
         {
             "day": K.day_number("business_date"),
             "store_day_seq_no": K.surrogate("store", "business_date"),
-            "error_seq_no": K.surrogate("record_key", "error_code", "key_value_1", "orig_value"),
+            "error_seq_no": K.surrogate("record_key", *HIT_KEYS),
             "tran_seq_no": K.surrogate("record_key"),
             "rec_type": F.lit("SART"),
             "store_override_ind": F.lit("N"),

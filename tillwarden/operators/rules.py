@@ -30,46 +30,75 @@ def _bad_flags(*names: str) -> Callable[[Get], Column]:
     return lambda get: reduce(lambda a, b: a | b, [~checks.is_yn(get(n)) for n in names])
 
 
-# fact -> (child, number reported, test on one child row).  The fact holds the
-# lowest number of an offending row; its companion ``<fact>_rows`` counts such rows, whether
-# or not they have a number, and decides whether a rule applies.
-CHILD_TESTS: dict[str, tuple[str, str, Callable[[Get], Column]]] = {
-    "neg_item_no": (
+def _nothing(get: Get) -> Column:
+    return F.lit(None)
+
+
+@dataclass(frozen=True)
+class LineTest:
+    """A test on one child row, and what an error row shows of an offending one."""
+
+    child: str
+    test: Callable[[Get], Column]
+    value: Callable[[Get], Column] = _nothing
+    card: Callable[[Get], Column] = _nothing
+
+
+# child -> columns that number its rows: KEY_VALUE_1 and KEY_VALUE_2 of an error
+LINE_KEYS: dict[str, tuple[str, str | None]] = {
+    "tran_item": ("item_seq_no", None),
+    "tran_disc": ("item_seq_no", "discount_seq_no"),
+    "tran_tender": ("tender_seq_no", None),
+    "tran_tax": ("tax_seq_no", None),
+    "tran_igtax": ("item_seq_no", "igtax_seq_no"),
+}
+
+LINE_TYPE = "array<struct<key_1: bigint, key_2: bigint, orig_value: string, orig_cc_no: string>>"
+
+
+def _flag_test(child: str, *names: str) -> LineTest:
+    """Indicators other than Y and N; the error shows them with their values."""
+
+    def shown(get: Get) -> Column:
+        marks = [
+            F.when(~checks.is_yn(get(n)), F.concat(F.lit(f"{n}="), F.coalesce(get(n), F.lit("null")))) for n in names
+        ]
+        return F.concat_ws(",", *marks)
+
+    return LineTest(child, _bad_flags(*names), shown)
+
+
+# fact -> test.  The fact holds every offending row of the transaction, whether or not it has a number.
+LINE_TESTS: dict[str, LineTest] = {
+    "neg_items": LineTest(
         "tran_item",
-        "item_seq_no",
         lambda get: (get("qty") < 0) & get("return_reason_code").isNull(),
+        lambda get: get("qty"),
     ),
-    "price_item_no": ("tran_item", "item_seq_no", lambda get: ~_true(get("unit_retail") > 0)),
-    "ship_item_no": ("tran_item", "item_seq_no", lambda get: ~get("drop_ship_ind").eqNullSafe(F.lit("N"))),
-    "status_item_no": (
-        "tran_item",
-        "item_seq_no",
-        lambda get: ~checks.in_code_list(get("item_status"), "SASI"),
+    "price_items": LineTest("tran_item", lambda get: ~_true(get("unit_retail") > 0), lambda get: get("unit_retail")),
+    "ship_items": LineTest(
+        "tran_item", lambda get: ~get("drop_ship_ind").eqNullSafe(F.lit("N")), lambda get: get("drop_ship_ind")
     ),
-    "flag_item_no": (
-        "tran_item",
-        "item_seq_no",
-        _bad_flags("tax_ind", "item_swiped_ind", "error_ind", "drop_ship_ind", "unit_retail_vat_incl"),
+    "status_items": LineTest(
+        "tran_item", lambda get: ~checks.in_code_list(get("item_status"), "SASI"), lambda get: get("item_status")
     ),
-    "open_card_no": (
-        "tran_tender",
-        "tender_seq_no",
-        lambda get: (get("tender_type_group") == "CARD") & ~checks.is_masked(get("cc_no")),
+    "flag_items": _flag_test(
+        "tran_item", "tax_ind", "item_swiped_ind", "error_ind", "drop_ship_ind", "unit_retail_vat_incl"
     ),
-    "flag_tender_no": ("tran_tender", "tender_seq_no", _bad_flags("error_ind")),
-    "curr_tender_no": (
+    "open_cards": LineTest(
         "tran_tender",
-        "tender_seq_no",
-        lambda get: get("orig_curr_amt") != get("tender_amt"),
+        lambda get: (get("tender_type_group") == "CARD") & ~checks.is_masked(get("cc_no")),
+        card=lambda get: checks.mask_pan(get("cc_no")),
     ),
-    "noncash_tender_no": (
-        "tran_tender",
-        "tender_seq_no",
-        lambda get: ~get("tender_type_group").eqNullSafe(F.lit("CASH")),
+    "flag_tenders": _flag_test("tran_tender", "error_ind"),
+    # the value is the line's currency: the rule keeps lines in the currency of the store
+    "curr_tenders": LineTest(
+        "tran_tender", lambda get: get("orig_curr_amt") != get("tender_amt"), lambda get: get("orig_currency")
     ),
-    "flag_disc_no": ("tran_disc", "discount_seq_no", _bad_flags("error_ind")),
-    "flag_tax_no": ("tran_tax", "tax_seq_no", _bad_flags("error_ind")),
-    "flag_igtax_no": ("tran_igtax", "igtax_seq_no", _bad_flags("error_ind")),
+    "noncash_tenders": LineTest("tran_tender", lambda get: ~get("tender_type_group").eqNullSafe(F.lit("CASH"))),
+    "flag_discs": _flag_test("tran_disc", "error_ind"),
+    "flag_taxes": _flag_test("tran_tax", "error_ind"),
+    "flag_igtaxes": _flag_test("tran_igtax", "error_ind"),
 }
 
 COUNTS = {
@@ -100,14 +129,25 @@ def _array_sum(child: str, amount: Callable[[Get], Column]) -> Column:
     return M.array_total(child, lambda x: amount(lambda n: x[n]))
 
 
-def _first_hit(child: str, number: str, test: Callable[[Get], Column]) -> Column:
-    hits = F.filter(child, lambda x: test(lambda n: x[n]))
-    return F.array_min(F.transform(hits, lambda x: x[number]))
+def _line(child: str, t: LineTest, get: Get) -> Column:
+    first, second = LINE_KEYS[child]
+    return F.struct(
+        get(first).cast("long").alias("key_1"),
+        (get(second) if second else F.lit(None)).cast("long").alias("key_2"),
+        t.value(get).cast("string").alias("orig_value"),
+        t.card(get).cast("string").alias("orig_cc_no"),
+    )
 
 
-def _n_hits(child: str, test: Callable[[Get], Column]) -> Column:
-    hits = F.filter(child, lambda x: test(lambda n: x[n]))
-    return F.when(F.col(child).isNull(), 0).otherwise(F.size(hits)).cast("long")
+def _no_lines() -> Column:
+    return F.array().cast(LINE_TYPE)
+
+
+def _nested_lines(t: LineTest) -> Column:
+    """Offending rows of an array, in an order of their own, so that flat rows give the same."""
+    hits = F.filter(t.child, lambda x: _true(t.test(lambda n: x[n])))
+    lines = F.transform(hits, lambda x: _line(t.child, t, lambda n: x[n]))
+    return F.coalesce(F.array_sort(lines), _no_lines())
 
 
 @lru_cache(maxsize=4)
@@ -119,35 +159,33 @@ def _nested_fact_columns(app_id: str) -> tuple[Column, ...]:
         facts.append(F.when(F.col(child).isNull(), 0).otherwise(F.size(child)).cast("long").alias(name))
     for name, (child, amount) in SUMS.items():
         facts.append(M.round4(F.coalesce(_array_sum(child, amount), money(0))).alias(name))
-    for name, (child, number, test) in CHILD_TESTS.items():
-        facts.append(_first_hit(child, number, test).alias(name))
-        facts.append(_n_hits(child, test).alias(f"{name}_rows"))
+    facts.extend(_nested_lines(t).alias(name) for name, t in LINE_TESTS.items())
     in_order = F.transform("tran_item", lambda x: x["item_seq_no"]).eqNullSafe(
         F.sequence(F.lit(1).cast("long"), F.size("tran_item").cast("long"))
     )
-    open_cards = F.filter(
-        "tran_tender",
-        lambda x: (x["tender_type_group"] == "CARD") & ~checks.is_masked(x["cc_no"]),
-    )
     facts.append(F.when(F.size("tran_item") > 0, in_order).otherwise(F.lit(True)).alias("items_in_order"))
-    first_open = F.array_min(
-        F.transform(
-            open_cards,
-            # a line without a number comes after all others
-            lambda x: F.struct(
-                x["tender_seq_no"].isNull().alias("last"), x["tender_seq_no"].alias("no"), x["cc_no"].alias("cc_no")
-            ),
-        )
-    )
-    facts.append(checks.mask_pan(first_open["cc_no"]).alias("open_card"))
     return tuple(facts)
 
 
-def nested_facts(rtlog: DataFrame) -> DataFrame:
+def with_currency(facts: DataFrame, stores: DataFrame | None) -> DataFrame:
+    """``local_currency`` of the store; without a registry, or for a store it does not have, the default one.
+
+    The registry is small and its size is left to Catalyst's check.
+    """
+    default = F.lit(ref.DEFAULT_CURRENCY)
+    if stores is None:
+        return facts.withColumn("local_currency", default)
+    # a store that is registered twice must not double its transactions
+    known = stores.groupBy(F.col("store_no").alias("_s")).agg(F.min("local_currency").alias("_c"))
+    joined = facts.join(known, F.col("store") == F.col("_s"), "left")
+    return joined.withColumn("local_currency", F.coalesce("_c", default)).drop("_s", "_c")
+
+
+def nested_facts(rtlog: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     """One row of facts per nested record; no shuffle."""
     file_cols = {"store": "file_store", "date": "file_date", "hour": "file_hour"}
     files = [F.col(c).alias(a) for c, a in file_cols.items() if c in rtlog.columns]
-    return with_keys(rtlog).select(
+    facts = with_keys(rtlog).select(
         "record_key",
         "day",
         "store_day_seq_no",
@@ -157,13 +195,16 @@ def nested_facts(rtlog: DataFrame) -> DataFrame:
         "tran_head.*",
         *_nested_fact_columns(rtlog.sparkSession.sparkContext.applicationId),
     )
+    return with_currency(facts, stores)
 
 
-def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+def flat_facts(
+    head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str], stores: DataFrame | None = None
+) -> DataFrame:
     """The same facts from flat tables.
 
     Every child is aggregated on the transaction key (combining on the map
-    side) and then joined one row to one row on that key.
+    side) and then joined one row to one row on that key.  Of the rows, only offending ones are kept one by one.
     """
     out = head
     if "record_channel" not in head.columns:
@@ -171,24 +212,23 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
     for child, (_, numbering) in CHILDREN.items():
         counts = [n for n, c in COUNTS.items() if c == child]
         sums = [n for n, (c, _) in SUMS.items() if c == child]
-        tests = [n for n, (c, _, _) in CHILD_TESTS.items() if c == child]
+        tests = {n: t for n, t in LINE_TESTS.items() if t.child == child}
         rows = child_rows.get(child)
         if rows is None:
             out = out.withColumns(
                 {
                     **{n: F.lit(0).cast("long") for n in counts},
                     **{n: money(0) for n in sums},
-                    **{n: F.lit(None).cast("long") for n in tests},
-                    **{f"{n}_rows": F.lit(0).cast("long") for n in tests},
+                    **{n: _no_lines() for n in tests},
                     **({"items_in_order": F.lit(True)} if child == "tran_item" else {}),
-                    **({"open_card": F.lit(None).cast("string")} if child == "tran_tender" else {}),
                 }
             )
             continue
         aggs = [F.count(F.lit(1)).alias(n) for n in counts]
         aggs += [M.round4(F.sum(SUMS[n][1](F.col))).alias(n) for n in sums]
-        aggs += [F.min(F.when(CHILD_TESTS[n][2](F.col), F.col(CHILD_TESTS[n][1]))).alias(n) for n in tests]
-        aggs += [F.count_if(CHILD_TESTS[n][2](F.col)).alias(f"{n}_rows") for n in tests]
+        # collect_list leaves nulls out, so a row that passes costs nothing
+        get = _column_or_null(rows)
+        aggs += [F.array_sort(F.collect_list(F.when(t.test(get), _line(child, t, get)))).alias(n) for n, t in tests.items()]
         if child == "tran_item":
             # distinct numbers: a bit per number up to 62, which combines on the
             # map side, and a distinct count for the few numbers beyond
@@ -200,24 +240,11 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
                 F.bit_or(F.when(small, F.expr("shiftleft(1L, cast(item_seq_no as int))"))).alias("_bits"),
                 F.count_distinct(F.when(~small, seq)).alias("_beyond"),
             ]
-        if child == "tran_tender":
-            is_open = (F.col("tender_type_group") == "CARD") & ~checks.is_masked("cc_no")
-            aggs.append(
-                checks.mask_pan(
-                    F.min(
-                        F.when(
-                            is_open,
-                            F.struct(
-                                F.col("tender_seq_no").isNull().alias("last"), F.col("tender_seq_no").alias("no"), "cc_no"
-                            ),
-                        )
-                    )["cc_no"]
-                ).alias("open_card")
-            )
         summed = rows.groupBy(*keys).agg(*aggs)
         out = out.join(summed, keys, "left").withColumns(
             {
-                **{n: F.coalesce(n, F.lit(0)) for n in [*counts, *(f"{t}_rows" for t in tests)]},
+                **{n: F.coalesce(n, F.lit(0)) for n in counts},
+                **{n: F.coalesce(n, _no_lines()) for n in tests},
                 **{n: F.coalesce(n, money(0)) for n in sums},
             }
         )
@@ -227,27 +254,47 @@ def flat_facts(head: DataFrame, child_rows: dict[str, DataFrame], keys: list[str
             out = out.withColumn(
                 "items_in_order", F.when(F.col("n_items") > 0, F.coalesce(ok, F.lit(False))).otherwise(True)
             ).drop("_lo", "_hi", "_bits", "_beyond")
-    return out
+    return with_currency(out, stores)
+
+
+def _column_or_null(rows: DataFrame) -> Get:
+    """Columns of a child; one that a table does not have is null."""
+    have = set(rows.columns)
+    return lambda n: F.col(n) if n in have else F.lit(None).cast("string")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A row-local rule: users may pass their own."""
+    """A row-local rule: users may pass their own.
+
+    ``test`` is about the transaction and gives one error.  ``lines`` names facts of offending rows and gives one
+    error for each row, with its numbers, if ``lines_when`` holds; ``line`` is a further test on such a row.
+    """
 
     code: str
-    test: Callable[[], Column]
+    test: Callable[[], Column] | None = None
     key_1: Callable[[], Column] = lambda: F.lit(None)
     orig_value: Callable[[], Column] = lambda: F.lit(None)
     orig_cc_no: Callable[[], Column] = lambda: F.lit(None)
     needs: tuple[str, ...] = ()  # facts that must be there for the rule to apply
+    lines: tuple[str, ...] = ()
+    lines_when: Callable[[], Column] | None = None
+    line: Callable[[Column], Column] | None = None
 
+    def offending(self, fact: str) -> Column:
+        rows = F.col(fact) if self.line is None else F.filter(fact, self.line)
+        return rows if self.lines_when is None else F.when(self.lines_when(), rows)
 
-def _rows(fact: str) -> Column:
-    return F.col(f"{fact}_rows") > 0
+    def holds(self) -> Column:
+        """Whether the rule reports anything of a transaction."""
+        found = [F.size(self.offending(fact)) > 0 for fact in self.lines]
+        if self.test is not None:
+            found.append(self.test())
+        return reduce(lambda a, b: a | b, [_true(f) for f in found])
 
 
-def _has(fact: str) -> Callable[[], Column]:
-    return lambda: _rows(fact)
+def _rows(fact: str) -> Column:
+    return F.size(fact) > 0
 
 
 def _type(*types: str) -> Column:
@@ -259,7 +306,8 @@ def _value_text() -> Column:
 
 
 def _off_by(total: Column) -> Column:
-    return F.abs(total - F.col("value")) > money(ref.TENDER_TOLERANCE)
+    """A header without a value agrees with no total."""
+    return F.col("value").isNull() | (F.abs(total - F.col("value")) > money(ref.TENDER_TOLERANCE))
 
 
 def void_out_of_hours(opening: int = ref.OPENING_HOUR, closing: int = ref.CLOSING_HOUR) -> Column:
@@ -290,7 +338,7 @@ def _partition_bad() -> Column:
 def _paid_shape_bad() -> Column:
     good = (
         (F.col("n_tenders") == 1)
-        & ~_rows("noncash_tender_no")
+        & ~_rows("noncash_tenders")
         & (F.col("tender_total") == F.col("value"))
         & (F.col("pos_tran_ind") == "N")
         & F.col("vendor_no").isNotNull()
@@ -299,10 +347,12 @@ def _paid_shape_bad() -> Column:
     return _type("PAIDIN", "PAIDOUT") & ~F.coalesce(good, F.lit(False))
 
 
-def _any_bad_flag() -> Column:
-    marks = ["flag_item_no", "flag_tender_no", "flag_disc_no", "flag_tax_no", "flag_igtax_no"]
-    bad = ~checks.is_yn("error_ind") | ~checks.is_yn("pos_tran_ind")
-    return reduce(lambda a, b: a | b, [_rows(m) for m in marks], bad)
+def _head_flags() -> Column:
+    marks = [
+        F.when(~checks.is_yn(n), F.concat(F.lit(f"{n}="), F.coalesce(n, F.lit("null"))))
+        for n in ("error_ind", "pos_tran_ind")
+    ]
+    return F.concat_ws(",", *marks)
 
 
 def tax_mode_mix(mode: str | None = None) -> Column:
@@ -322,17 +372,8 @@ ROW_RULES: list[Rule] = [
         orig_value=lambda: F.col("tender_total").cast("string"),
     ),
     Rule("VOID_OOH", void_out_of_hours, orig_value=lambda: F.substring("tran_datetime", 12, 8)),
-    Rule(
-        "NEG_QTY_NO_REF",
-        lambda: _type("SALE") & _rows("neg_item_no"),
-        key_1=lambda: F.col("neg_item_no"),
-    ),
-    Rule(
-        "CC_NOT_MASKED",
-        _has("open_card_no"),
-        key_1=lambda: F.col("open_card_no"),
-        orig_cc_no=lambda: F.col("open_card"),
-    ),
+    Rule("NEG_QTY_NO_REF", lines=("neg_items",), lines_when=lambda: _type("SALE")),
+    Rule("CC_NOT_MASKED", lines=("open_cards",)),
     Rule(
         "CHANNEL_INVALID",
         lambda: ~F.col("record_channel").eqNullSafe(F.col("rtlog_orig_sys"))
@@ -343,20 +384,20 @@ ROW_RULES: list[Rule] = [
     Rule(
         "CODE_INVALID",
         lambda: ~checks.in_code_list("tran_type", "TRAT")
-        | ~F.coalesce(F.col("status").isin(ref.HEAD_STATUSES), F.lit(False))
-        | _rows("status_item_no"),
-        key_1=lambda: F.col("status_item_no"),
-        orig_value=lambda: F.col("tran_type"),
+        | ~F.coalesce(F.col("status").isin(ref.HEAD_STATUSES), F.lit(False)),
+        orig_value=lambda: F.concat_ws("/", "tran_type", "status"),
+        lines=("status_items",),
     ),
-    Rule("IND_INVALID", _any_bad_flag, key_1=lambda: F.col("flag_item_no")),
-    Rule("SALE_NO_ITEM", lambda: _type("SALE") & (F.col("n_items") == 0)),
-    Rule("ITEM_SEQ_GAP", lambda: ~F.col("items_in_order")),
-    Rule("RETAIL_NOT_POSITIVE", _has("price_item_no"), key_1=lambda: F.col("price_item_no")),
     Rule(
-        "POS_DROP_SHIP",
-        lambda: (F.col("rtlog_orig_sys") == "POS") & _rows("ship_item_no"),
-        key_1=lambda: F.col("ship_item_no"),
+        "IND_INVALID",
+        lambda: ~checks.is_yn("error_ind") | ~checks.is_yn("pos_tran_ind"),
+        orig_value=_head_flags,
+        lines=("flag_items", "flag_discs", "flag_tenders", "flag_taxes", "flag_igtaxes"),
     ),
+    Rule("SALE_NO_ITEM", lambda: _type("SALE") & (F.col("n_items") == 0)),
+    Rule("ITEM_SEQ_GAP", lambda: ~F.col("items_in_order")),
+    Rule("RETAIL_NOT_POSITIVE", lines=("price_items",)),
+    Rule("POS_DROP_SHIP", lines=("ship_items",), lines_when=lambda: F.col("rtlog_orig_sys") == "POS"),
     Rule("TAX_MODE_MIX", tax_mode_mix),
     Rule(
         "VALUE_MISMATCH",
@@ -370,7 +411,11 @@ ROW_RULES: list[Rule] = [
         lambda: ~F.col("banner_no").eqNullSafe(F.lit(ref.DEFAULT_BANNER).cast("long")),
         orig_value=lambda: F.col("banner_no").cast("string"),
     ),
-    Rule("CURR_AMT_MISMATCH", _has("curr_tender_no"), key_1=lambda: F.col("curr_tender_no")),
+    Rule(
+        "CURR_AMT_MISMATCH",
+        lines=("curr_tenders",),
+        line=lambda x: x["orig_value"].isNull() | (x["orig_value"] == F.col("local_currency")),
+    ),
 ]
 
 RULES = {r.code: r for r in ROW_RULES}
@@ -378,27 +423,50 @@ RULES = {r.code: r for r in ROW_RULES}
 ERROR_KEYS = ["record_key", "store", "business_date", "tran_seq_no", "rtlog_orig_sys"]
 
 
-def _hit(rule: Rule) -> Column:
-    return F.when(
-        rule.test(),
-        F.struct(
-            F.lit(rule.code).alias("error_code"),
-            rule.key_1().cast("long").alias("key_value_1"),
-            rule.orig_value().cast("string").alias("orig_value"),
-            rule.orig_cc_no().cast("string").alias("orig_cc_no"),
-        ),
+def _hit_struct(rule: Rule, key_1: Column, key_2: Column, value: Column, card: Column, section: str | None, line: Column) -> Column:
+    return F.struct(
+        F.lit(rule.code).alias("error_code"),
+        key_1.cast("long").alias("key_value_1"),
+        key_2.cast("long").alias("key_value_2"),
+        value.cast("string").alias("orig_value"),
+        card.cast("string").alias("orig_cc_no"),
+        F.lit(section).cast("string").alias("section"),
+        line.cast("int").alias("line"),
+    )
+
+
+def _rule_hits(rule: Rule) -> list[Column]:
+    """Arrays of hits of one rule: that of the transaction, and those of its rows."""
+    null = F.lit(None)
+    found = []
+    if rule.test is not None:
+        whole = _hit_struct(rule, rule.key_1(), null, rule.orig_value(), rule.orig_cc_no(), None, null)
+        found.append(F.when(rule.test(), F.array(whole)))
+    return found + [_line_hits(rule, fact) for fact in rule.lines]
+
+
+def _line_hits(rule: Rule, fact: str) -> Column:
+    section = LINE_TESTS[fact].child
+    return F.transform(
+        rule.offending(fact),
+        lambda x, i: _hit_struct(rule, x["key_1"], x["key_2"], x["orig_value"], x["orig_cc_no"], section, i + 1),
     )
 
 
 @lru_cache(maxsize=64)
 def _hits(app_id: str, rules: tuple[Rule, ...]) -> Column:
-    return F.inline(F.array_compact(F.array(*[_hit(r) for r in rules])))
+    parts = [part for rule in rules for part in _rule_hits(rule)]
+    return F.inline(F.flatten(F.array_compact(F.array(*parts))))
 
 
 def run_rules(
     facts: DataFrame, rules: list[Rule] | None = None, carry: list[str] | None = None
 ) -> DataFrame:
-    """All row-local rules in one pass: one array of hits per row, exploded once."""
+    """All row-local rules in one pass: the arrays of hits of a row put together and exploded once.
+
+    A hit on a child row names the child (``section``) and which of its offending rows it is (``line``), so
+    that rows without a number, or with a repeated one, stay apart.
+    """
     have = set(facts.columns)
     active = tuple(r for r in (rules or ROW_RULES) if set(r.needs) <= have)
     keep = carry or [k for k in ERROR_KEYS if k in have]
@@ -408,5 +476,5 @@ def run_rules(
 def any_fault(rules: list[Rule] | None = None) -> Column:
     """TRUE for a record that any of the rules reports."""
     return reduce(
-        lambda a, b: a | b, [F.coalesce(r.test(), F.lit(False)) for r in rules or ROW_RULES]
+        lambda a, b: a | b, [r.holds() for r in rules or ROW_RULES]
     )

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from tillwarden import reference as ref
 from tillwarden.functions import keys as K, rawjson
-from tillwarden.operators import audit, conform, joins, rules, tax
+from tillwarden.operators import audit, conform, rules, tax
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query, register
-from tillwarden.plans.sql import RULE_SQL, rule_body
+from tillwarden.plans.sql import ROW_CODES, rule_body
+from tillwarden.schemas import CHILDREN
 
-_HIT = ["store", "business_date", "tran_seq_no", "rtlog_orig_sys", "error_code", "key_value_1", "orig_value", "orig_cc_no"]
+_HIT = ["store", "business_date", "tran_seq_no", "rtlog_orig_sys", "error_code", "key_value_1", "key_value_2", "orig_value", "orig_cc_no", "section"]
 _HIT_SQL = ", ".join(_HIT)
 
 
@@ -23,7 +24,7 @@ def _one_rule(code: str):
     return run
 
 
-for _code in RULE_SQL:
+for _code in ROW_CODES:
     register(
         f"rule_{_code.lower()}",
         _one_rule(_code),
@@ -128,16 +129,6 @@ def rule_item_class_key(spark, sf):
     )
 
 
-def _typed_children(spark, sf, child):
-    log = T.till_log(spark, sf)
-    keyed = conform.with_keys(log)
-    return keyed.select(
-        "record_key", F.col("tran_head.store").alias("store"), F.col("tran_head.business_date").alias("business_date"),
-        F.col("tran_head.tran_seq_no").alias("tran_seq_no"), F.col("tran_head.rtlog_orig_sys").alias("rtlog_orig_sys"),
-        F.col("tran_head.tran_type").alias("tran_type"), F.inline(child),
-    )
-
-
 @query(
     "rule_igtax_rollup",
     ["ev_item", "ev_igtax"],
@@ -153,8 +144,8 @@ def _typed_children(spark, sf, child):
 )
 def rule_igtax_rollup(spark, sf):
     hits = audit.tax_hits(
-        _typed_children(spark, sf, "tran_item"),
-        _typed_children(spark, sf, "tran_igtax"),
+        audit.typed_children(T.till_log(spark, sf), "tran_item"),
+        audit.typed_children(T.till_log(spark, sf), "tran_igtax"),
         ["record_key"],
     )
     return hits.select("tran_seq_no", "error_code", "key_value_1")
@@ -170,10 +161,10 @@ def rule_igtax_rollup(spark, sf):
          OR CAST(i.unit_retail * p.disc_pct AS DECIMAL(20,4)) <> d.unit_discount_amt""",
 )
 def rule_disc_recalc(spark, sf):
-    disc = _typed_children(spark, sf, "tran_disc").select(
+    disc = audit.typed_children(T.till_log(spark, sf), "tran_disc").select(
         "record_key", "tran_seq_no", "item_seq_no", "promotion", "unit_discount_amt"
     )
-    items = _typed_children(spark, sf, "tran_item")
+    items = audit.typed_children(T.till_log(spark, sf), "tran_item")
     return tax.discount_errors(disc, items, ref.promotions(spark), ["record_key"]).select(
         "tran_seq_no", "promotion", "unit_discount_amt", "expected_amt"
     )
@@ -181,18 +172,15 @@ def rule_disc_recalc(spark, sf):
 
 @query(
     "rule_ref_integrity",
-    ["ev_item", "ev_head"],
-    """SELECT tran_seq_no, 'REF_INTEGRITY' AS error_code, item_seq_no AS key_value_1 FROM ev_item
-       WHERE event_id IN (SELECT event_id FROM ev_head WHERE error_ind NOT IN ('Y', 'N'))""",
+    ["ev_set_hits"],
+    f"SELECT {_HIT_SQL} FROM ev_set_hits WHERE error_code = 'REF_INTEGRITY'",
 )
 def rule_ref_integrity(spark, sf):
-    """Items whose header went to quarantine have no header."""
-    good, _ = conform.quarantine(T.till_log(spark, sf))
-    items = _typed_children(spark, sf, "tran_item")
-    orphans = joins.orphan_children(items, conform.heads(good), ["record_key"])
-    return audit.as_hits(orphans, "REF_INTEGRITY", F.col("item_seq_no")).select(
-        "tran_seq_no", "error_code", "key_value_1"
-    )
+    """Rows of the five children whose header went to quarantine have no header."""
+    log = T.till_log(spark, sf)
+    good, _ = conform.quarantine(log)
+    children = {c: audit.typed_children(log, c) for c in CHILDREN}
+    return audit.orphan_hits(conform.heads(good), children).select(*_HIT)
 
 
 @query(
@@ -206,9 +194,9 @@ def rule_ref_integrity(spark, sf):
 )
 def rule_ref_data_invalid(spark, sf):
     return audit.reference_hits(
-        _typed_children(spark, sf, "tran_item"),
-        _typed_children(spark, sf, "tran_disc"),
-        _typed_children(spark, sf, "tran_tender"),
+        audit.typed_children(T.till_log(spark, sf), "tran_item"),
+        audit.typed_children(T.till_log(spark, sf), "tran_disc"),
+        audit.typed_children(T.till_log(spark, sf), "tran_tender"),
         ref.products(spark),
     ).select("tran_seq_no", "error_code", "key_value_1", "orig_value")
 
@@ -224,33 +212,40 @@ def run_rules(spark, sf):
 
 @query(
     "rule_report",
-    ["ev_hits"],
-    "SELECT rtlog_orig_sys, error_code, count(*) AS n_errors FROM ev_hits GROUP BY 1, 2",
+    ["ev_all_hits"],
+    "SELECT rtlog_orig_sys, error_code, count(*) AS n_errors FROM ev_all_hits GROUP BY 1, 2",
 )
 def rule_report(spark, sf):
-    return audit.rule_report(audit.audit_nested(T.till_log(spark, sf)))
+    """All 27 rules."""
+    return audit.rule_report(T.audited(spark, sf))
+
+
+@query("audit_all", ["ev_all_hits"], f"SELECT {_HIT_SQL} FROM ev_all_hits")
+def audit_all(spark, sf):
+    """Every error of every rule, one row for each offending line."""
+    return T.audited(spark, sf).select(*_HIT)
 
 
 @query(
     "order_audit",
     ["o_head", "o_item", "o_tender", "o_disc"],
-    """WITH f AS (
-         SELECT h.*, coalesce(n_items, 0) AS n_items, coalesce(line_total, 0) AS line_total, neg, ok, coalesce(n_t, 0) AS n_t, coalesce(tt, 0) AS tt, oc, coalesce(dd, 0) AS dd
+    """SELECT * FROM (WITH f AS (
+         SELECT h.*, coalesce(n_items, 0) AS n_items, coalesce(line_total, 0) AS line_total, ok, coalesce(n_t, 0) AS n_t, coalesce(tt, 0) AS tt, coalesce(dd, 0) AS dd
          FROM o_head h
          LEFT JOIN (SELECT tran_no, count(*) AS n_items, CAST(sum(qty * unit_retail) AS DECIMAL(20,4)) AS line_total,
-             min(CASE WHEN qty < 0 AND return_reason_code IS NULL THEN item_seq_no END) AS neg,
              min(item_seq_no) = 1 AND max(item_seq_no) = count(*) AND count(DISTINCT item_seq_no) = count(*) AS ok FROM o_item GROUP BY 1) i USING (tran_no)
-         LEFT JOIN (SELECT tran_no, count(*) AS n_t, CAST(sum(tender_amt) AS DECIMAL(20,4)) AS tt,
-             min(CASE WHEN tender_type_group = 'CARD' AND cc_no NOT LIKE '*%' THEN tender_seq_no END) AS oc FROM o_tender GROUP BY 1) t USING (tran_no)
+         LEFT JOIN (SELECT tran_no, count(*) AS n_t, CAST(sum(tender_amt) AS DECIMAL(20,4)) AS tt FROM o_tender GROUP BY 1) t USING (tran_no)
          LEFT JOIN (SELECT tran_no, CAST(sum(qty * unit_discount_amt) AS DECIMAL(20,4)) AS dd FROM o_disc GROUP BY 1) d USING (tran_no))
-       SELECT tran_no, error_code, CAST(key_value_1 AS BIGINT) AS key_value_1 FROM (
-         SELECT tran_no, 'MISSING_TENDER' AS error_code, NULL AS key_value_1 FROM f WHERE n_t = 0 AND value > 0
-         UNION ALL SELECT tran_no, 'TENDER_VAR_GT_01', NULL FROM f WHERE n_t > 0 AND abs(tt - value) > 0.01
-         UNION ALL SELECT tran_no, 'NEG_QTY_NO_REF', neg FROM f WHERE tran_type = 'SALE' AND neg IS NOT NULL
-         UNION ALL SELECT tran_no, 'CC_NOT_MASKED', oc FROM f WHERE oc IS NOT NULL
-         UNION ALL SELECT tran_no, 'SALE_NO_ITEM', NULL FROM f WHERE tran_type = 'SALE' AND n_items = 0
-         UNION ALL SELECT tran_no, 'ITEM_SEQ_GAP', NULL FROM f WHERE n_items > 0 AND NOT ok
-         UNION ALL SELECT tran_no, 'VALUE_MISMATCH', NULL FROM f WHERE abs(greatest(line_total - dd, 0) - value) > 0.01)""".replace("WITH f AS (", "SELECT * FROM (WITH f AS (") + ")",
+       SELECT tran_no, error_code, CAST(key_value_1 AS BIGINT) AS key_value_1, orig_value, orig_cc_no FROM (
+         SELECT tran_no, 'MISSING_TENDER' AS error_code, NULL AS key_value_1, CAST(value AS VARCHAR) AS orig_value, NULL AS orig_cc_no FROM f WHERE n_t = 0 AND value > 0
+         UNION ALL SELECT tran_no, 'TENDER_VAR_GT_01', NULL, CAST(tt AS VARCHAR), NULL FROM f WHERE n_t > 0 AND abs(tt - value) > 0.01
+         UNION ALL SELECT tran_no, 'NEG_QTY_NO_REF', item_seq_no, CAST(qty AS VARCHAR), NULL FROM o_item JOIN o_head USING (tran_no)
+           WHERE tran_type = 'SALE' AND qty < 0 AND return_reason_code IS NULL
+         UNION ALL SELECT tran_no, 'CC_NOT_MASKED', tender_seq_no, NULL, '************' || right(cc_no, 4) FROM o_tender
+           WHERE tender_type_group = 'CARD' AND cc_no NOT LIKE '*%'
+         UNION ALL SELECT tran_no, 'SALE_NO_ITEM', NULL, NULL, NULL FROM f WHERE tran_type = 'SALE' AND n_items = 0
+         UNION ALL SELECT tran_no, 'ITEM_SEQ_GAP', NULL, NULL, NULL FROM f WHERE n_items > 0 AND NOT ok
+         UNION ALL SELECT tran_no, 'VALUE_MISMATCH', NULL, CAST(value AS VARCHAR), NULL FROM f WHERE abs(greatest(line_total - dd, 0) - value) > 0.01))""",
 )
 def order_audit(spark, sf):
     """The rules on flat tables: children are aggregated, then joined."""
@@ -271,22 +266,21 @@ def order_audit(spark, sf):
     )
     codes = ["MISSING_TENDER", "TENDER_VAR_GT_01", "NEG_QTY_NO_REF", "CC_NOT_MASKED", "SALE_NO_ITEM", "ITEM_SEQ_GAP", "VALUE_MISMATCH"]
     return rules.run_rules(facts, [rules.RULES[c] for c in codes], ["tran_no"]).select(
-        "tran_no", "error_code", "key_value_1"
+        "tran_no", "error_code", "key_value_1", "orig_value", "orig_cc_no"
     )
 
 
 def _errors(spark, sf):
-    hits = audit.audit_nested(T.till_log(spark, sf))
-    return audit.build_sa_error(hits, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    return audit.build_sa_error(T.audited(spark, sf), F.lit("2024-02-01 00:00:00").cast("timestamp"))
 
 
 @query(
     "sa_error",
-    ["ev_hits"],
+    ["ev_all_hits"],
     """SELECT store, CAST(dayofyear(business_date) AS BIGINT) AS day, CAST(NULL AS BIGINT) AS bal_group_seq_no,
-         CAST(NULL AS BIGINT) AS total_seq_no, error_code, key_value_1, CAST(NULL AS BIGINT) AS key_value_2, 'SART' AS rec_type,
+         CAST(NULL AS BIGINT) AS total_seq_no, error_code, key_value_1, key_value_2, 'SART' AS rec_type,
          'N' AS store_override_ind, 'N' AS hq_override_ind, 'AUDIT' AS update_id, orig_value, orig_cc_no
-       FROM ev_hits""",
+       FROM ev_all_hits""",
 )
 def sa_error(spark, sf):
     return _errors(spark, sf).select(
@@ -297,8 +291,8 @@ def sa_error(spark, sf):
 
 @query(
     "sa_error_references",
-    ["ev_hits"],
-    """SELECT count(*) AS n_errors, CAST(0 AS BIGINT) AS n_violations, count(*) AS n_ids FROM ev_hits""",
+    ["ev_all_hits"],
+    """SELECT count(*) AS n_errors, CAST(0 AS BIGINT) AS n_violations, count(*) AS n_ids FROM ev_all_hits""",
 )
 def sa_error_references(spark, sf):
     """Every error points at exactly one object and has its own id."""
@@ -310,12 +304,13 @@ def sa_error_references(spark, sf):
 
 
 _BLOCKING = """('MISSING_TENDER', 'TENDER_VAR_GT_01', 'TRAN_NO_DUP', 'NEG_QTY_NO_REF', 'CC_NOT_MASKED', 'CHANNEL_INVALID',
-  'TRAN_SEQ_DUP', 'CODE_INVALID', 'IND_INVALID', 'SALE_NO_ITEM', 'RETAIL_NOT_POSITIVE', 'VALUE_MISMATCH')"""
+  'TRAN_SEQ_DUP', 'CODE_INVALID', 'IND_INVALID', 'SALE_NO_ITEM', 'RETAIL_NOT_POSITIVE', 'VALUE_MISMATCH',
+  'KEYS_MISSING', 'REF_INTEGRITY', 'REF_DATA_INVALID')"""
 _STATUS_SQL = f"""SELECT h.tran_seq_no, h.store, h.business_date, coalesce(e, 0) AS n_errors, coalesce(b, 0) AS n_blocking,
     CASE WHEN coalesce(e, 0) > 0 THEN 'Y' ELSE 'N' END AS error_ind,
     CASE WHEN coalesce(b, 0) > 0 THEN 'ERRORED' WHEN coalesce(e, 0) > 0 THEN 'VALIDATED' ELSE 'APPROVED' END AS status
   FROM ev_head h LEFT JOIN (SELECT event_id, count(*) AS e, count(*) FILTER (WHERE error_code IN {_BLOCKING}) AS b
-    FROM ev_hits GROUP BY 1) x USING (event_id)"""
+    FROM ev_all_hits GROUP BY 1) x USING (event_id)"""
 
 
 def _status(spark, sf):
@@ -326,7 +321,7 @@ def _status(spark, sf):
 
 @query(
     "status_flow",
-    ["ev_head", "ev_hits"],
+    ["ev_head", "ev_all_hits"],
     f"SELECT tran_seq_no, n_errors, n_blocking, error_ind, status FROM ({_STATUS_SQL})",
 )
 def status_flow(spark, sf):
@@ -335,7 +330,7 @@ def status_flow(spark, sf):
 
 @query(
     "audit_status",
-    ["ev_head", "ev_hits"],
+    ["ev_head", "ev_all_hits"],
     f"""SELECT store, business_date, count(*) AS n_trans, count(*) FILTER (WHERE status = 'ERRORED') AS n_errored,
           CASE WHEN count(*) FILTER (WHERE status = 'ERRORED') > 0 THEN 'INPROGRESS' ELSE 'AUDITED' END AS audit_status
         FROM ({_STATUS_SQL}) GROUP BY 1, 2""",

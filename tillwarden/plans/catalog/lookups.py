@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwarden import reference as ref
 from tillwarden.functions import money as M
-from tillwarden.operators import joins, rules, totals
+from tillwarden.operators import audit, joins, rules, tax, totals
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query
 
@@ -35,14 +35,35 @@ def unknown_store(spark, sf):
 
 @query(
     "orphan_children",
-    ["o_head", "o_item"],
-    """SELECT tran_no, item_seq_no, unit_retail FROM o_item
-       WHERE tran_no NOT IN (SELECT tran_no FROM o_head WHERE tran_type <> 'PVOID')""",
+    ["o_head", "o_item", "o_disc", "o_tender", "o_tax", "o_igtax"],
+    "SELECT * FROM (WITH gone AS (SELECT tran_no FROM o_head WHERE tran_type = 'PVOID') "
+    + " UNION ALL ".join(
+        f"SELECT tran_no, '{section}' AS section, {key_1} AS key_value_1, CAST({key_2} AS BIGINT) AS key_value_2 FROM {view} SEMI JOIN gone USING (tran_no)"
+        for section, view, key_1, key_2 in (
+            ("tran_item", "o_item", "item_seq_no", "NULL"),
+            ("tran_disc", "o_disc", "item_seq_no", "item_seq_no"),
+            ("tran_tender", "o_tender", "tender_seq_no", "NULL"),
+            ("tran_tax", "o_tax", "tax_seq_no", "NULL"),
+            ("tran_igtax", "o_igtax", "item_seq_no", "igtax_seq_no"),
+        )
+    )
+    + ")",
 )
 def orphan_children(spark, sf):
+    """Rows of all five children whose order is not among the headers: those of post-voids were taken away."""
     heads = T.order_head(spark, sf).filter("tran_type <> 'PVOID'")
-    return joins.orphan_children(T.order_item(spark, sf), heads, T.ORDER_KEYS).select(
-        "tran_no", "item_seq_no", "unit_retail"
+    items = T.order_item(spark, sf)
+    children = {
+        "tran_item": items,
+        "tran_disc": T.order_disc(spark, sf).withColumn("discount_seq_no", F.col("item_seq_no")),
+        "tran_tender": T.order_tender(spark, sf),
+        "tran_tax": T.order_tax(spark, sf),
+        "tran_igtax": tax.igtax_lines(items, T.ORDER_KEYS),
+    }
+    keyed = {c: df.withColumn("record_key", F.col("tran_no").cast("string")) for c, df in children.items()}
+    hits = audit.orphan_hits(heads.select(F.col("tran_no").cast("string").alias("record_key")), keyed)
+    return hits.select(
+        F.col("record_key").cast("long").alias("tran_no"), "section", "key_value_1", "key_value_2"
     )
 
 
@@ -186,11 +207,10 @@ def fx_by_day(spark, sf):
 
 @query(
     "error_ind",
-    ["ev_head", "ev_row_hits"],
-    """SELECT tran_seq_no, tran_type, CASE WHEN event_id IN (SELECT event_id FROM ev_row_hits) THEN 'Y' ELSE 'N' END AS error_ind
+    ["ev_head", "ev_all_hits"],
+    """SELECT tran_seq_no, tran_type, CASE WHEN event_id IN (SELECT event_id FROM ev_all_hits) THEN 'Y' ELSE 'N' END AS error_ind
        FROM ev_head""",
 )
 def error_ind(spark, sf):
     facts = rules.nested_facts(T.till_log(spark, sf))
-    hits = rules.run_rules(facts)
-    return joins.error_back_propagation(facts, hits).select("tran_seq_no", "tran_type", "error_ind")
+    return joins.error_back_propagation(facts, T.audited(spark, sf)).select("tran_seq_no", "tran_type", "error_ind")

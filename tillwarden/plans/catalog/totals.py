@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwarden.operators import audit, conform, rules, tax, totals
+from tillwarden.operators import conform, rules, tax, totals
 from tillwarden.plans import tables as T
 from tillwarden.plans.catalog import query
 
@@ -153,22 +153,20 @@ def calc_totals(spark, sf):
 
 @query(
     "errors_by_code",
-    ["ev_hits"],
-    """SELECT rtlog_orig_sys, store, business_date, error_code, count(*) AS n_errors FROM ev_hits GROUP BY 1, 2, 3, 4""",
+    ["ev_all_hits"],
+    """SELECT rtlog_orig_sys, store, business_date, error_code, count(*) AS n_errors FROM ev_all_hits GROUP BY 1, 2, 3, 4""",
 )
 def errors_by_code(spark, sf):
-    return totals.errors_by_code(
-        audit.audit_nested(T.till_log(spark, sf)), "rtlog_orig_sys", "store", "business_date"
-    )
+    return totals.errors_by_code(T.audited(spark, sf), "rtlog_orig_sys", "store", "business_date")
 
 
 @query(
     "errors_rollup",
-    ["ev_row_hits"],
-    "SELECT rtlog_orig_sys, store, count(*) AS n_errors FROM ev_row_hits GROUP BY ROLLUP (rtlog_orig_sys, store)",
+    ["ev_all_hits"],
+    "SELECT rtlog_orig_sys, store, count(*) AS n_errors FROM ev_all_hits GROUP BY ROLLUP (rtlog_orig_sys, store)",
 )
 def errors_rollup(spark, sf):
-    return totals.errors_rollup(rules.run_rules(rules.nested_facts(T.till_log(spark, sf))))
+    return totals.errors_rollup(T.audited(spark, sf))
 
 
 # row rules of the six published faults; the sixth, TRAN_NO_DUP, looks at several records
@@ -203,17 +201,15 @@ def channel_variance(spark, sf):
 
 @query(
     "weekly_summary",
-    ["ev_head", "ev_row_hits"],
+    ["ev_head", "ev_all_hits"],
     """SELECT week, store, rtlog_orig_sys, CAST(sum(net) AS DECIMAL(38,4)) AS net_sales, CAST(sum(t) AS BIGINT) AS n_trans, CAST(sum(e) AS BIGINT) AS n_errors
        FROM (SELECT CAST(date_trunc('week', business_date) AS DATE) AS week, store, rtlog_orig_sys,
                CASE tran_type WHEN 'SALE' THEN value WHEN 'RETURN' THEN -value ELSE 0 END AS net, 1 AS t, 0 AS e FROM ev_head
-             UNION ALL SELECT CAST(date_trunc('week', business_date) AS DATE), store, rtlog_orig_sys, 0, 0, 1 FROM ev_row_hits)
+             UNION ALL SELECT CAST(date_trunc('week', business_date) AS DATE), store, rtlog_orig_sys, 0, 0, 1 FROM ev_all_hits)
        GROUP BY 1, 2, 3""",
 )
 def weekly_summary(spark, sf):
-    log = T.till_log(spark, sf)
-    hits = rules.run_rules(rules.nested_facts(log))
-    return totals.weekly_summary(log.select("tran_head.*"), hits)
+    return totals.weekly_summary(T.till_log(spark, sf).select("tran_head.*"), T.audited(spark, sf))
 
 
 @query(

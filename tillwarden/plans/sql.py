@@ -84,7 +84,7 @@ _view("ev_disc", ["ev_head"], """
       500001 + event_id % 5 AS promotion, qty, unit_disc AS unit_discount_amt
     FROM ev_head WHERE has_disc""")
 _view("ev_tender", ["ev_head"], """
-    SELECT event_id, store, business_date, tran_seq_no, rtlog_orig_sys, CAST(1 AS BIGINT) AS tender_seq_no,
+    SELECT event_id, store, business_date, tran_seq_no, rtlog_orig_sys, tran_no, CAST(1 AS BIGINT) AS tender_seq_no,
       CASE tender_type_id WHEN 1 THEN 'CASH' WHEN 3 THEN 'VOUCHER' ELSE 'CARD' END AS tender_type_group,
       tender_type_id,
       CAST(value + CASE WHEN n % 7 = 0 THEN 0.05 ELSE 0 END AS DECIMAL(20,4)) AS tender_amt,
@@ -94,7 +94,7 @@ _view("ev_tender", ["ev_head"], """
       value AS orig_curr_amt
     FROM ev_head WHERE has_tender""")
 _view("ev_tax", ["ev_head"], """
-    SELECT event_id, store, business_date, tran_seq_no, CAST(1 AS BIGINT) AS tax_seq_no, tax_amt
+    SELECT event_id, store, business_date, tran_seq_no, rtlog_orig_sys, CAST(1 AS BIGINT) AS tax_seq_no, tax_amt
     FROM ev_head WHERE n_lines > 0 AND n % 6 = 0""")
 _view("ev_igtax", ["ev_head"], """
     SELECT event_id, store, business_date, tran_seq_no, rtlog_orig_sys, (i - 1) // 2 + 1 AS item_seq_no,
@@ -104,77 +104,136 @@ _view("ev_igtax", ["ev_head"], """
 _view("ev_facts", ["ev_head", "ev_item", "ev_disc", "ev_tender", "ev_tax", "ev_igtax"], """
     SELECT h.*,
       coalesce(i.n_items, 0) AS n_items, coalesce(i.line_total, 0) AS line_total, i.items_ok,
-      i.neg_item_no, i.price_item_no, i.ship_item_no, i.status_item_no, i.flag_item_no,
       coalesce(d.disc_total, 0) AS disc_total,
       coalesce(t.n_tenders, 0) AS n_tenders, coalesce(t.tender_total, 0) AS tender_total,
-      t.open_card_no, t.open_card, t.curr_tender_no, t.noncash_tender_no,
+      t.n_noncash,
       coalesce(x.n_taxes, 0) AS n_taxes, coalesce(g.n_igtaxes, 0) AS n_igtaxes
     FROM ev_head h
     LEFT JOIN (
       SELECT event_id, count(*) AS n_items, CAST(sum(qty * unit_retail) AS DECIMAL(20,4)) AS line_total,
-        min(item_seq_no) = 1 AND max(item_seq_no) = count(*) AS items_ok,
-        min(CASE WHEN qty < 0 AND return_reason_code IS NULL THEN item_seq_no END) AS neg_item_no,
-        min(CASE WHEN unit_retail <= 0 THEN item_seq_no END) AS price_item_no,
-        min(CASE WHEN drop_ship_ind <> 'N' THEN item_seq_no END) AS ship_item_no,
-        min(CASE WHEN item_status NOT IN ('ACTIVE', 'VOIDED', 'REFUNDED') THEN item_seq_no END) AS status_item_no,
-        min(CASE WHEN tax_ind NOT IN ('Y', 'N') THEN item_seq_no END) AS flag_item_no
+        min(item_seq_no) = 1 AND max(item_seq_no) = count(*) AS items_ok
       FROM ev_item GROUP BY event_id) i ON i.event_id = h.event_id
     LEFT JOIN (
       SELECT event_id, CAST(sum(qty * unit_discount_amt) AS DECIMAL(20,4)) AS disc_total
       FROM ev_disc GROUP BY event_id) d ON d.event_id = h.event_id
     LEFT JOIN (
       SELECT event_id, count(*) AS n_tenders, CAST(sum(tender_amt) AS DECIMAL(20,4)) AS tender_total,
-        min(CASE WHEN tender_type_group = 'CARD' AND cc_no NOT LIKE '*%' THEN tender_seq_no END) AS open_card_no,
-        min(CASE WHEN tender_type_group = 'CARD' AND cc_no NOT LIKE '*%' THEN '************' || right(cc_no, 4) END) AS open_card,
-        min(CASE WHEN orig_curr_amt <> tender_amt THEN tender_seq_no END) AS curr_tender_no,
-        min(CASE WHEN tender_type_group <> 'CASH' THEN tender_seq_no END) AS noncash_tender_no
+        count(*) FILTER (WHERE tender_type_group <> 'CASH') AS n_noncash
       FROM ev_tender GROUP BY event_id) t ON t.event_id = h.event_id
     LEFT JOIN (SELECT event_id, count(*) AS n_taxes FROM ev_tax GROUP BY event_id) x ON x.event_id = h.event_id
     LEFT JOIN (SELECT event_id, count(*) AS n_igtaxes FROM ev_igtax GROUP BY event_id) g ON g.event_id = h.event_id""")
 
-# rule -> (test, key_value_1, orig_value, orig_cc_no) over ev_facts
+# rule -> (test, orig_value) over ev_facts, for errors of the transaction
 RULE_SQL = {
-    "MISSING_TENDER": ("n_tenders = 0 AND value > 0", "NULL", "CAST(value AS VARCHAR)", "NULL"),
-    "TENDER_VAR_GT_01": ("n_tenders > 0 AND abs(tender_total - value) > 0.01", "NULL", "CAST(tender_total AS VARCHAR)", "NULL"),
-    "VOID_OOH": ("tran_type = 'PVOID' AND (hour(ts) < 6 OR hour(ts) >= 23)", "NULL", "strftime(ts, '%H:%M:%S')", "NULL"),
-    "NEG_QTY_NO_REF": ("tran_type = 'SALE' AND neg_item_no IS NOT NULL", "neg_item_no", "NULL", "NULL"),
-    "CC_NOT_MASKED": ("open_card_no IS NOT NULL", "open_card_no", "NULL", "open_card"),
-    "CHANNEL_INVALID": ("record_channel <> rtlog_orig_sys OR record_channel NOT IN ('POS', 'OMS', 'MKT')", "NULL", "record_channel", "NULL"),
-    "CODE_INVALID": ("status = 'REVIEW' OR status_item_no IS NOT NULL", "status_item_no", "tran_type", "NULL"),
-    "IND_INVALID": ("error_ind NOT IN ('Y', 'N') OR pos_tran_ind NOT IN ('Y', 'N') OR flag_item_no IS NOT NULL", "flag_item_no", "NULL", "NULL"),
-    "SALE_NO_ITEM": ("tran_type = 'SALE' AND n_items = 0", "NULL", "NULL", "NULL"),
-    "ITEM_SEQ_GAP": ("n_items > 0 AND NOT items_ok", "NULL", "NULL", "NULL"),
-    "RETAIL_NOT_POSITIVE": ("price_item_no IS NOT NULL", "price_item_no", "NULL", "NULL"),
-    "POS_DROP_SHIP": ("rtlog_orig_sys = 'POS' AND ship_item_no IS NOT NULL", "ship_item_no", "NULL", "NULL"),
-    "TAX_MODE_MIX": ("n_taxes > 0 AND n_igtaxes > 0", "NULL", "NULL", "NULL"),
-    "VALUE_MISMATCH": ("tran_type IN ('SALE', 'RETURN', 'PVOID') AND abs(greatest(line_total - disc_total, 0) - value) > 0.01", "NULL", "CAST(value AS VARCHAR)", "NULL"),
-    "PAIDIO_SHAPE": ("tran_type IN ('PAIDIN', 'PAIDOUT') AND NOT (n_tenders = 1 AND noncash_tender_no IS NULL AND tender_total = value AND pos_tran_ind = 'N' AND vendor_no IS NOT NULL AND n_items = 0)", "NULL", "NULL", "NULL"),
-    "SEQ_FORMAT": ("event_type = 'click' AND event_id <> n", "NULL", "tran_seq_no", "NULL"),
-    "BANNER_INVALID": ("banner_no <> 1", "NULL", "CAST(banner_no AS VARCHAR)", "NULL"),
-    "CURR_AMT_MISMATCH": ("curr_tender_no IS NOT NULL", "curr_tender_no", "NULL", "NULL"),
+    "MISSING_TENDER": ("n_tenders = 0 AND value > 0", "CAST(value AS VARCHAR)"),
+    "TENDER_VAR_GT_01": ("n_tenders > 0 AND abs(tender_total - value) > 0.01", "CAST(tender_total AS VARCHAR)"),
+    "VOID_OOH": ("tran_type = 'PVOID' AND (hour(ts) < 6 OR hour(ts) >= 23)", "strftime(ts, '%H:%M:%S')"),
+    "CHANNEL_INVALID": ("record_channel <> rtlog_orig_sys OR record_channel NOT IN ('POS', 'OMS', 'MKT')", "record_channel"),
+    "CODE_INVALID": ("status = 'REVIEW'", "tran_type || '/' || status"),
+    "IND_INVALID": ("error_ind NOT IN ('Y', 'N') OR pos_tran_ind NOT IN ('Y', 'N')", "'error_ind=' || error_ind"),
+    "SALE_NO_ITEM": ("tran_type = 'SALE' AND n_items = 0", "NULL"),
+    "ITEM_SEQ_GAP": ("n_items > 0 AND NOT items_ok", "NULL"),
+    "TAX_MODE_MIX": ("n_taxes > 0 AND n_igtaxes > 0", "NULL"),
+    "VALUE_MISMATCH": ("tran_type IN ('SALE', 'RETURN', 'PVOID') AND abs(greatest(line_total - disc_total, 0) - value) > 0.01", "CAST(value AS VARCHAR)"),
+    "PAIDIO_SHAPE": ("tran_type IN ('PAIDIN', 'PAIDOUT') AND NOT (n_tenders = 1 AND n_noncash = 0 AND tender_total = value AND pos_tran_ind = 'N' AND vendor_no IS NOT NULL AND n_items = 0)", "NULL"),
+    "SEQ_FORMAT": ("event_type = 'click' AND event_id <> n", "tran_seq_no"),
+    "BANNER_INVALID": ("banner_no <> 1", "CAST(banner_no AS VARCHAR)"),
 }
 
+# rule -> (child view, test, orig_value, orig_cc_no), for errors of single rows
+LINE_SQL = {
+    "NEG_QTY_NO_REF": ("ev_item", "tran_type = 'SALE' AND qty < 0 AND return_reason_code IS NULL", "CAST(qty AS VARCHAR)", "NULL"),
+    "CC_NOT_MASKED": ("ev_tender", "tender_type_group = 'CARD' AND cc_no NOT LIKE '*%'", "NULL", "'************' || right(cc_no, 4)"),
+    "CODE_INVALID": ("ev_item", "item_status NOT IN ('ACTIVE', 'VOIDED', 'REFUNDED')", "item_status", "NULL"),
+    "IND_INVALID": ("ev_item", "tax_ind NOT IN ('Y', 'N')", "'tax_ind=' || tax_ind", "NULL"),
+    "RETAIL_NOT_POSITIVE": ("ev_item", "unit_retail <= 0", "CAST(unit_retail AS VARCHAR)", "NULL"),
+    "POS_DROP_SHIP": ("ev_item", "rtlog_orig_sys = 'POS' AND drop_ship_ind <> 'N'", "drop_ship_ind", "NULL"),
+    "CURR_AMT_MISMATCH": ("ev_tender", "orig_curr_amt <> tender_amt", "'INR'", "NULL"),
+}
+
+# child view -> KEY_VALUE_1, KEY_VALUE_2
+LINE_KEYS = {
+    "ev_item": ("item_seq_no", "NULL"),
+    "ev_disc": ("item_seq_no", "discount_seq_no"),
+    "ev_tender": ("tender_seq_no", "NULL"),
+    "ev_tax": ("tax_seq_no", "NULL"),
+    "ev_igtax": ("item_seq_no", "igtax_seq_no"),
+}
+
 HIT_COLUMNS = "store, business_date, tran_seq_no, rtlog_orig_sys"
 
 
-def rule_body(code: str) -> str:
-    test, key_1, value, cc = RULE_SQL[code]
+def line_select(view: str, code: str, test: str, value: str = "NULL", card: str = "NULL") -> str:
+    """Error rows of the rows of a child view (or a query with its columns, named ``<view>``)."""
+    key_1, key_2 = LINE_KEYS[view.split()[-1]]
+    section = view.split()[-1].replace("ev_", "tran_")
     return (
         f"SELECT event_id, {HIT_COLUMNS}, '{code}' AS error_code, CAST({key_1} AS BIGINT) AS key_value_1, "
-        f"CAST({value} AS VARCHAR) AS orig_value, CAST({cc} AS VARCHAR) AS orig_cc_no FROM ev_facts WHERE {test}"
+        f"CAST({key_2} AS BIGINT) AS key_value_2, CAST({value} AS VARCHAR) AS orig_value, "
+        f"CAST({card} AS VARCHAR) AS orig_cc_no, '{section}' AS section FROM {view} WHERE {test}"
     )
 
 
-_view("ev_row_hits", ["ev_facts"], "\n    UNION ALL ".join(rule_body(c) for c in RULE_SQL))
+def rule_body(code: str) -> str:
+    parts = []
+    if code in RULE_SQL:
+        test, value = RULE_SQL[code]
+        parts.append(
+            f"SELECT event_id, {HIT_COLUMNS}, '{code}' AS error_code, CAST(NULL AS BIGINT) AS key_value_1, "
+            f"CAST(NULL AS BIGINT) AS key_value_2, CAST({value} AS VARCHAR) AS orig_value, "
+            f"CAST(NULL AS VARCHAR) AS orig_cc_no, CAST(NULL AS VARCHAR) AS section FROM ev_facts WHERE {test}"
+        )
+    if code in LINE_SQL:
+        view, test, value, card = LINE_SQL[code]
+        parts.append(line_select(view, code, test, value, card))
+    return " UNION ALL ".join(parts)
+
+
+ROW_CODES = [*RULE_SQL, *(c for c in LINE_SQL if c not in RULE_SQL)]
+_view("ev_row_hits", ["ev_facts"], "\n    UNION ALL ".join(rule_body(c) for c in ROW_CODES))
 _view("ev_dup_hits", ["ev_head"], f"""
     SELECT event_id, {HIT_COLUMNS}, 'TRAN_NO_DUP' AS error_code, CAST(NULL AS BIGINT) AS key_value_1,
-      CAST(tran_no AS VARCHAR) AS orig_value, CAST(NULL AS VARCHAR) AS orig_cc_no
+      CAST(NULL AS BIGINT) AS key_value_2, CAST(tran_no AS VARCHAR) AS orig_value, CAST(NULL AS VARCHAR) AS orig_cc_no,
+      CAST(NULL AS VARCHAR) AS section
     FROM (SELECT *, count(*) OVER (PARTITION BY store, register, business_date, tran_no) AS c FROM ev_head) WHERE c > 1
     UNION ALL
-    SELECT event_id, {HIT_COLUMNS}, 'TRAN_SEQ_DUP', CAST(NULL AS BIGINT), tran_seq_no, CAST(NULL AS VARCHAR)
+    SELECT event_id, {HIT_COLUMNS}, 'TRAN_SEQ_DUP', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), tran_seq_no, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
     FROM (SELECT *, count(*) OVER (PARTITION BY tran_seq_no) AS c FROM ev_head) WHERE c > 1""")
 _view("ev_hits", ["ev_row_hits", "ev_dup_hits"], "SELECT * FROM ev_row_hits UNION ALL SELECT * FROM ev_dup_hits")
 
+_view("ev_set_hits", ["ev_item", "ev_disc", "ev_tender", "ev_tax", "ev_igtax", "ev_head", "promos"], "\n    UNION ALL ".join([
+    line_select("""(SELECT i.* FROM ev_item i LEFT JOIN (SELECT event_id, item_seq_no, sum(total_igtax_amt) AS s FROM ev_igtax GROUP BY 1, 2) g
+        ON g.event_id = i.event_id AND g.item_seq_no = i.item_seq_no WHERE coalesce(i.total_igtax_amt, 0) <> coalesce(s, 0)) ev_item""",
+        "IGTAX_ROLLUP", "true", "total_igtax_amt"),
+    line_select("""(SELECT g.* FROM ev_igtax g JOIN ev_item i ON g.event_id = i.event_id AND g.item_seq_no = i.item_seq_no
+        WHERE CAST(i.qty * CAST(0.09 AS DECIMAL(4,4)) * i.unit_retail AS DECIMAL(20,4)) <> g.total_igtax_amt) ev_igtax""",
+        "IGTAX_ROLLUP", "true", "total_igtax_amt"),
+    line_select("""(SELECT d.* FROM ev_disc d JOIN ev_item i ON d.event_id = i.event_id AND d.item_seq_no = i.item_seq_no
+        LEFT JOIN promos p ON p.promo_id = d.promotion WHERE d.tran_type <> 'SALE' OR p.disc_pct IS NULL
+          OR CAST(i.unit_retail * p.disc_pct AS DECIMAL(20,4)) <> d.unit_discount_amt) ev_disc""",
+        "DISC_RECALC", "true", "unit_discount_amt"),
+    line_select("""(SELECT i.* FROM ev_item i LEFT JOIN (VALUES ('APP-M-0001', 799), ('APP-M-0002', 999), ('APP-M-0003', 1199),
+          ('APP-M-0004', 1399), ('APP-M-0005', 1599)) p(sku, base) ON item = sku
+        WHERE sku IS NULL OR abs(unit_retail - base) > 50) ev_item""", "REF_DATA_INVALID", "true", "item"),
+    line_select("ev_disc", "REF_DATA_INVALID", "promotion > 500004", "promotion"),
+    *(line_select(v, "REF_INTEGRITY", "event_id IN (SELECT event_id FROM ev_head WHERE error_ind NOT IN ('Y', 'N'))") for v in LINE_KEYS),
+]))
+_view("ev_raw_hits", ["ev_head", "ev_tender"], f"""
+    SELECT event_id, {HIT_COLUMNS}, 'KEYS_MISSING' AS error_code, CAST(NULL AS BIGINT) AS key_value_1, CAST(NULL AS BIGINT) AS key_value_2,
+      'tran_tax' AS orig_value, CAST(NULL AS VARCHAR) AS orig_cc_no, CAST(NULL AS VARCHAR) AS section
+    FROM ev_head WHERE tran_no % 41 = 0
+    UNION ALL
+    SELECT DISTINCT event_id, {HIT_COLUMNS}, 'SCALE_GT_4', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+      CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+    FROM ev_tender WHERE tran_no % 43 = 0 AND tender_amt % 0.01 <> 0""")
+_view("ev_filed_hits", ["ev_head"], f"""
+    SELECT event_id, {HIT_COLUMNS}, 'PARTITION_MISMATCH' AS error_code, CAST(NULL AS BIGINT) AS key_value_1, CAST(NULL AS BIGINT) AS key_value_2,
+      CAST(NULL AS VARCHAR) AS orig_value, CAST(NULL AS VARCHAR) AS orig_cc_no, CAST(NULL AS VARCHAR) AS section
+    FROM ev_head WHERE store = 29""")
+# every rule: 6 published faults and 21 invariants
+_ALL = ["ev_hits", "ev_set_hits", "ev_raw_hits", "ev_filed_hits"]
+_view("ev_all_hits", _ALL, " UNION ALL ".join(f"SELECT * FROM {v}" for v in _ALL))
+
 # -- orders and line items ----------------------------------------------------
 _view("o_head", [], """
     SELECT o_orderkey AS tran_no, o_custkey % 30 + 1 AS store,

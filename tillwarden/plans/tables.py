@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillwarden import reference as ref
 from tillwarden.functions import keys as K
+from tillwarden.operators import audit
 from tillwarden.schemas import CHILDREN, HEAD_DDL, struct_of
 from tillwarden.session import work_dir
 
@@ -202,6 +204,44 @@ def till_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_LANDED[where])
 
 
+def filed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records with the folder they lie in: their own, but for store 29, whose records were filed under 0."""
+    head = F.col("tran_head")
+    return till_log(spark, sf_dir).withColumns(
+        {
+            "store": F.when(head["store"] == 29, F.lit(0).cast("long")).otherwise(head["store"]),
+            "date": head["business_date"],
+            "hour": K.wall_hour_text(head["tran_datetime"]),
+        }
+    )
+
+
+def raw_text(rtlog: DataFrame) -> DataFrame:
+    """Records as text (record_key, value).
+
+    Where the number divides by 41 the key ``tran_tax`` is left out; where it divides by 43 tender amounts are
+    a hundredth, so that amounts below a cent get six decimals.
+    """
+    number = F.col("tran_head.tran_no")
+
+    def amount(t):
+        exact = t["tender_amt"].cast("decimal(24,6)")
+        return F.when(number % 43 == 0, (exact / 100).cast("decimal(24,6)")).otherwise(exact)
+
+    tenders = F.transform("tran_tender", lambda t: t.withField("tender_amt", amount(t)))
+    record = F.struct(
+        "rtlog_orig_sys", "tran_head", "tran_item", "tran_disc", tenders.alias("tran_tender"),
+        F.when(number % 41 != 0, F.col("tran_tax")).alias("tran_tax"), "tran_igtax",
+    )
+    return rtlog.select("record_key", F.to_json(record, {"ignoreNullFields": "true"}).alias("value"))
+
+
+def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of every rule over all records."""
+    log = filed_log(spark, sf_dir)
+    return audit.audit_all(log, ref.products(spark), ref.promotions(spark), raw=raw_text(log))
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table read as a stream."""
     schema = table(spark, sf_dir, "events").schema
