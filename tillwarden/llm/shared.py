@@ -57,6 +57,22 @@ def parts_for(n_bytes: int, each: int) -> int:
     return max(1, math.ceil(n_bytes / each))
 
 
+# a blank before white space: a cut there may part a run of white space
+_RUNS = tuple(" " + chr(c) for c in (*range(9, 14), *range(28, 33)))
+_WIDE_RUNS = tuple(" " + chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
+def cut_before_blanks(text: str) -> list[str] | None:
+    """The text cut before every blank; None if a run of white space would be parted.
+
+    A blank begins a word for every tokenizer here, so tokens never cross such a cut.
+    """
+    if text.endswith(" ") or any(run in text for run in (_RUNS if text.isascii() else _RUNS + _WIDE_RUNS)):
+        return None
+    first, *rest = text.split(" ")
+    return ([first] if first else []) + [" " + piece for piece in rest]
+
+
 def u32(column: Column) -> Column:
     """A signed 64-bit column's low 32 bits as a number from 0 on."""
     return column.bitwiseAND(F.lit(0xFFFFFFFF))
