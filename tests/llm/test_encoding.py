@@ -51,6 +51,25 @@ def test_records_hold_the_librarys_ids(spark, docs, tmp_path):
         assert sorted((r.doc_id or 0, r.ids) for r in rows) == sorted((i, x) for _, i, x in want)
 
 
+def test_words_of_letters_that_are_written_as_letter_and_mark():
+    """Every letter that lower-casing or composition takes apart, with every end mark; and all other letters."""
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        mine = R.WordEncoder(f.read())
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    apart = [c for c in letters if not unicodedata.normalize("NFC", c).lower().isalpha()]
+    assert len(apart) >= 60 and {"\u0130", "\u0958", "\ufb1d"} <= set(apart)
+    texts = [f"{c}a{m} a{c}{m} YEN{c}{m} x" for c in apart for m in mine.ENDS]
+    texts += [" ".join(f"a{c}." for c in letters[i : i + 200]) for i in range(0, len(letters), 200 * 40)]
+    for text, ids in zip(texts, mine.encode(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u2").tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_damage_is_found():
     data = R.frame(4, np.arange(3, dtype="<u2").tobytes(), 2) + b"\n"
     length, doc_id, ids = R.unframe(data, 0)

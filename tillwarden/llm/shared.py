@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Generic, TypeVar
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwarden.session import work_dir
@@ -41,6 +43,14 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: lineage ends here."""
     path = work_dir(df.sparkSession, name)
@@ -73,6 +83,18 @@ def cut_before_blanks(text: str) -> list[str] | None:
     return ([first] if first else []) + [" " + piece for piece in rest]
 
 
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows (id, text) with about ``size`` bytes of text; a longer text is a run of its own."""
+    first = total = 0
+    for at, length in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+        if at > first and total + length > size:
+            yield batch.slice(first, at - first)
+            first, total = at, 0
+        total += length
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def u32(column: Column) -> Column:
     """A signed 64-bit column's low 32 bits as a number from 0 on."""
     return column.bitwiseAND(F.lit(0xFFFFFFFF))

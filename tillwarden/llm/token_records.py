@@ -24,7 +24,9 @@ further columns are ignored.  A text of any length is one record.
 
 from __future__ import annotations
 
+import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tillwarden.llm.shared import parts_for, texts, total_bytes
+from tillwarden.llm.shared import WordStore, parts_for, slices, texts, total_bytes
 
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
@@ -40,6 +42,7 @@ META = struct.Struct("<qBB")
 TAIL = struct.Struct("<I")
 FRAME_EXTRA = HEAD.size + TAIL.size + 1  # with the closing byte
 CLOSE = "\n"
+SLICE = 2 << 20  # bytes of text encoded at once
 
 INDEX = "shard int, path string, doc_id long, offset long, length long, n_tokens long, before long, ids_crc32 long"
 
@@ -76,20 +79,21 @@ class WordEncoder:
     The vocabulary's normaliser and pre-tokenizer never join anything across a blank or a line
     end, so a text's ids are its words' ids in a row.  Words between these two
     separators go to the library as they are (other white space inside included).  The store
-    of known words is bounded: when full, the later half goes, as frequent words come early.
+    of known words is bounded: words met again stay, those met once go (``WordStore``).
     """
 
-    KNOWN = 500_000
+    KNOWN = 250_000  # words in a generation of the store
     LONG = 80  # longer words are encoded each time
     SEPARATOR = "\x01"
     ENDS = ".,;:!?"
 
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {"": b""}
+        self.store: WordStore[bytes] = WordStore(self.KNOWN)
         one = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.mark = one[0] if len(one) == 1 else None
 
@@ -99,53 +103,56 @@ class WordEncoder:
     def _one(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words; a word of letters and one end mark is put together from the two.
+    def _is_marked(self, word: str) -> bool:
+        """Whether a word is letters and one end mark, and stays so when normalised.
 
-        The pre-tokenizer parts letters from marks, and neither normalises into the other.
+        The pre-tokenizer parts letters from marks.  Some letters are written as a letter and a mark by the normaliser
+        (composed forms that it takes apart, a dotted capital I), and such a mark joins an end mark.
         """
-        marked = [w for w in words if w[-1] in self.ENDS and w[:-1].isalpha()]
-        if marked:
-            bare = {w[:-1] for w in marked}.union(w[-1] for w in marked).difference(self.known)
-            self._learn_whole(sorted(bare.union(words).difference(marked)))
-            for w in marked:
-                self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
-        else:
-            self._learn_whole(words)
-
-    def _learn_whole(self, words: list[str]) -> None:
+        if word[-1:] not in self.ENDS or not word[:-1].isalpha():
+            return False
+        return word.isascii() or unicodedata.normalize("NFC", word[:-1]).lower().isalpha()
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; a word of letters and one end mark is put together from the two."""
+        found = {"": b""}
+        marked = [w for w in words if self._is_marked(w)]
+        bare = {w[:-1] for w in marked}.union(w[-1] for w in marked)
+        wanted = bare.union(words).difference(marked)
+        wanted.discard("")
+        known = {w: self.store.new[w] for w in bare if w in self.store.new}
+        self._learn_whole(sorted(wanted.difference(known)), found)
+        found.update(known)
+        for w in marked:
+            found[w] = found[w[:-1]] + found[w[-1]]
+        return found
+
+    def _learn_whole(self, words: list[str], found: dict[str, bytes]) -> None:
         apart = [w for w in words if self.mark is None or self.SEPARATOR in w]
         for w in apart:
-            self.known[w] = self._one(w)
-        rest = [w for w in words if w not in self.known]
+            found[w] = self._one(w)
+        rest = [w for w in words if w not in found]
         gap = f" {self.SEPARATOR} "
         groups = [rest[i : i + 500] for i in range(0, len(rest), 500)]
-        encoded = self.tokenizer.encode_batch_fast([gap.join(g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, encoded, strict=True):
-            ids = np.asarray(e.ids, dtype=f"<u{self.width}")
+        for group in groups:
+            ids = np.asarray(self.tokenizer.encode(gap.join(group), add_special_tokens=False).ids, dtype=f"<u{self.width}")
             ends = np.flatnonzero(ids == self.mark)
-            for word, part in zip(group, np.split(ids, ends), strict=True):
-                # every part but the first begins with the mark
-                self.known[word] = part.tobytes()
-            for word in group[1:]:
-                self.known[word] = self.known[word][self.width :]
+            starts = np.concatenate(([0], ends + 1)) * self.width  # every part but the first follows a mark
+            packed = ids.tobytes()
+            for word, start, end in zip(group, starts.tolist(), [*(ends * self.width).tolist(), len(packed)], strict=True):
+                found[word] = packed[start:end]
 
     def encode(self, batch: list[str]) -> Iterator[bytes]:
-        for text in batch:
-            words = text.replace("\n", " ").split(" ")
-            known = self.known
-            new = set(words).difference(known)
-            if not new:
-                yield b"".join(map(known.__getitem__, words))
-                continue
-            long = {w for w in new if len(w) > self.LONG}
-            self._learn(sorted(new - long))
-            if long:
-                yield b"".join(self._one(w) if w in long else known[w] for w in words)
+        """Packed ids of each text."""
+        cut = [text.replace("\n", " ").split(" ") for text in batch]
+        words = {w for text in cut for w in text}
+        long = {w for w in words if len(w) > self.LONG}
+        known = self.store.ready(words - long, self._learn)
+        for text in cut:
+            if long and not long.isdisjoint(text):
+                yield b"".join(self._one(w) if w in long else known[w] for w in text)
             else:
-                yield b"".join(map(known.__getitem__, words))
-            if len(known) > self.KNOWN:
-                self.known = dict(list(known.items())[: self.KNOWN // 2])
+                yield b"".join(map(known.__getitem__, text))
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -179,19 +186,12 @@ def write_records(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary.value)
         end = np.asarray([end_id], dtype=f"<u{enc.width}").tobytes()
-        out: list[bytes] = []
-        size = 0
-        for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            for doc_id, text in zip(doc_ids, batch.column(1), strict=True):
-                (ids,) = enc.encode([text.as_py()])
-                out.append(frame(doc_id, ids + end, enc.width))
-                size += len(out[-1])
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-                    out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+        for whole in batches:
+            for batch in slices(whole, SLICE):
+                doc_ids = batch.column(0).to_pylist()
+                all_ids = enc.encode(batch.column(1).to_pylist())
+                out = [frame(doc_id, ids + end, enc.width) for doc_id, ids in zip(doc_ids, all_ids, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     frames = ordered.select("doc_id", "text").mapInArrow(encode, "record binary")
     frames.select(F.col("record").cast("string").alias("value")).write.option("lineSep", CLOSE).text(folder)
