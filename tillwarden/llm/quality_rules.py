@@ -13,7 +13,8 @@ their dozen figures come to the driver.  Everything else runs over all rows.
 
 Cases: a null text is scored as an empty one; rows with a null label or doc_id are not learned from;
 without labels, or with one kind only, every score is the labels' mean (0.5 without any);
-repeated rows are scored alike and all returned; an empty table gives no rows.
+repeated rows are scored alike and all returned; of rows with one id the one of least figures is learned from; an
+empty table gives no rows; further columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ THRESHOLDS = 64  # quantiles of a figure that a split may use
 LEAST_ROWS = 10  # in a node
 LASSO = 0.001
 STEPS = 500
+FIT_ROWS = 2048  # rows of a block of the fit
 
 # Fixed list: marks that prose hardly uses.
 ODD_MARKS = "#$%&*@^~|<>{}[]"
@@ -74,7 +76,7 @@ STATISTICS = (
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``__stat_<name>`` per statistic.
+    """``docs`` (text, and columns of other names than those made here) with a column ``__stat_<name>`` per statistic.
 
     Words, lines and figures are columns of their own in steps of their own: each is used
     several times, and the optimiser does not copy what is dear into its users.
@@ -133,19 +135,37 @@ def grow(bins: np.ndarray, y: np.ndarray, cuts: list[np.ndarray], rng: np.random
     return found
 
 
-def lasso_logistic(hits: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Intercept and weights; the intercept is not penalised."""
-    x = np.hstack([np.ones((len(y), 1)), hits])
-    v = np.ones(x.shape[1])
+def lasso_logistic(hits: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+    """Intercept and weights of the columns of ``hits`` (0 or 1, as bytes); the intercept is not penalised.
+
+    Rows count by their ``weights``.  Products go by blocks of rows, so that only a block is ever held as numbers
+    of full size.
+    """
+    n, k = hits.shape
+    each = np.ones(n) if weights is None else weights.astype(float)
+    total = each.sum()
+    blocks = [slice(at, at + FIT_ROWS) for at in range(0, n, FIT_ROWS)]
+
+    def forward(v: np.ndarray) -> np.ndarray:
+        return np.concatenate([hits[b].astype(float) @ v[1:] for b in blocks]) + v[0]
+
+    def backward(r: np.ndarray) -> np.ndarray:
+        out = np.zeros(k + 1)
+        for b in blocks:
+            out[1:] += r[b] @ hits[b].astype(float)
+        out[0] = r.sum()
+        return out
+
+    v = np.ones(k + 1)
     for _ in range(30):
-        v = x.T @ (x @ v)
+        v = backward(each * forward(v))
         v /= np.linalg.norm(v)
-    step = 4 * len(y) / max(float(v @ (x.T @ (x @ v))), 1e-9)
-    shrink = np.concatenate(([0.0], np.full(hits.shape[1], LASSO * step)))
-    w = ahead = np.zeros(x.shape[1])
+    step = 4 * total / max(float(v @ backward(each * forward(v))), 1e-9)
+    shrink = np.concatenate(([0.0], np.full(k, LASSO * step)))
+    w = ahead = np.zeros(k + 1)
     t = 1.0
     for _ in range(STEPS):
-        slope = x.T @ (1 / (1 + np.exp(-np.clip(x @ ahead, -40, 40))) - y) / len(y)
+        slope = backward(each * (1 / (1 + np.exp(-np.clip(forward(ahead), -40, 40))) - y)) / total
         moved = ahead - step * slope
         new = np.sign(moved) * np.maximum(np.abs(moved) - shrink, 0)
         t_new = (1 + math.sqrt(1 + 4 * t * t)) / 2
@@ -197,7 +217,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column | None = N
     chosen = known.orderBy(F.xxhash64("label_id"), "label_id", "label").limit(SAMPLE)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = with_statistics(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")))
-    got = rows.select("label", *(f"__stat_{s}" for s in STATISTICS)).limit(2 * SAMPLE).toPandas().to_numpy(dtype=float)
+    # one row an id, whatever number of rows or labels it has: at most SAMPLE, and the same ones each time
+    least = rows.groupBy("label_id").agg(F.min(F.struct("label", *(f"__stat_{s}" for s in STATISTICS))).alias("row"))
+    got = least.select("row.*").toPandas().to_numpy(dtype=float)
     y, x = got[:, 0], got[:, 1:]
     if not len(y) or y.min() == y.max():
         return _constant(float(y.mean()) if len(y) else 0.5)
@@ -211,18 +233,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column | None = N
     if not rules:
         return _constant(float(y.mean()))
     value = {name: x[:, i] for i, name in enumerate(STATISTICS)}
-    hits = np.stack(
-        [
-            reduce(np.logical_and, [value[n] <= t if side == "<=" else value[n] > t for n, side, t in rule])
-            for rule in rules
-        ],
-        axis=1,
-    ).astype(float)
-    intercept, weights = lasso_logistic(hits, y)
+    hits = np.empty((len(y), len(rules)), dtype=np.uint8)
+    for i, rule in enumerate(rules):
+        hits[:, i] = reduce(np.logical_and, [value[n] <= t if side == "<=" else value[n] > t for n, side, t in rule])
+    # most rows of one label meet the same rules as others: each such kind is one row with its number
+    packed = np.concatenate([np.packbits(hits, axis=1), y[:, None].astype(np.uint8)], axis=1)
+    _, first, times = np.unique(packed, axis=0, return_index=True, return_counts=True)
+    hits, y = hits[first], y[first]
+    intercept, weights = lasso_logistic(hits, y, times)
     return RuleModel(intercept, tuple((r, float(w)) for r, w in zip(rules, weights, strict=True) if w))
 
 
 def scored(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFrame:
     """The rows with their score; a column of that name is replaced."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != score]
-    return with_statistics(docs).select(*keep, model.score().alias(score))
+    # the row goes along as a struct, so that its columns may have any names
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != score]).alias("row")
+    return with_statistics(docs.select(row, F.col("text").cast("string").alias("text"))).select(
+        "row.*", model.score().alias(score)
+    )
