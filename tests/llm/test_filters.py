@@ -77,6 +77,16 @@ def test_values_keep_their_format_and_check(spark):
     assert new[9].endswith("@mail.example.org") and new[10].startswith('token = "') and len(new[10]) == len(values[10])
 
 
+def test_labels_of_secrets_within_longer_names(spark):
+    secret = "AbCdEfGhIjKlMnOpQrSt1234"
+    labels = ["access_token=", "secret_key=", "api key = ", "aws_secret_access_key=", "client-secret: ", "API_KEY='"]
+    others = ["brokentoken=", "mytokens="]
+    df = spark.createDataFrame([(i, f"x {n}{secret} y") for i, n in enumerate(labels + others)], "doc_id long, text string")
+    rows = P.pseudonymised(df.withColumn("matches", F.lit(1)), "k").orderBy("doc_id").collect()
+    assert [secret in r.text for r in rows] == [False] * len(labels) + [True] * len(others)
+    assert all(r.text.startswith(f"x {n}") and r.matches == 1 for r, n in zip(rows, labels + others, strict=True))
+
+
 def test_whole_secrets_and_further_formats(spark):
     body = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(80))
     jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP-mB92K27uhbUJU1p=="

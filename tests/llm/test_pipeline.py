@@ -85,6 +85,24 @@ def test_stages_take_odd_and_empty_tables(spark):
     assert {k for r in pseudonyms.pseudonymised(docs, "k").collect() for k in r.found} == {"email"}
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["score", "row", "kept_row", "__row", "leaked_id", "found", "matches", "__words", "__stat_chars", "__score"]
+    columns = ", ".join(f"{n} string" for n in names)
+    rows = [(i, "A plain text of the day, with some words in it.", *(f"{n}{i}" for n in names)) for i in range(3)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {columns}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns, name
+        assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names), name
+
+
+def test_a_real_run_needs_its_key(spark, monkeypatch):
+    monkeypatch.delenv(corpus_pipeline.KEY_VARIABLE, raising=False)
+    docs = table(spark, DATA, "documents")
+    with pytest.raises(RuntimeError, match=corpus_pipeline.KEY_VARIABLE):
+        dict(corpus_pipeline.REAL_STAGES)["private_data"](spark, docs, DATA)
+
+
 def test_different_texts_of_one_id_are_different_documents(spark):
     a, b, c = ("".join(f"{w}{i} " for i in range(30)) for w in ("apple", "boat", "cloud"))
     rows = [(7, a), (7, b), (7, b), (2, b), (9, c), (9, c + "more"), (7, ""), (7, ""), (7, None), (None, a)]

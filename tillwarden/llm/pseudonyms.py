@@ -27,9 +27,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tillwarden.llm.shared import unused
+
 # Fixed patterns of the formats.
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-SECRET_LABEL = r"(?i:\b(?:api[_-]?key|secret|token|password|passwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
+# the label may be the end of a longer name: access_token, aws_secret_key
+SECRET_LABEL = (
+    r"(?i:(?<![A-Za-z0-9])(?:api[ _-]?key|secret|token|password|passwd)(?:[_-](?:access[_-])?(?:key|token|id))?\b"
+    r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
+)
 # of any length; a full stop after it is not part of it
 SECRET_VALUE = r"[A-Za-z0-9+/_-][A-Za-z0-9+/_.=~%-]{14,}[A-Za-z0-9+/_=~%-]"
 PATTERNS = {
@@ -263,8 +269,9 @@ def pseudonymised(docs: DataFrame, key: str, found: str = "found") -> DataFrame:
     matches = F.when(text.rlike("[0-9@=:]") & text.rlike(ANY), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)),
                                                   lambda m: _replaced(m, key)))
     columns = docs.columns
-    with_matches = docs.withColumn("__matches", matches)
-    hits = F.col("__matches")
+    matches_name = unused(docs, "matches")
+    with_matches = docs.withColumn(matches_name, matches)
+    hits = F.col(matches_name)
     between = F.split(text, ANY, -1)
     pieces = F.zip_with(between, hits, lambda gap, hit: F.concat(gap, F.coalesce(hit["value"], F.lit(""))))
     rewritten = F.when(hits.isNull(), text).otherwise(F.array_join(pieces, ""))

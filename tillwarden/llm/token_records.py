@@ -135,7 +135,8 @@ class WordEncoder:
         gap = f" {self.SEPARATOR} "
         groups = [rest[i : i + 500] for i in range(0, len(rest), 500)]
         for group in groups:
-            ids = np.asarray(self.tokenizer.encode(gap.join(group), add_special_tokens=False).ids, dtype=f"<u{self.width}")
+            (encoded,) = self.tokenizer.encode_batch_fast([gap.join(group)], add_special_tokens=False)
+            ids = np.asarray(encoded.ids, dtype=f"<u{self.width}")
             ends = np.flatnonzero(ids == self.mark)
             starts = np.concatenate(([0], ends + 1)) * self.width  # every part but the first follows a mark
             packed = ids.tobytes()
