@@ -28,6 +28,7 @@ import os
 import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,9 +97,19 @@ class WordEncoder:
         self.store: WordStore[bytes] = WordStore(self.KNOWN)
         one = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.mark = one[0] if len(one) == 1 else None
+        # whether ASCII letters are only lower-cased before they reach the model
+        self.direct = all(self._direct(w) == self._one(w) for w in ("a", "Word", "THE", "dont", "ILL", "xyzzyQ"))
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends_word[[i for entry, i in vocabulary.items() if entry.endswith(suffix)]] = True
 
-    def _packed(self, ids) -> bytes:
-        return np.asarray(ids, dtype=f"<u{self.width}").tobytes()
+    def _packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.width == 2 else "I", ids).tobytes()
+
+    def _direct(self, word: str) -> bytes:
+        return self._packed([token.id for token in self.tokenizer.model.tokenize(word.lower())])
 
     def _one(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -128,25 +139,48 @@ class WordEncoder:
         return found
 
     def _learn_whole(self, words: list[str], found: dict[str, bytes]) -> None:
-        apart = [w for w in words if self.mark is None or self.SEPARATOR in w]
+        """Words in three kinds, each the cheapest way through the library.
+
+        ASCII letters go to the model at once, as normalising only lower-cases them and nothing cuts them.  Words that are
+        letters when normalised are one word each to the pre-tokenizer, so the last token of each is one that ends
+        a word; they are encoded many in a row.  All others are parted by a separator.
+        """
+        letters, others = [], []
+        for word in words:
+            if self.direct and word.isascii() and word.isalpha():
+                found[word] = self._direct(word)
+            elif word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha():
+                letters.append(word)
+            else:
+                others.append(word)
+        for group in (letters[i : i + 500] for i in range(0, len(letters), 500)):
+            (encoded,) = self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)
+            ids = np.asarray(encoded.ids, dtype=f"<u{self.width}")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(group):
+                self._cut(group, ids, np.concatenate(([0], ends[:-1])), ends, found)
+            else:  # letters that the library does not know as such
+                others += group
+        apart = [w for w in others if self.mark is None or self.SEPARATOR in w]
         for w in apart:
             found[w] = self._one(w)
-        rest = [w for w in words if w not in found]
+        rest = [w for w in others if w not in found]
         gap = f" {self.SEPARATOR} "
-        groups = [rest[i : i + 500] for i in range(0, len(rest), 500)]
-        for group in groups:
+        for group in (rest[i : i + 500] for i in range(0, len(rest), 500)):
             (encoded,) = self.tokenizer.encode_batch_fast([gap.join(group)], add_special_tokens=False)
             ids = np.asarray(encoded.ids, dtype=f"<u{self.width}")
             ends = np.flatnonzero(ids == self.mark)
-            starts = np.concatenate(([0], ends + 1)) * self.width  # every part but the first follows a mark
-            packed = ids.tobytes()
-            for word, start, end in zip(group, starts.tolist(), [*(ends * self.width).tolist(), len(packed)], strict=True):
-                found[word] = packed[start:end]
+            self._cut(group, ids, np.concatenate(([0], ends + 1)), np.concatenate((ends, [len(ids)])), found)
+
+    def _cut(self, group: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, found: dict[str, bytes]) -> None:
+        packed = ids.tobytes()
+        for word, start, end in zip(group, (starts * self.width).tolist(), (ends * self.width).tolist(), strict=True):
+            found[word] = packed[start:end]
 
     def encode(self, batch: list[str]) -> Iterator[bytes]:
         """Packed ids of each text."""
         cut = [text.replace("\n", " ").split(" ") for text in batch]
-        words = {w for text in cut for w in text}
+        words = set().union(*cut)
         long = {w for w in words if len(w) > self.LONG}
         known = self.store.ready(words - long, self._learn)
         for text in cut:
