@@ -9,7 +9,7 @@ from tillwarden.plans.catalog import query
 from tillwarden.plans.catalog.files import _landed_json
 from tillwarden.session import work_dir
 from tillwarden.sources import canonical, rtlog as R
-from tillwarden.streaming import conform as SC, gaps, revisions, sinks, windows
+from tillwarden.streaming import conform as SC, gaps, late, revisions, sinks, windows
 
 
 def _head_stream(spark, sf):
@@ -131,19 +131,50 @@ def stream_head_rev(spark, sf):
     return revisions.read_revisions(spark, path).select("user_id", "event_id", "status", "rev_no")
 
 
+# ten deliveries: day d of the month comes with delivery 3 d mod 10, so old days follow new ones
+_DELIVERIES = 10
+_LATE_SQL = """
+    SELECT *, delivery > 0 AND date_trunc('hour', event_ts) + INTERVAL 1 HOUR <= clock - INTERVAL 48 HOUR AS is_late
+    FROM (SELECT h.*, c.clock FROM (SELECT *, ts - INTERVAL 330 MINUTE AS event_ts, day(ts) * 3 % 10 AS delivery FROM ev_head) h
+      LEFT JOIN (SELECT d, max(m) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock
+        FROM (SELECT day(ts) * 3 % 10 AS d, max(ts - INTERVAL 330 MINUTE) AS m FROM ev_head GROUP BY 1)) c ON c.d = h.delivery)"""
+
+
+def _late_tables(spark, sf):
+    """The deliveries one after the other through a stream, which is started again for each."""
+    source, path, cp = work_dir(spark, "deliveries"), work_dir(spark, "late"), work_dir(spark, "cp")
+    log = T.till_log(spark, sf)
+    delivery = F.day("tran_head.business_date") * 3 % _DELIVERIES
+    events = log.select("tran_head.*", delivery.alias("delivery"))
+    for n in range(_DELIVERIES):
+        events.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(source)
+        heads = spark.readStream.schema(events.drop("delivery").schema).parquet(source)
+        sinks.run_available(late.stream_hourly_late(windows.event_time(heads), path), cp)
+    return path, log
+
+
 @query(
     "late_rows",
     ["ev_head"],
-    """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_dropped FROM ev_head""",
+    f"""SELECT store, business_date, count(*) AS n_late FROM ({_LATE_SQL}) WHERE is_late GROUP BY 1, 2""",
 )
 def late_rows(spark, sf):
-    """Rows that arrive late against those the watermark dropped (none at 48 hours' delay)."""
-    path, cp = work_dir(spark, "late"), work_dir(spark, "cp")
-    agg = windows.hourly_sales(windows.event_time(_head_stream(spark, sf)), "event_ts", "48 hours")
-    q = sinks.run_available(windows.write_hourly(agg, path), cp)
-    dropped = windows.dropped_late_rows(q)
-    kept = windows.latest_hourly(spark, path).agg(F.sum("n_trans").alias("n_rows"))
-    return kept.withColumn("n_dropped", F.lit(dropped).cast("long"))
+    """Rows of ten deliveries out of order that came after their hour was closed, per store-day."""
+    path, _ = _late_tables(spark, sf)
+    return late.late_rows(spark, path).groupBy("store", "business_date").agg(F.count(F.lit(1)).alias("n_late"))
+
+
+@query(
+    "late_reaudit",
+    ["ev_head"],
+    f"""SELECT store, business_date, rtlog_orig_sys, epoch(date_trunc('hour', event_ts))::BIGINT AS hour_start, count(*) AS n_trans,
+          CAST(sum(CASE WHEN tran_type = 'SALE' THEN value END) AS DECIMAL(38,4)) AS sales FROM ({_LATE_SQL}) GROUP BY 1, 2, 3, 4""",
+)
+def late_reaudit(spark, sf):
+    """Hours after the store-days of late rows were audited again: those of a batch over everything."""
+    path, log = _late_tables(spark, sf)
+    late.reaudit(spark, path, log)
+    return late.current_hourly(spark, path).withColumn("hour_start", F.unix_seconds("hour_start"))
 
 
 @query(

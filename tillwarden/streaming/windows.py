@@ -19,8 +19,7 @@ def hourly_sales(stream: DataFrame, time_col: str, delay: str = "48 hours") -> D
     """Sales per hour, store and channel.
 
     Files arrive by store and hour, not by time, so the delay must cover
-    the spread of a delivery; later rows are dropped by the watermark and must
-    be re-audited in batch.
+    the spread of a delivery; later rows are dropped by the watermark.  ``streaming.late`` keeps them.
     """
     sale = F.col("tran_type") == "SALE"
     return (
@@ -56,12 +55,3 @@ def latest_hourly(spark, path: str) -> DataFrame:
 def event_time(heads: DataFrame) -> DataFrame:
     """Headers with ``event_ts``, the instant of the transaction."""
     return heads.withColumn("event_ts", K.tran_instant("tran_datetime"))
-
-
-def dropped_late_rows(query) -> int:
-    """Rows the watermark dropped so far, from the progress of a query."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p["stateOperators"]:
-            total += op["numRowsDroppedByWatermark"]
-    return total
