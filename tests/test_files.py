@@ -235,6 +235,57 @@ def test_nightly_run_takes_plain_deliveries_and_repeats(spark, tmp_path):
     assert spark.read.parquet(f"{base}/bronze").groupBy("ingest_date").count().count() == 2
 
 
+def test_nightly_run_keeps_rejects_and_closes_gaps(spark, tmp_path):
+    base = str(tmp_path / "base")
+    stores = spark.createDataFrame([(1, "A", 2, "India", "INR", "84.5")], "store_no long, store_name string, tills int, country string, local_currency string, exchange_rate_to_usd string")
+
+    def deliver(n, *recs):
+        nightly.run(spark, land(list(recs), tmp_path / f"day{n}"), base, stores, ingest_date=f"2024-03-{15 + n}")
+
+    def table(name):
+        return canonical.read_canonical(spark, base, name)
+
+    def gaps():
+        return sorted(r.tran_no for r in table("sa_missing_tran").filter("store = 1").collect())
+
+    other = record(1, store=2, tran_datetime="2024-03-15T13:00:00+05:30")
+    no_tender = record(4, tran_datetime="2024-03-15T14:00:00+05:30")
+    no_tender["tran_tender"] = []
+    deliver(1, record(1), record(3), no_tender, record(9, error_ind="X"), record(3, store=2))
+    assert gaps() == [2] and [r.error_code for r in table("sa_error").filter("store = 1").collect()] == ["MISSING_TENDER"]
+    deliver(2, record(2), other)  # the gap of store 1 is closed, store 2 still lacks number 2
+    assert gaps() == []
+    assert [r.tran_no for r in table("sa_missing_tran").filter("store = 2").collect()] == [2]
+    deliver(3, record(8, store=3, error_ind="X", tran_datetime="2024-03-15T15:00:00+05:30"))
+    rejected = spark.read.parquet(f"{base}/_quarantine")
+    assert sorted((str(r.ingest_date), r.tran_head.tran_no) for r in rejected.collect()) == [("2024-03-16", 9), ("2024-03-18", 8)]
+    assert sorted((r.store, r.tran_no) for r in table("sa_tran_head").collect()) == [(1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (2, 3)]
+    deliver(3, record(8, store=3, error_ind="X", tran_datetime="2024-03-15T15:00:00+05:30"))  # the same run again
+    assert spark.read.parquet(f"{base}/_quarantine").count() == 2
+
+
+def test_post_voids_find_originals_of_earlier_days(spark):
+    def void(day, number, of, **kw):
+        return record(
+            number, tran_type="PVOID", business_date=f"2024-03-{day}", tran_datetime=f"2024-03-{day}T12:00:00+05:30",
+            orig_reg_no="TILL01", orig_tran_no=of, orig_tran_type="SALE", **kw,
+        )
+
+    def sale(day, number):
+        return record(number, business_date=f"2024-03-{day}", tran_datetime=f"2024-03-{day}T11:00:00+05:30")
+
+    recs = [sale("10", 1), sale("12", 1), sale("12", 2), sale("12", 2), sale("16", 1)]
+    recs += [void("12", 50, 1), void("14", 51, 1), void("14", 52, 1), void("09", 53, 1), void("13", 54, 2), void("13", 55, 7)]
+    recs += [void("11", 56, 1, store=2), void("15", 57, None)]
+    recs += [sale(f"{d:02d}", 99) for d in range(1, 29)] + [void("15", 60 + n, 99) for n in range(40)]
+    out = joins.link_post_void(frame(spark, recs).select("tran_head.*").repartition(5)).collect()
+    got = {r.tran_no: (str(r.original_date), r.n_originals, (r.original_id or "")[-17:]) for r in out}
+    assert got[50] == got[51] == got[52] == ("2024-03-12", 1, "2024-03-12-000001")
+    assert got[54] == ("2024-03-12", 2, "2024-03-12-000002")
+    assert got[53] == got[55] == got[56] == got[57] == ("None", 0, "")
+    assert {got[60 + n] for n in range(40)} == {("2024-03-15", 1, "2024-03-15-000099")} and len(out) == 48
+
+
 def test_equal_rows_of_a_file_all_land(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("k,v\n1,x\n1,x\n2,y\n")

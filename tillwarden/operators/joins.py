@@ -139,30 +139,41 @@ def attach_store_day(head: DataFrame, store_day: DataFrame) -> DataFrame:
 
 
 def link_post_void(head: DataFrame) -> DataFrame:
-    """Post-voids with the transaction they cancel on the same business date.
+    """Post-voids with the transaction they cancel: the latest of its number up to the void's business date.
 
-    ``n_originals`` is 0 when it is absent.  Numbers may be re-used by mistake,
-    so candidates are reduced to one row per number before the join; the
-    lowest id is shown.
+    Registers start their numbers again every day, so a number is a different transaction each day.
+    ``original_date`` is the day of the match, ``n_originals`` how many transactions have that number there (0: there is
+    none at all; more than 1: the number was used again by mistake, and the lowest id is shown).
+
+    Originals are counted per number and day with partial sums, and voids ask once per number and day, so the
+    window over a number has two rows a day at most, however often a number was used.  The join back to the
+    voids is on an equal key, which adaptive execution splits where it is skewed.
     """
+    key = ["_s", "_r", "_n", "_t"]
     voids = head.filter(F.col("tran_type") == "PVOID")
-    names = {
-        "store": "_s", "business_date": "_d", "register": "_r", "tran_no": "_n", "tran_type": "_t",
-    }
-    orig = head.groupBy(*[F.col(c).alias(a) for c, a in names.items()]).agg(
+    own = {"store": "_s", "register": "_r", "tran_no": "_n", "tran_type": "_t", "business_date": "_d"}
+    originals = head.groupBy(*[F.col(c).alias(a) for c, a in own.items()]).agg(
         F.count(F.lit(1)).alias("n_originals"), F.min("tran_seq_no").alias("original_id")
     )
-    on = (
-        (F.col("store") == F.col("_s"))
-        & (F.col("business_date") == F.col("_d"))
-        & (F.col("orig_reg_no") == F.col("_r"))
-        & (F.col("orig_tran_no") == F.col("_n"))
-        & (F.col("orig_tran_type") == F.col("_t"))
+    named = {"store": "_s", "orig_reg_no": "_r", "orig_tran_no": "_n", "orig_tran_type": "_t", "business_date": "_d"}
+    asked = voids.select(*[F.col(c).alias(a) for c, a in named.items()]).dropna().distinct()
+    found = F.struct(F.col("_d").alias("original_date"), "n_originals", "original_id").alias("_o")
+    rows = originals.select(*key, "_d", F.lit(0).alias("_asks"), found).unionByName(
+        asked.select(*key, "_d", F.lit(1).alias("_asks")), allowMissingColumns=True
     )
+    up_to_here = Window.partitionBy(*key).orderBy("_d", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    linked = rows.withColumn("_o", F.last("_o", ignorenulls=True).over(up_to_here)).filter("_asks = 1").drop("_asks")
+    on = reduce(lambda a, b: a & b, [F.col(c) == F.col(a) for c, a in named.items()])
     return (
-        voids.join(orig, on, "left")
-        .withColumn("n_originals", F.coalesce("n_originals", F.lit(0)))
-        .drop(*names.values())
+        voids.join(linked, on, "left")
+        .withColumns(
+            {
+                "original_date": F.col("_o.original_date"),
+                "n_originals": F.coalesce("_o.n_originals", F.lit(0)),
+                "original_id": F.col("_o.original_id"),
+            }
+        )
+        .drop(*named.values(), "_o")
     )
 
 

@@ -166,15 +166,16 @@ def attach_store_day(spark, sf):
 @query(
     "link_post_void",
     ["ev_head"],
-    """SELECT v.store, v.business_date, v.register, v.tran_no, v.tran_seq_no, count(o.tran_no) AS n_originals,
-         min(o.tran_seq_no) AS original_id
-       FROM ev_head v LEFT JOIN ev_head o ON o.store = v.store AND o.business_date = v.business_date
-         AND o.register = v.orig_reg_no AND o.tran_no = v.orig_tran_no AND o.tran_type = v.orig_tran_type
-       WHERE v.tran_type = 'PVOID' GROUP BY v.event_id, 1, 2, 3, 4, 5""",
+    """SELECT v.store, v.business_date, v.register, v.tran_no, v.tran_seq_no, coalesce(o.n, 0) AS n_originals,
+         o.id AS original_id, o.business_date AS original_date
+       FROM (SELECT * FROM ev_head WHERE tran_type = 'PVOID') v ASOF LEFT JOIN
+         (SELECT store, register, tran_no, tran_type, business_date, count(*) AS n, min(tran_seq_no) AS id FROM ev_head GROUP BY 1, 2, 3, 4, 5) o
+         ON o.store = v.store AND o.register = v.orig_reg_no AND o.tran_no = v.orig_tran_no
+         AND o.tran_type = v.orig_tran_type AND v.business_date >= o.business_date""",
 )
 def link_post_void(spark, sf):
     return joins.link_post_void(T.till_log(spark, sf).select("tran_head.*")).select(
-        "store", "business_date", "register", "tran_no", "tran_seq_no", "n_originals", "original_id"
+        "store", "business_date", "register", "tran_no", "tran_seq_no", "n_originals", "original_id", "original_date"
     )
 
 

@@ -179,7 +179,7 @@ def late_reaudit(spark, sf):
 
 @query(
     "nightly_run",
-    ["ev_head", "ev_row_hits"],
+    ["ev_head", "ev_row_hits", "ev_set_hits", "stores"],
     """SELECT store, business_date, CAST(sum(t) AS BIGINT) AS n_trans, CAST(sum(e) AS BIGINT) AS n_errors FROM (
          -- re-filed records: every id differs from its header, so each has one SEQ_FORMAT
          SELECT store, business_date, 1 AS t,
@@ -188,8 +188,11 @@ def late_reaudit(spark, sf):
          FROM (SELECT * REPLACE (store % 5 + 1 AS store, CAST(date_trunc('month', business_date) AS DATE) AS business_date)
                FROM ev_head WHERE error_ind IN ('Y', 'N'))
          UNION ALL
-         SELECT store % 5 + 1, CAST(date_trunc('month', business_date) AS DATE), 0, 1 FROM ev_row_hits
-         WHERE error_code <> 'SEQ_FORMAT' AND event_id IN (SELECT event_id FROM ev_head WHERE error_ind IN ('Y', 'N')))
+         SELECT store % 5 + 1, CAST(date_trunc('month', business_date) AS DATE), 0, 1
+         FROM (SELECT * FROM ev_row_hits UNION ALL SELECT * FROM ev_set_hits WHERE error_code <> 'REF_INTEGRITY')
+         WHERE error_code <> 'SEQ_FORMAT' AND event_id IN (SELECT event_id FROM ev_head WHERE error_ind IN ('Y', 'N'))
+           -- amounts are compared in the currency of the store
+           AND (error_code <> 'CURR_AMT_MISMATCH' OR store % 5 + 1 IN (SELECT store_no FROM stores WHERE local_currency = 'INR')))
        GROUP BY 1, 2""",
 )
 def nightly_run(spark, sf):

@@ -2,12 +2,13 @@
 
     landing files -> bronze (keyed Parquet, appended) -> store-days with new records
                   -> quarantine / canonical tables
-                  -> row rules + repeated numbers -> sa_error
+                  -> row rules, repeated numbers, taxes, discounts, references -> sa_error
                   -> workflow state, gaps, store-days, totals
 
 JSON is parsed and keyed once, into bronze, where a record lands once however often its file
 comes; all later steps read columns.  A run rebuilds the store-days that its ingestion date brought
-records for, from all their records, and replaces those store-days in the canonical tables.
+records for, from all their records, and replaces those store-days in the canonical tables, also where a table
+gets no rows for one any more (its last gap was closed).  Rejected records are kept by ingestion date.
 Every step writes a table, so a lost executor costs the running step only.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from tillwarden import reference as ref
 from tillwarden.functions import keys as K
 from tillwarden.operators import audit, conform, rules, sequence, totals
-from tillwarden.schemas import RECORD_KEYS
+from tillwarden.schemas import CHILDREN, RECORD_KEYS
 from tillwarden.sources import canonical, landing, rtlog as R
 
 
@@ -47,17 +48,21 @@ def run(
     same_day = F.col("tran_head.store").eqNullSafe(F.col("_store")) & F.col("tran_head.business_date").eqNullSafe(
         F.col("_date")
     )
-    # unreadable records have neither; they are quarantined with the run that brought them
     landed = kept.join(touched, same_day, "left_semi").drop("ingest_date")
 
-    bad = landed.filter("rejection_reason is not null")
+    # records that this ingestion date brought and that no table takes
+    bad = kept.filter((F.col("ingest_date") == F.lit(ingest_date).cast("date")) & F.col("rejection_reason").isNotNull())
+    canonical.write_quarantine(bad, f"{base}/_quarantine")
     good = landed.filter("rejection_reason is null").drop("rejection_reason", "_corrupt")
     flat_heads = conform.heads(good)
     tables = conform.fan_out(good)
 
     # everything that needs bronze only
-    facts = rules.nested_facts(good.select(*RECORD_KEYS, "record_key", *R.PARTITION))
+    records = good.select(*RECORD_KEYS, "record_key", *R.PARTITION)
+    facts = rules.nested_facts(records, stores)
     hits = rules.run_rules(facts, rule_list).unionByName(audit.duplicate_hits(flat_heads))
+    typed = {child: audit.typed_children(records, child) for child in CHILDREN}
+    hits = hits.unionByName(audit.audit_sets(flat_heads, typed, ref.products(spark), ref.promotions(spark)))
     children = {name: df for name, df in tables.items() if name != "sa_tran_head"}
     first = children | {
         "sa_error": audit.build_sa_error(hits, updated),
@@ -65,9 +70,9 @@ def run(
         "sa_store_day": totals.build_store_day(good.select("source_file", "tran_head.*"), stores),
         "sa_error_codes": ref.error_codes(spark),
         "sa_total_head": ref.total_heads(spark),
-        "_quarantine": bad,
     }
-    canonical.write_canonical(first, base)
+    touched_days = touched.select(F.col("_store").alias("store"), F.col("_date").alias("business_date"))
+    canonical.write_canonical(first, base, touched=touched_days)
 
     def back(name: str) -> DataFrame:
         # with its schema: a delivery without discounts or additive taxes writes no rows
@@ -93,5 +98,5 @@ def run(
         ],
     )
     canonical.write_canonical(
-        {"sa_tran_head": head.drop("n_errors", "n_blocking"), "totals": sums}, base
+        {"sa_tran_head": head.drop("n_errors", "n_blocking"), "totals": sums}, base, touched=touched_days
     )
