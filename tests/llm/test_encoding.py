@@ -121,11 +121,57 @@ def test_dropout_varies_is_repeatable_and_decodes(model):
     assert found[0][: len(SENTENCES)] != found[0][len(SENTENCES) : 2 * len(SENTENCES)]  # other documents
 
 
-def test_all_at_once_equals_one_by_one(model):
-    enc = M.DropoutEncoder(model, 0.25, 5)
-    units = [" the", " internationalisation", "a", " ", "\n", " café", " 中鿿中", " \U00010348x", " aaaaaaaaaaa"]
-    for stream in range(M.STREAMS):
-        assert enc._many(units, stream) == [enc.one(u, stream) for u in units]
+UNITS = [" the", " internationalisation", "a", " ", "\n", " café", " 中鿿中", " \U00010348x", " aaaaaaaaaaa", " characters"]
+
+
+def by_scanning(enc, unit, place):
+    """The definition: look through all pairs for the best candidate, draw for it, until none is left."""
+    v = enc.vocabulary
+    symbols = [(i, i + 1, v.piece.get(c, -1)) for i, c in enumerate(unit)]  # from, to, piece
+    skipped, t = set(), 0
+    while True:
+        found = []
+        for n, (a, b) in enumerate(itertools.pairwise(symbols)):
+            pair = v.pairs.get((a[2], b[2]))
+            if pair and (a, b) not in skipped:
+                found.append((pair[0], n, pair[1]))
+        if not found:
+            break
+        _, n, piece = min(found)
+        a, b = symbols[n], symbols[n + 1]
+        if enc.skips(place, t):
+            skipped.add((a, b))
+        else:
+            symbols[n : n + 2] = [(a[0], b[1], piece)]
+        t += 1
+    ids = []
+    for first, _, piece in symbols:
+        ids += [piece] if piece >= 0 else [v.byte_id[x] for x in unit[first].encode()]
+    return ids
+
+
+@pytest.mark.parametrize("dropout", [0.05, 0.25, 0.6])
+def test_every_occurrence_makes_its_own_draws(model, monkeypatch, dropout):
+    monkeypatch.setattr(M, "KNOWN", 40)  # the store overflows in every batch
+    enc = M.DropoutEncoder(model, dropout, 5)
+    for doc_id in range(60):
+        text = "".join(UNITS * 4)[1:]
+        units = M.UNIT.findall(" " + text)
+        want = [by_scanning(enc, u, int(k)) for u, k in zip(units, enc._places(doc_id, len(units)))]
+        (got,) = enc.encode([(doc_id, text)])
+        assert unpack(got) == sum(want, [])
+        assert [unpack(enc.one(u, int(k))) for u, k in zip(units, enc._places(doc_id, len(units)))] == want
+
+
+def test_a_word_met_often_is_cut_in_many_ways(model):
+    enc = M.DropoutEncoder(model, 0.1, 1)
+    ways = {p for p in enc.encode([(i, "international") for i in range(1000)])}
+    assert len(ways) > 20
+    plain = next(M.DropoutEncoder(model, 0.0, 1).encode([(0, "international")]))
+    share = sum(p == plain for p in enc.encode([(i, "international") for i in range(4000)])) / 4000
+    assert share > 0.9 ** len("international")  # no merge skipped; some skips lead to the same pieces
+    draws = np.array([enc._draws(enc._places(i, 50)) for i in range(200)], dtype="<u4").view("u1")
+    assert abs(np.unpackbits(draws).sum() / (200 * 50 * M.BITS) - 0.1) < 0.005
 
 
 def test_full_dropout_leaves_characters(model):

@@ -2,21 +2,22 @@
 
 A unit is a word with the blanks before it (no piece holds a blank after a letter, so merges
 never cross units), or a line end.  Its symbols start as characters; all pairs that form a piece are the
-agenda, taken by rank, leftmost first.  A candidate is skipped, for good, if a keyed hash of the unit, its
-stream, the candidate's place and its piece falls below ``dropout``; pairs with a
-new neighbour are new candidates.  Since the hash does not depend on the time of the decision, many units
-are worked on at once: each step merges the best live pair of every unit.
+agenda, taken by rank, leftmost first.  Every occurrence of a unit makes its own draws: the t-th candidate taken
+from the agenda is skipped, for good, if the t-th 16 bits of a keyed hash of seed, document and place fall
+below ``dropout`` (rounded to 1/65,536); pairs with a new neighbour are new candidates.
 
-A stream is one of STREAMS independent segmentations of a unit, drawn per occurrence by a keyed
-hash of seed, document and place.  So the same word is cut differently within a document and across
-documents and seeds, while a task works out each word at most STREAMS times.
+So a segmentation depends on the unit and on which of its candidates were skipped, and on nothing else.  A task
+keeps segmentations by unit and skipped candidates in a store of bounded size, as a tree: the entry of
+a path of skips says how many candidates it takes, and the first further skip among these leads on to the next
+entry.  Occurrences share a result only if they skip the same candidates.  New ones are worked out many at once:
+each step takes the best live pair of every unit.
 
 Characters without a piece become byte pieces, and so does a literal U+2581, which otherwise stands
 for a blank: decoding gives back every text exactly.  With dropout 0 ids equal the library's.
 
-Cases: a null text is encoded as an empty one; an empty text has no ids; a null doc_id draws its streams
-as doc_id 0; repeated rows are encoded alike; a unit of any length is encoded (long ones one by
-one with a heap); an empty table gives no rows; further columns are ignored.
+Cases: a null text is encoded as an empty one; an empty text has no ids; a null doc_id draws
+as doc_id 0; repeated rows are encoded alike; a unit of any length is encoded (long ones, and those that take more
+than BITS candidates, one by one with a heap); an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,15 +31,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillwarden.llm.shared import texts
+from tillwarden.llm.shared import slices, texts
 from tillwarden.llm.wordhash import mix
 
 U = np.uint64
 MASK = (1 << 64) - 1
 STEP = 0x9E3779B97F4A7C15
-STREAMS = 4
 LONG = 24  # longer units are worked out one by one
-KNOWN = 800_000
+BITS = 24  # candidates whose draws are made at once
+TAKEN = [(1 << t) - 1 for t in range(BITS + 1)]  # the first t candidates
+SLICE = 1 << 20  # bytes of text encoded at once
+KNOWN = 200_000  # entries in a generation of the store
+APART = b""  # stands for a result that every occurrence works out for itself
 BLANK = "▁"
 UNIT = re.compile(r" *[^ \n]+|\n| +")
 NO_RANK = np.int32(2**31 - 1)
@@ -54,11 +58,6 @@ def mix_one(x: int) -> int:
     return x ^ (x >> 31)
 
 
-def _factors(n: int) -> np.ndarray:
-    """Odd factors of the characters of a unit."""
-    return mix(np.arange(1, n + 1, dtype=np.uint64)) | U(1)
-
-
 class Vocabulary:
     """Pieces, ranks and pair merges of a BPE model with byte fallback."""
 
@@ -136,14 +135,29 @@ class Vocabulary:
 class DropoutEncoder:
     def __init__(self, model: bytes, dropout: float, seed: int):
         self.vocabulary = Vocabulary(model)
-        self.limit = int(dropout * (1 << 64)) if dropout < 1 else MASK
+        self.limit = min(max(round(dropout * (1 << 16)), 0), 1 << 16)
         self.seed = mix_one(seed & MASK)
-        self.streams = STREAMS if dropout > 0 else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.streams)]
-
-    def _key(self, unit: str, stream: int) -> int:
-        total = sum((ord(c) + 1) * f for c, f in zip(unit, _factors(len(unit)).tolist(), strict=True))
-        return mix_one((mix_one(total & MASK) + self.seed + stream * STEP) & MASK)
+        # unit, or (skipped candidates, unit) -> (candidates taken, ids or None if not known)
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def _places(self, doc_id: int, n: int) -> np.ndarray:
+        """A key for each of a document's units."""
+        start = U((mix_one(doc_id & MASK) + self.seed) & MASK)
+        return mix(start + np.arange(n, dtype=np.uint64) * U(STEP))
+
+    def _draws(self, places: np.ndarray) -> list[int]:
+        """Which of the first BITS candidates each unit skips, as bits."""
+        if not self.limit:
+            return [0] * len(places)
+        blocks = np.arange(1, BITS // 4 + 1, dtype=np.uint64) * U(STEP)
+        fields = mix(places[:, None] + blocks[None, :]).view("<u2")
+        packed = np.packbits(fields.astype(np.uint32) < self.limit, axis=1, bitorder="little").astype(np.uint32)
+        return (packed[:, 0] | packed[:, 1] << 8 | packed[:, 2] << 16).tolist()
+
+    def skips(self, place: int, t: int) -> bool:
+        """Whether the t-th candidate of the unit with this key is skipped."""
+        return mix_one((place + (t // 4 + 1) * STEP) & MASK) >> (t % 4 * 16) & 0xFFFF < self.limit
 
     def _symbols(self, unit: str) -> list[int]:
         """Piece ids of the characters; -1 for one without a piece."""
@@ -160,21 +174,19 @@ class DropoutEncoder:
                 out.extend(self.vocabulary.byte_id[b] for b in unit[at].encode("utf-8", "surrogatepass"))
         return np.array(out, dtype=self.vocabulary.dtype).tobytes()
 
-    def one(self, unit: str, stream: int) -> bytes:
-        """A single unit by a heap: the definition, and the way for long units."""
-        key, pairs = self._key(unit, stream), self.vocabulary.pairs
+    def one(self, unit: str, place: int) -> bytes:
+        """A single unit by a heap: the way for long units."""
+        pairs = self.vocabulary.pairs
         symbol: list[int | None] = list(self._symbols(unit))
         n = len(symbol)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         agenda: list[tuple[int, int, int, int, int]] = []
+        taken = 0
 
         def offer(i: int, j: int) -> None:
             found = pairs.get((symbol[i], symbol[j]))
             if found:
-                # place and piece name the candidate
-                h = mix_one(key ^ (i << 32 | found[1]))
-                if h >= self.limit:
-                    heapq.heappush(agenda, (found[0], i, j, symbol[i], symbol[j]))
+                heapq.heappush(agenda, (found[0], i, j, symbol[i], symbol[j]))
 
         for i in range(n - 1):
             offer(i, i + 1)
@@ -182,6 +194,9 @@ class DropoutEncoder:
             _, i, j, left, right = heapq.heappop(agenda)
             if symbol[i] != left or symbol[j] != right or after[i] != j:
                 continue
+            taken += 1
+            if self.limit and self.skips(place, taken - 1):
+                continue
             symbol[i], symbol[j] = pairs[left, right][1], None
             after[i] = after[j]
             if after[j] >= 0:
@@ -191,8 +206,11 @@ class DropoutEncoder:
                 offer(before[i], i)
         return self._spelled(unit, [(i, s) for i, s in enumerate(symbol) if s is not None])
 
-    def _many(self, units: list[str], stream: int) -> list[bytes]:
-        """Units of at most LONG characters, all at once."""
+    def _many(self, units: list[str], skipped: list[int]) -> list[tuple[int, bytes]]:
+        """Candidates taken and ids of units of at most LONG characters, all at once.
+
+        Ids are APART where more than BITS candidates are taken.
+        """
         none = self.vocabulary.n - 1
         width = max(map(len, units))
         lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
@@ -204,16 +222,13 @@ class DropoutEncoder:
         symbol[unknown] = none  # forms no pair
         # two numbers per place: symbol and its first character, rank and piece of the pair with the next
         cells = symbol << 8 | np.arange(width)[None, :]
-        sums = np.where(inside, (codes + 1).astype(np.uint64) * _factors(width)[None, :], U(0)).sum(axis=1, dtype=np.uint64)
-        key = mix(mix(sums) + U((self.seed + stream * STEP) & MASK))
+        skips = np.array(skipped, dtype=np.int64)
+        taken = np.zeros(len(units), dtype=np.int64)
         pairs = np.full((len(units), width), NO_PAIR, dtype=np.int64)
 
         def offer(rows: np.ndarray, cols: np.ndarray) -> None:
             left, right = cells[rows, cols], cells[rows, cols + 1]
             r, p = self.vocabulary.merges(left >> 8, right >> 8)
-            if self.limit:
-                h = mix(key[rows] ^ ((left & 255).astype(np.uint64) << U(32) | p.astype(np.uint64)))
-                r = np.where(h >= U(self.limit), r, NO_RANK)
             pairs[rows, cols] = np.where(r < NO_RANK, r.astype(np.int64) << 32 | p, NO_PAIR)
 
         if width > 1:
@@ -222,6 +237,10 @@ class DropoutEncoder:
         columns = np.arange(width)[None, :]
         while len(live):
             at = pairs[live].argmin(axis=1)
+            skip = (skips[live] >> np.minimum(taken[live], BITS)) & 1 == 1
+            taken[live] += 1
+            pairs[live[skip], at[skip]] = NO_PAIR
+            every, live, at = live, live[~skip], at[~skip]
             merged = pairs[live, at] & 0xFFFFFFFF
             cells[live, at] = merged << 8 | (cells[live, at] & 255)
             # close the gap: everything right of the merged pair moves one place to the left
@@ -234,59 +253,98 @@ class DropoutEncoder:
             offer(live[inner], at[inner])
             left = at > 0
             offer(live[left], at[left] - 1)
-            live = live[pairs[live].min(axis=1) < NO_PAIR]
+            live = every[(pairs[every].min(axis=1) < NO_PAIR) & (taken[every] <= BITS)]
         symbol = cells >> 8
         # symbols that are a piece, or a character without one
         out = []
         counts = (symbol != none).sum(axis=1)
         clean = ~unknown.any(axis=1)
         packed = symbol.astype(self.vocabulary.dtype)
-        for i, unit in enumerate(units):
-            if clean[i]:
-                out.append(packed[i, : counts[i]].tobytes())
+        for i, (unit, t) in enumerate(zip(units, taken.tolist(), strict=True)):
+            if t > BITS:
+                out.append((BITS, APART))
+            elif clean[i]:
+                out.append((t, packed[i, : counts[i]].tobytes()))
             else:
-                out.append(self.one(unit, stream))
+                left = cells[i, : counts[i] + unknown[i].sum()].tolist()
+                cuts = [(c & 255, -1 if c >> 8 == none else c >> 8) for c in left]
+                out.append((t, self._spelled(unit, cuts)))
         return out
 
-    def learn(self, units: set[str], stream: int) -> None:
-        known = self.known[stream]
-        short = [u for u in units if len(u) <= LONG]
-        short.sort(key=len)
-        for at in range(0, len(short), 4096):
-            part = short[at : at + 4096]
-            known.update(zip(part, self._many(part, stream), strict=True))
+    def _entry(self, key):
+        """An entry of the store; one of the older generation moves to the new one."""
+        found = self.new.get(key)
+        if found is None and key in self.old:
+            found = self.new[key] = self.old.pop(key)
+        return found
+
+    def _find(self, unit: str, skipped: int) -> tuple[object, bytes | None]:
+        """The last entry's key on the path of a unit's skips, and its ids if they are known."""
+        key, path = unit, 0
+        while True:
+            entry = self._entry(key)
+            if entry is None:
+                return key, None
+            further = skipped & entry[0] & ~path
+            if not further:
+                return key, entry[1]
+            path |= further & -further
+            key = (path, unit)
+
+    def _learn(self, units: list[str], skipped: list[int]) -> None:
+        """Results of new units, with the entries on their paths."""
+        for at in range(0, len(units), 4096):
+            part, masks = units[at : at + 4096], skipped[at : at + 4096]
+            for unit, mask, (taken, ids) in zip(part, masks, self._many(part, masks), strict=True):
+                rest, path, key = mask & TAKEN[taken], 0, unit
+                while rest:
+                    bit = rest & -rest
+                    # all candidates up to this one are taken on this path, further ones are not known yet
+                    entry = self._entry(key)
+                    reached = TAKEN[bit.bit_length()]
+                    if entry is None or entry[0] < reached:
+                        self.new[key] = (reached, None)
+                    rest, path = rest ^ bit, path | bit
+                    key = (path, unit)
+                self.new[key] = (TAKEN[taken], ids)
 
     def encode(self, batch: list[tuple[int, str]]) -> Iterator[bytes]:
         """Ids of (doc_id, text) as packed integers."""
-        known = self.known
-        cut, drawn, packed = [], [], []
-        wanted: list[set[str]] = [set() for _ in range(self.streams)]
+        if len(self.new) > KNOWN:
+            self.old, self.new = self.new, {}
+        units: list[str] = []
+        drawn: list[int] = []
+        places, ends = [], []
         for doc_id, text in batch:
-            units = UNIT.findall(" " + text) if text else []
-            if self.streams > 1:
-                start = U((mix_one(doc_id & MASK) + self.seed) & MASK)
-                h = mix(start + np.arange(len(units), dtype=np.uint64) * U(STEP))
-                streams = (h % U(self.streams)).tolist()
-            else:
-                streams = [0] * len(units)
-            parts = [known[s].get(u) for s, u in zip(streams, units)]
-            if None in parts:
-                for part, s, u in zip(parts, streams, units):
-                    if part is None:
-                        wanted[s].add(u)
-            cut.append(units)
-            drawn.append(streams)
-            packed.append(parts)
-        for s, units in enumerate(wanted):
-            self.learn(units, s)
-        for units, streams, parts in zip(cut, drawn, packed, strict=True):
-            if None in parts:
-                # long units are not stored
-                parts = [p or known[s].get(u) or self.one(u, s) for p, s, u in zip(parts, streams, units)]
-            yield b"".join(parts)
-        for s, store in enumerate(known):
-            if len(store) > KNOWN // self.streams:  # frequent units come first, so the later half goes
-                known[s] = dict(list(store.items())[: KNOWN // self.streams // 2])
+            cut = UNIT.findall(" " + text) if text else []
+            places.append(self._places(doc_id, len(cut)))
+            drawn += self._draws(places[-1])
+            units += cut
+            ends.append(len(units))
+        get, unknown = self.new.get, (0, None)
+        parts = [e[1] if not (e := get(u, unknown))[0] & m else None for u, m in zip(units, drawn, strict=True)]
+        open_at = [i for i, part in enumerate(parts) if not part]
+        while open_at:
+            wanted: dict = {}
+            waiting = []
+            for i in open_at:
+                unit = units[i]
+                if len(unit) <= LONG:
+                    key, parts[i] = self._find(unit, drawn[i])
+                    if parts[i] is None:
+                        wanted.setdefault(key, (unit, drawn[i]))
+                        waiting.append(i)
+            if wanted:
+                new = sorted(wanted.values(), key=lambda w: len(w[0]))
+                self._learn([w[0] for w in new], [w[1] for w in new])
+            open_at = waiting
+        first = 0
+        for keys, end in zip(places, ends, strict=True):
+            mine = parts[first:end]
+            if not all(mine):
+                mine = [p or self.one(u, int(k)) for p, u, k in zip(mine, units[first:end], keys, strict=True)]
+            yield b"".join(mine)
+            first = end
 
     def decode(self, ids: list[int]) -> str:
         surface = self.vocabulary.surface
@@ -316,8 +374,7 @@ def encoded(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model.value, dropout, seed)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in slices(whole, SLICE):
                 rows = [(i or 0, t) for i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
                 packed = list(enc.encode(rows))
                 ids = [np.frombuffer(p, dtype=enc.vocabulary.dtype) for p in packed]
