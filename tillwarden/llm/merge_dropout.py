@@ -7,10 +7,10 @@ from the agenda is skipped, for good, if the t-th 16 bits of a keyed hash of see
 below ``dropout`` (rounded to 1/65,536); pairs with a new neighbour are new candidates.
 
 So a segmentation depends on the unit and on which of its candidates were skipped, and on nothing else.  A task
-keeps segmentations by unit and skipped candidates in a store of bounded size, as a tree: the entry of
-a path of skips says how many candidates it takes, and the first further skip among these leads on to the next
-entry.  Occurrences share a result only if they skip the same candidates.  New ones are worked out many at once:
-each step takes the best live pair of every unit.
+keeps segmentations as a tree of bounded size: the node of a path of skips holds the ids and how many candidates
+are taken if none further is skipped, and a child for each of these candidates.  An occurrence walks down by
+its draws, so that occurrences share a result only if they skip the same candidates.  New nodes are worked out many at
+once: each step takes the best live pair of every unit.  Where nothing is skipped, ids are the library's.
 
 Characters without a piece become byte pieces, and so does a literal U+2581, which otherwise stands
 for a blank: decoding gives back every text exactly.  With dropout 0 ids equal the library's.
@@ -23,8 +23,10 @@ than BITS candidates, one by one with a heap); an empty table gives no rows; fur
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,9 +41,8 @@ MASK = (1 << 64) - 1
 STEP = 0x9E3779B97F4A7C15
 LONG = 24  # longer units are worked out one by one
 BITS = 24  # candidates whose draws are made at once
-TAKEN = [(1 << t) - 1 for t in range(BITS + 1)]  # the first t candidates
 SLICE = 1 << 20  # bytes of text encoded at once
-KNOWN = 200_000  # entries in a generation of the store
+KNOWN = 500_000  # nodes kept by a worker; beyond, it forgets all and starts again
 APART = b""  # stands for a result that every occurrence works out for itself
 BLANK = "▁"
 UNIT = re.compile(r" *[^ \n]+|\n| +")
@@ -64,7 +65,7 @@ class Vocabulary:
     def __init__(self, model: bytes):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+        sp = self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.get_piece_size()
         self.surface: list[bytes] = []
         self.byte_id = [0] * 256
@@ -132,28 +133,73 @@ class Vocabulary:
         return rank, piece
 
 
+class Tree:
+    """Nodes in columns: ids in one buffer, children by candidate in another."""
+
+    def __init__(self, dtype: np.dtype):
+        self.node: dict[str, int] = {}  # units to the nodes where nothing is skipped
+        self.unit: list[str] = []
+        self.n = self.n_ids = self.n_children = 0
+        self.taken, self.path = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int64)
+        self.start, self.size = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int64)
+        self.first_child = np.zeros(1024, dtype=np.int64)
+        self.ids = np.zeros(1024, dtype=dtype)
+        self.child = np.full(1024, -1, dtype=np.int32)
+
+    @staticmethod
+    def _room(column: np.ndarray, n: int, empty: int = 0) -> np.ndarray:
+        if n <= len(column):
+            return column
+        larger = np.full(max(n, 2 * len(column)), empty, dtype=column.dtype)
+        larger[: len(column)] = column
+        return larger
+
+    def add(self, units: list[str], paths: np.ndarray, results: list[tuple[int, bytes]]) -> np.ndarray:
+        """New nodes: units, their skips as bits, candidates taken and ids."""
+        first, last = self.n, self.n + len(units)
+        self.n = last
+        self.unit += units
+        taken = np.array([t for t, _ in results], dtype=np.int64)
+        ids = np.frombuffer(b"".join([i for _, i in results]), dtype=self.ids.dtype)
+        sizes = np.array([len(i) for _, i in results], dtype=np.int64) // self.ids.dtype.itemsize
+        for name, values in (
+            ("taken", taken),
+            ("path", paths),
+            ("size", sizes),
+            ("start", self.n_ids + np.cumsum(sizes) - sizes),
+            ("first_child", self.n_children + np.cumsum(taken) - taken),
+        ):
+            column = self._room(getattr(self, name), last)
+            column[first:last] = values
+            setattr(self, name, column)
+        self.ids = self._room(self.ids, self.n_ids + len(ids))
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.n_ids += len(ids)
+        self.n_children += int(taken.sum())
+        self.child = self._room(self.child, self.n_children, -1)
+        return np.arange(first, last)
+
+
 class DropoutEncoder:
     def __init__(self, model: bytes, dropout: float, seed: int):
         self.vocabulary = Vocabulary(model)
         self.limit = min(max(round(dropout * (1 << 16)), 0), 1 << 16)
         self.seed = mix_one(seed & MASK)
-        # unit, or (skipped candidates, unit) -> (candidates taken, ids or None if not known)
-        self.new: dict = {}
-        self.old: dict = {}
+        self.tree = Tree(self.vocabulary.dtype)
 
     def _places(self, doc_id: int, n: int) -> np.ndarray:
         """A key for each of a document's units."""
         start = U((mix_one(doc_id & MASK) + self.seed) & MASK)
         return mix(start + np.arange(n, dtype=np.uint64) * U(STEP))
 
-    def _draws(self, places: np.ndarray) -> list[int]:
+    def _draws(self, places: np.ndarray) -> np.ndarray:
         """Which of the first BITS candidates each unit skips, as bits."""
         if not self.limit:
-            return [0] * len(places)
+            return np.zeros(len(places), dtype=np.int64)
         blocks = np.arange(1, BITS // 4 + 1, dtype=np.uint64) * U(STEP)
         fields = mix(places[:, None] + blocks[None, :]).view("<u2")
-        packed = np.packbits(fields.astype(np.uint32) < self.limit, axis=1, bitorder="little").astype(np.uint32)
-        return (packed[:, 0] | packed[:, 1] << 8 | packed[:, 2] << 16).tolist()
+        packed = np.packbits(fields.astype(np.uint32) < self.limit, axis=1, bitorder="little").astype(np.int64)
+        return packed[:, 0] | packed[:, 1] << 8 | packed[:, 2] << 16
 
     def skips(self, place: int, t: int) -> bool:
         """Whether the t-th candidate of the unit with this key is skipped."""
@@ -206,7 +252,7 @@ class DropoutEncoder:
                 offer(before[i], i)
         return self._spelled(unit, [(i, s) for i, s in enumerate(symbol) if s is not None])
 
-    def _many(self, units: list[str], skipped: list[int]) -> list[tuple[int, bytes]]:
+    def _many(self, units: list[str], skipped: np.ndarray) -> list[tuple[int, bytes]]:
         """Candidates taken and ids of units of at most LONG characters, all at once.
 
         Ids are APART where more than BITS candidates are taken.
@@ -215,136 +261,149 @@ class DropoutEncoder:
         width = max(map(len, units))
         lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
         inside = np.arange(width)[None, :] < lengths[:, None]
-        codes = np.zeros((len(units), width), dtype=np.int64)
-        codes[inside] = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        symbol = np.where(inside, self.vocabulary.by_code[codes], none).astype(np.int64)
-        unknown = symbol < 0
-        symbol[unknown] = none  # forms no pair
-        # two numbers per place: symbol and its first character, rank and piece of the pair with the next
-        cells = symbol << 8 | np.arange(width)[None, :]
-        skips = np.array(skipped, dtype=np.int64)
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        # one row a unit with an empty last column: all links that leave the unit lead there
+        columns = width + 1
+        table = np.full((len(units), columns), none, dtype=np.int64)
+        table[:, :width][inside] = self.vocabulary.by_code[codes]
+        unknown = (table < 0).any(axis=1)
+        no_piece = table < 0
+        table[no_piece] = none  # forms no pair
+        symbol = table.reshape(-1)
+        after = np.tile(np.minimum(np.arange(1, columns + 1), width), len(units))
+        before = np.tile(np.append(np.arange(-1, width - 1) % columns, width), len(units))
+        gone = np.ones((len(units), columns), dtype=bool)
+        gone[:, :width] = ~inside
+        gone = gone.reshape(-1)
         taken = np.zeros(len(units), dtype=np.int64)
-        pairs = np.full((len(units), width), NO_PAIR, dtype=np.int64)
+        # rank and piece of the pair of every symbol with the one after it
+        pairs = np.full((len(units), columns), NO_PAIR, dtype=np.int64)
+        flat = pairs.reshape(-1)
 
-        def offer(rows: np.ndarray, cols: np.ndarray) -> None:
-            left, right = cells[rows, cols], cells[rows, cols + 1]
-            r, p = self.vocabulary.merges(left >> 8, right >> 8)
-            pairs[rows, cols] = np.where(r < NO_RANK, r.astype(np.int64) << 32 | p, NO_PAIR)
+        def offer(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+            r, p = self.vocabulary.merges(left, right)
+            flat[at] = np.where(r < NO_RANK, r.astype(np.int64) << 32 | p, NO_PAIR)
 
-        if width > 1:
-            offer(*np.nonzero(np.ones((len(units), width - 1), dtype=bool)))
-        live = np.flatnonzero(pairs.min(axis=1) < NO_PAIR)
-        columns = np.arange(width)[None, :]
+        starts = np.flatnonzero(~gone)
+        offer(starts, symbol[starts], symbol[starts + 1])
+        live = np.arange(len(units))
         while len(live):
-            at = pairs[live].argmin(axis=1)
-            skip = (skips[live] >> np.minimum(taken[live], BITS)) & 1 == 1
+            rows = pairs[live]
+            at = rows.argmin(axis=1)
+            best = rows[np.arange(len(live)), at]
+            some = best < NO_PAIR
+            live, at, best = live[some], at[some], best[some]
+            skip = (skipped[live] >> np.minimum(taken[live], BITS)) & 1 == 1
             taken[live] += 1
-            pairs[live[skip], at[skip]] = NO_PAIR
-            every, live, at = live, live[~skip], at[~skip]
-            merged = pairs[live, at] & 0xFFFFFFFF
-            cells[live, at] = merged << 8 | (cells[live, at] & 255)
-            # close the gap: everything right of the merged pair moves one place to the left
-            moved = np.minimum(columns + (columns > at[:, None]), width - 1)
-            for table, empty in ((cells, none << 8), (pairs, NO_PAIR)):
-                rows = np.take_along_axis(table[live], moved, axis=1)
-                rows[:, -1] = empty
-                table[live] = rows
-            inner = at < width - 1
-            offer(live[inner], at[inner])
-            left = at > 0
-            offer(live[left], at[left] - 1)
-            live = every[(pairs[every].min(axis=1) < NO_PAIR) & (taken[every] <= BITS)]
-        symbol = cells >> 8
-        # symbols that are a piece, or a character without one
-        out = []
-        counts = (symbol != none).sum(axis=1)
-        clean = ~unknown.any(axis=1)
-        packed = symbol.astype(self.vocabulary.dtype)
-        for i, (unit, t) in enumerate(zip(units, taken.tolist(), strict=True)):
+            base = live * columns
+            flat[base[skip] + at[skip]] = NO_PAIR
+            merge = ~skip
+            base, at, piece = base[merge], at[merge], best[merge] & 0xFFFFFFFF
+            here = base + at
+            there = base + after[here]
+            beyond, ahead = base + after[there], base + before[here]
+            symbol[here] = piece
+            gone[there], flat[there] = True, NO_PAIR
+            after[here] = after[there]
+            before[beyond] = at
+            offer(
+                np.concatenate((here, ahead)),
+                np.concatenate((piece, symbol[ahead])),
+                np.concatenate((symbol[beyond], piece)),
+            )
+            live = live[taken[live] <= BITS]
+        kept = ~gone
+        ends = np.cumsum(kept.reshape(-1, columns).sum(axis=1)).tolist()
+        packed = symbol[kept].astype(self.vocabulary.dtype).tobytes()
+        size = self.vocabulary.dtype.itemsize
+        odd = unknown.tolist()
+        out, first = [], 0
+        for i, (unit, t, end) in enumerate(zip(units, taken.tolist(), ends, strict=True)):
             if t > BITS:
                 out.append((BITS, APART))
-            elif clean[i]:
-                out.append((t, packed[i, : counts[i]].tobytes()))
-            else:
-                left = cells[i, : counts[i] + unknown[i].sum()].tolist()
-                cuts = [(c & 255, -1 if c >> 8 == none else c >> 8) for c in left]
+            elif odd[i]:
+                left = np.flatnonzero(kept[i * columns : (i + 1) * columns]).tolist()
+                cuts = [(c, -1 if no_piece[i, c] else int(table[i, c])) for c in left]
                 out.append((t, self._spelled(unit, cuts)))
+            else:
+                out.append((t, packed[first * size : end * size]))
+            first = end
         return out
 
-    def _entry(self, key):
-        """An entry of the store; one of the older generation moves to the new one."""
-        found = self.new.get(key)
-        if found is None and key in self.old:
-            found = self.new[key] = self.old.pop(key)
-        return found
-
-    def _find(self, unit: str, skipped: int) -> tuple[object, bytes | None]:
-        """The last entry's key on the path of a unit's skips, and its ids if they are known."""
-        key, path = unit, 0
-        while True:
-            entry = self._entry(key)
-            if entry is None:
-                return key, None
-            further = skipped & entry[0] & ~path
-            if not further:
-                return key, entry[1]
-            path |= further & -further
-            key = (path, unit)
-
-    def _learn(self, units: list[str], skipped: list[int]) -> None:
-        """Results of new units, with the entries on their paths."""
-        for at in range(0, len(units), 4096):
-            part, masks = units[at : at + 4096], skipped[at : at + 4096]
-            for unit, mask, (taken, ids) in zip(part, masks, self._many(part, masks), strict=True):
-                rest, path, key = mask & TAKEN[taken], 0, unit
-                while rest:
-                    bit = rest & -rest
-                    # all candidates up to this one are taken on this path, further ones are not known yet
-                    entry = self._entry(key)
-                    reached = TAKEN[bit.bit_length()]
-                    if entry is None or entry[0] < reached:
-                        self.new[key] = (reached, None)
-                    rest, path = rest ^ bit, path | bit
-                    key = (path, unit)
-                self.new[key] = (TAKEN[taken], ids)
+    def _worked_out(self, units: list[str], skipped: np.ndarray) -> np.ndarray:
+        """New nodes of units of at most LONG characters that skip what the bits say and nothing else."""
+        order = sorted(range(len(units)), key=lambda i: len(units[i]))
+        results: list = [None] * len(units)
+        for at in range(0, len(order), 4096):
+            part = order[at : at + 4096]
+            for i, result in zip(part, self._many([units[i] for i in part], skipped[part]), strict=True):
+                results[i] = result
+        return self.tree.add(units, skipped, results)
+
+    def _first_met(self, units: list[str]) -> None:
+        """Nodes of new units where nothing is skipped: the library's ids.
+
+        Without byte pieces every merge, and so every candidate taken, makes one symbol fewer.
+        """
+        byte_ids, kind = set(self.vocabulary.byte_id), "H" if self.vocabulary.dtype.itemsize == 2 else "I"
+        plain = [u for u in units if u[0] == " " and u[1:2].strip() and BLANK not in u]
+        names, results = [], []
+        for unit, ids in zip(plain, self.vocabulary.library.encode([u[1:] for u in plain], num_threads=1), strict=True):
+            if byte_ids.isdisjoint(ids):
+                names.append(unit)
+                results.append((len(unit) - len(ids), array(kind, ids).tobytes()))
+        nodes = self.tree.add(names, np.zeros(len(names), dtype=np.int64), results)
+        self.tree.node.update(zip(names, nodes.tolist(), strict=True))
+        others = [u for u in units if u not in self.tree.node]
+        if others:
+            nodes = self._worked_out(others, np.zeros(len(others), dtype=np.int64))
+            self.tree.node.update(zip(others, nodes.tolist(), strict=True))
+
+    def _walk(self, nodes: np.ndarray, drawn: np.ndarray) -> None:
+        """From the nodes where nothing is skipped down to those of the draws."""
+        tree = self.tree
+        going = np.flatnonzero(nodes >= 0)
+        while len(going):
+            at = nodes[going]
+            rest = drawn[going] & ~tree.path[at] & ((1 << tree.taken[at]) - 1)
+            some = rest > 0
+            going, at, rest = going[some], at[some], rest[some]
+            bit = rest & -rest
+            place = tree.first_child[at] + np.bitwise_count(bit - 1)
+            new, first = np.unique(place[tree.child[place] < 0], return_index=True)
+            if len(new):
+                first = np.flatnonzero(tree.child[place] < 0)[first]
+                made = self._worked_out([tree.unit[i] for i in at[first].tolist()], tree.path[at[first]] | bit[first])
+                tree.child[new] = made
+            nodes[going] = tree.child[place]
 
     def encode(self, batch: list[tuple[int, str]]) -> Iterator[bytes]:
         """Ids of (doc_id, text) as packed integers."""
-        if len(self.new) > KNOWN:
-            self.old, self.new = self.new, {}
-        units: list[str] = []
-        drawn: list[int] = []
-        places, ends = [], []
-        for doc_id, text in batch:
-            cut = UNIT.findall(" " + text) if text else []
-            places.append(self._places(doc_id, len(cut)))
-            drawn += self._draws(places[-1])
-            units += cut
-            ends.append(len(units))
-        get, unknown = self.new.get, (0, None)
-        parts = [e[1] if not (e := get(u, unknown))[0] & m else None for u, m in zip(units, drawn, strict=True)]
-        open_at = [i for i, part in enumerate(parts) if not part]
-        while open_at:
-            wanted: dict = {}
-            waiting = []
-            for i in open_at:
-                unit = units[i]
-                if len(unit) <= LONG:
-                    key, parts[i] = self._find(unit, drawn[i])
-                    if parts[i] is None:
-                        wanted.setdefault(key, (unit, drawn[i]))
-                        waiting.append(i)
-            if wanted:
-                new = sorted(wanted.values(), key=lambda w: len(w[0]))
-                self._learn([w[0] for w in new], [w[1] for w in new])
-            open_at = waiting
-        first = 0
-        for keys, end in zip(places, ends, strict=True):
-            mine = parts[first:end]
-            if not all(mine):
-                mine = [p or self.one(u, int(k)) for p, u, k in zip(mine, units[first:end], keys, strict=True)]
-            yield b"".join(mine)
-            first = end
+        if self.tree.n > KNOWN:
+            self.tree = Tree(self.vocabulary.dtype)
+        tree = self.tree
+        cut = [UNIT.findall(" " + text) if text else [] for _, text in batch]
+        units = list(itertools.chain.from_iterable(cut))
+        ends = np.cumsum([0, *map(len, cut)]).tolist()
+        places = np.concatenate([self._places(i, len(c)) for (i, _), c in zip(batch, cut, strict=True)])
+        new = [u for u in set(units).difference(tree.node) if len(u) <= LONG]
+        if new:
+            self._first_met(new)
+        known = tree.node
+        nodes = np.array([known.get(u, -1) for u in units], dtype=np.int64)
+        self._walk(nodes, self._draws(places))
+        sizes = np.where(nodes >= 0, tree.size[nodes], 0)
+        shift = np.cumsum(sizes) - sizes
+        total = int(sizes.sum())
+        ids = tree.ids[np.repeat(tree.start[nodes] - shift, sizes) + np.arange(total)]
+        bounds = np.append(shift, total)
+        for first, last in itertools.pairwise(ends):
+            apart = np.flatnonzero(sizes[first:last] == 0) + first
+            at, parts = bounds[first], []
+            for i in apart.tolist():
+                parts += [ids[at : bounds[i]].tobytes(), self.one(units[i], int(places[i]))]
+                at = bounds[i]
+            yield b"".join([*parts, ids[at : bounds[last]].tobytes()])
 
     def decode(self, ids: list[int]) -> str:
         surface = self.vocabulary.surface
