@@ -100,13 +100,32 @@ def test_fan_out_and_nest_again(spark):
     assert sorted(r[0] for r in back.select(as_json).collect()) == sorted(r[0] for r in df.select(as_json).collect())
 
 
-def test_very_long_transaction_becomes_several_records(spark):
-    n = conform.LINES_PER_RECORD + 5
+def test_long_transaction_is_one_record(spark):
+    n = 10_050
     items = spark.range(1, n + 1).select(F.lit("k").alias("record_key"), F.col("id").alias("item_seq_no"))
     head = spark.createDataFrame([("k", "POS", 1), ("e", "POS", 2)], "record_key string, rtlog_orig_sys string, tran_no long")
     out = conform.nest_rtlog(head, {"tran_item": items}).collect()
-    sizes = sorted((r.tran_head.tran_no, r.part, len(r.tran_item)) for r in out)
-    assert sizes == [(1, 0, conform.LINES_PER_RECORD), (1, 1, 5), (2, 0, 0)]
+    assert sorted((r.tran_head.tran_no, r.n_aside, len(r.tran_item)) for r in out) == [(1, 0, n), (2, 0, 0)]
+    assert [x.item_seq_no for r in out for x in r.tran_item] == list(range(1, n + 1))
+
+
+def test_lines_beyond_the_bound_stand_aside(spark):
+    """Null and repeated numbers, rows without a key, two numbers in the order of a child."""
+    ddl = "record_key string, item_seq_no int, discount_seq_no int"
+    lines = [("k", i % 7 or None, i // 7) for i in range(60)] + [("k", 3, 1)] * 40 + [("short", None, None)] * 5
+    discs = spark.createDataFrame([*lines, *[(None, 1, 1)] * 30], ddl)
+    items = spark.createDataFrame([("k", i) for i in range(1, 23)], "record_key string, item_seq_no int")
+    head = spark.createDataFrame([("k", "POS", 1), ("short", "OMS", 2)], "record_key string, rtlog_orig_sys string, tran_no long")
+    kids = {"tran_disc": discs, "tran_item": items}
+    records = {r.record_key: r for r in conform.nest_rtlog(head, kids, most=20).collect()}
+    aside = {c: sorted(df.collect(), key=lambda r: r.place) for c, df in conform.nest_overflow(kids, most=20).items()}
+    assert len(records) == 2 and records["k"].n_aside == 82 and records["short"].n_aside == 0
+    assert len(records["short"].tran_disc) == 5
+    assert [r.place for r in aside["tran_disc"]] == list(range(21, 101))
+    assert [(r.place, r.item_seq_no) for r in aside["tran_item"]] == [(21, 21), (22, 22)]
+    number = lambda x: (x.item_seq_no, x.discount_seq_no)
+    got = [number(x) for x in [*records["k"].tran_disc, *aside["tran_disc"]]]
+    assert got == sorted((x[1:] for x in lines if x[0] == "k"), key=lambda x: (x[0] or 0, x[1]))
 
 
 def test_store_registry(spark, tmp_path):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwarden import reference as ref
 from tillwarden.functions import checks, keys as K
+from tillwarden.operators import spread
 from tillwarden.schemas import (
     CHILD_TABLES,
     CHILDREN,
@@ -16,14 +17,15 @@ from tillwarden.schemas import (
     struct_of,
     table_columns,
 )
+from tillwarden.session import work_dir
 
 # Technical columns carried next to the canonical ones.  Joins use the record
 # key: a re-used transaction number makes the canonical key ambiguous.
 KEYS = ["record_key", "store", "day", "tran_seq_no"]
 
-# A line number has four digits, so a group of one transaction and one line
-# number range has at most this many rows.
-LINES_PER_RECORD = 9999
+# Lines of one kind that a nested record holds; a record is one row, so it must
+# have a bound.  Further lines are rows of ``nest_overflow``.
+LINES_PER_RECORD = 100_000
 
 
 def conform_types(df: DataFrame, table: str, extra: list[str] | None = None) -> DataFrame:
@@ -97,51 +99,79 @@ def fan_out(rtlog: DataFrame) -> dict[str, DataFrame]:
     return tables
 
 
+def _long_children(child_rows: dict[str, DataFrame], key: str, most: int) -> DataFrame:
+    """Transactions with more than ``most`` lines of a child: _child, _long_key, _n; written once."""
+    keys = [
+        rows.filter(F.col(key).isNotNull()).select(F.lit(child).alias("_child"), F.col(key).alias("_long_key"))
+        for child, rows in child_rows.items()
+    ]
+    counted = reduce(DataFrame.unionByName, keys).groupBy("_child", "_long_key").agg(F.count(F.lit(1)).alias("_n"))
+    spark = counted.sparkSession
+    path = work_dir(spark, "long-transactions")
+    counted.filter(F.col("_n") > most).write.parquet(path)
+    return spark.read.schema(counted.schema).parquet(path)
+
+
+def _placed(rows: DataFrame, child: str, key: str, long: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Child rows of transactions that are not long, and those of long ones with their ``place`` from 1 on.
+
+    Places follow the line numbers (null first), then all columns, so equal rows only are interchangeable.
+    """
+    mine = long.filter(F.col("_child") == child).select("_long_key")
+    hit = F.col(key) == F.col("_long_key")
+    order = [F.col(n) for n in CHILDREN[child][1]] + [F.to_json(F.struct(*rows.columns))]
+    placed = spread.with_row_number(rows.join(mine, hit, "left_semi"), [key], order, None, "place")
+    return rows.join(mine, hit, "left_anti"), placed
+
+
 def nest_rtlog(
-    head: DataFrame, child_rows: dict[str, DataFrame], key: str = "record_key"
+    head: DataFrame, child_rows: dict[str, DataFrame], key: str = "record_key", most: int = LINES_PER_RECORD
 ) -> DataFrame:
-    """Flat headers and child rows back to nested records.
+    """Flat headers and child rows back to nested records, one per transaction.
 
-    Children are collected per transaction and range of line numbers, so one
-    collected array holds at most ``LINES_PER_RECORD`` distinct lines.  A
-    transaction with more lines becomes several records (``part`` 0, 1, ...)
-    that carry the same header; nothing is dropped.
+    Lines stand in the order of their numbers, null first.  ``n_aside`` counts the lines beyond the
+    first ``most`` of a child: they are not in the record but in ``nest_overflow``.  Transactions are counted
+    first, so no longer list is ever collected, whatever the numbers are.  Child rows without a key
+    or a header belong to no record.
     """
     names = list(CHILDREN)
     given = [c for c in names if c in child_rows]
-    stacked = None
-    for child in given:
-        rows = child_rows[child]
-        ddl, numbering = CHILDREN[child]
-        part = F.floor((F.coalesce(F.col(numbering[-1]), F.lit(1)) - 1) / LINES_PER_RECORD)
-        one = rows.select(
-            F.col(key),
-            F.greatest(part, F.lit(0)).cast("int").alias("part"),
-            F.struct(
-                F.struct(*[F.col(n) for n in numbering]).alias("_o"), _typed(rows, ddl).alias("_e")
-            ).alias(child),
-        )
-        stacked = one if stacked is None else stacked.unionByName(one, allowMissingColumns=True)
-    out = head
-    if stacked is not None:
+    out = head.withColumn("n_aside", F.lit(0).cast("long"))
+    if given:
+        nested = {c: child_rows[c].filter(F.col(key).isNotNull()) for c in given}
+        long = _long_children(nested, key, most)
+        if not long.isEmpty():
+            for child in given:
+                rest, placed = _placed(nested[child], child, key, long)
+                nested[child] = rest.unionByName(placed.filter(F.col("place") <= most).drop("place"))
+            aside = long.groupBy(F.col("_long_key").alias(key)).agg(F.sum(F.col("_n") - most).alias("_aside"))
+            out = head.join(aside, key, "left").withColumn("n_aside", F.coalesce("_aside", F.lit(0)).cast("long"))
+        stacked = None
+        for child, rows in nested.items():
+            ddl, numbering = CHILDREN[child]
+            line = F.struct(F.struct(*[F.col(n) for n in numbering]).alias("_o"), _typed(rows, ddl).alias("_e"))
+            one = rows.select(F.col(key), line.alias(child))
+            stacked = one if stacked is None else stacked.unionByName(one, allowMissingColumns=True)
         # all children of a transaction meet in one aggregation
-        grouped = stacked.groupBy(key, "part").agg(
-            *[F.sort_array(F.collect_list(c)).alias(c) for c in given]
-        )
-        out = head.join(grouped, key, "left")
+        grouped = stacked.groupBy(key).agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in given])
+        out = out.join(grouped, key, "left")
     arrays = []
     for child in names:
         empty = F.array().cast(f"array<{struct_of(CHILDREN[child][0]).simpleString()}>")
         if child in given:
             empty = F.coalesce(F.transform(child, lambda x: x["_e"]), empty)
         arrays.append(empty.alias(child))
-    return out.select(
-        key,
-        (F.coalesce("part", F.lit(0)) if given else F.lit(0)).alias("part"),
-        "rtlog_orig_sys",
-        _typed(head, HEAD_DDL).alias("tran_head"),
-        *arrays,
-    )
+    return out.select(key, "n_aside", "rtlog_orig_sys", _typed(head, HEAD_DDL).alias("tran_head"), *arrays)
+
+
+def nest_overflow(
+    child_rows: dict[str, DataFrame], key: str = "record_key", most: int = LINES_PER_RECORD
+) -> dict[str, DataFrame]:
+    """Child rows that ``nest_rtlog`` sets aside, with their ``place`` (above ``most``) in the transaction."""
+    long = _long_children(child_rows, key, most)
+    return {
+        child: _placed(rows, child, key, long)[1].filter(F.col("place") > most) for child, rows in child_rows.items()
+    }
 
 
 def _typed(df: DataFrame, ddl: str) -> Column:
