@@ -119,3 +119,18 @@ def test_revisions(spark):
     at = F.lit("2024-01-03 00:00:00").cast("timestamp")
     state = sequence.as_of_revision(revs, ["k"], at, ["rev_no"]).collect()
     assert [(r.k, r.s) for r in state] == [(1, "B")]
+
+
+def test_long_gaps_are_intervals_and_are_written_out_by_many_tasks(spark, monkeypatch):
+    top = 20_000_002
+    df = spark.createDataFrame([("a", 1), ("a", top), ("b", 3), ("b", 3), ("b", 4100), (None, 2)], "k string, n long")
+    gaps = {tuple(r) for r in sequence.gap_intervals(df, ["k"], "n", exclude_numbers=()).collect()}
+    assert gaps == {("a", 2, top - 1), ("b", 1, 2), ("b", 4, 4099), (None, 1, 1)}
+    rows = sequence.missing_numbers(df, ["k"], "n", exclude_numbers=())
+    tasks = rows.filter("k = 'a'").groupBy(F.spark_partition_id()).agg(F.count("n"), F.min("n"), F.max("n")).collect()
+    assert sum(t[1] for t in tasks) == top - 2 and min(t[2] for t in tasks) == 2 and max(t[3] for t in tasks) == top - 1
+    assert len(tasks) > 1 and max(t[1] for t in tasks) < top / 2
+    monkeypatch.setattr(sequence, "PIECE", 7)
+    monkeypatch.setattr(sequence, "SPAN", 49)
+    rows = sequence.missing_numbers(df.filter("k = 'b'"), ["k"], "n", exclude_numbers=())
+    assert sorted(r.n for r in rows.collect()) == [1, 2, *range(4, 4100)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwarden import reference as ref
 from tillwarden.functions import keys as K
@@ -13,17 +13,21 @@ from tillwarden.operators import spread
 TRAN_NO_KEY = ["store", "register", "business_date", "tran_no"]
 REGISTER_DAY = ["store", "register", "business_date"]
 
-# Numbers are handled in ranges of this size, so that one collected set and
-# one exploded range stay small however long a register's day is.
+# Numbers are collected in ranges of this size, so that one collected set stays
+# small however long a register's day is.
 RANGE = 4096
 
+# Long gaps are cut twice before they are written out: into spans, then into
+# pieces that are spread over the tasks.  A span is a whole number of pieces.
+SPAN, PIECE = 1 << 28, 1 << 16
+
 
 def dup_tran_no(head: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     """All rows whose number occurs more than once."""
     return spread.with_repeated_key(head, key_cols or TRAN_NO_KEY)
 
 
-def missing_numbers(
+def gap_intervals(
     df: DataFrame,
     keys: list[str] | None = None,
     number: str = "tran_no",
@@ -31,11 +35,11 @@ def missing_numbers(
     exclude_numbers: tuple[int, ...] = (ref.OPEN_TRAN_NO, ref.CLOSE_TRAN_NO),
     exclude_types: tuple[str, ...] = ("OPEN", "CLOSE"),
 ) -> DataFrame:
-    """Numbers absent between ``first`` and the highest one per key.
+    """Gaps between ``first`` and the highest number per key, as ``gap_from`` and ``gap_to``.
 
-    The numbers present are collected per key and range of 4096, after map-side
-    de-duplication, and compared with the full range.  A register with very
-    many transactions is spread over its ranges.
+    Numbers are collected per key and range of 4096, after map-side de-duplication, and give the gaps
+    inside the range.  Only ends and inner gaps of the ranges that hold numbers meet per key, for the gaps between
+    ranges; an empty stretch costs one row, however long it is.  A gap over the border of a range is one interval.
     """
     keys = keys or REGISTER_DAY
     n = F.col(number)
@@ -44,28 +48,50 @@ def missing_numbers(
         rows = rows.filter(~n.isin(*exclude_numbers))
     if exclude_types and "tran_type" in df.columns:
         rows = rows.filter(~F.col("tran_type").isin(*exclude_types))
-    slot = F.floor((n - first) / RANGE).cast("long")
-    present = rows.groupBy(*keys, slot.alias("_slot")).agg(
-        F.collect_set(n.cast("long")).alias("_have"), F.max(n.cast("long")).alias("_top")
-    )
-    tops = present.groupBy(*keys).agg(F.max("_top").alias("_last"))
-    slots = tops.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        "_last",
-        F.explode(
-            F.sequence(F.lit(0).cast("long"), F.floor((F.col("_last") - first) / RANGE).cast("long"))
-        ).alias("_s"),
-    )
-    on = F.col("_s") == F.col("_slot")
-    for k in keys:
-        on = on & F.col(f"_k_{k}").eqNullSafe(F.col(k))
-    lo = F.col("_s") * RANGE + first
-    full = F.sequence(lo, F.least(lo + RANGE - 1, F.col("_last")))
-    have = F.coalesce(F.col("_have"), F.array().cast("array<bigint>"))
-    return slots.join(present, on, "left").select(
-        *[F.col(f"_k_{k}").alias(k) for k in keys],
-        F.explode(F.array_except(full, have)).alias(number),
+    slot = F.floor((n.cast("long") - first) / RANGE).cast("long")
+    present = rows.groupBy(*keys, slot.alias("_slot")).agg(F.sort_array(F.collect_set(n.cast("long"))).alias("_have"))
+    have = F.col("_have")
+
+    def gap(low: Column, high: Column) -> Column:
+        return F.struct((low + 1).alias("gap_from"), (high - 1).alias("gap_to"))
+
+    def real(gaps: Column) -> Column:
+        return F.filter(gaps, lambda g: g["gap_from"] <= g["gap_to"])
+
+    steps = F.zip_with(F.slice(have, F.lit(1), F.size(have) - 1), F.slice(have, F.lit(2), F.size(have)), gap)
+    ranges = present.select(
+        *keys, "_slot", have[0].alias("_low"), F.element_at(have, -1).alias("_high"), real(steps).alias("_inner")
     )
+    before = F.lag("_high", 1).over(Window.partitionBy(*keys).orderBy("_slot"))
+    outer = F.array(gap(F.coalesce("_before", F.lit(first - 1).cast("long")), F.col("_low")))
+    joined = ranges.withColumn("_before", before)
+    return joined.select(*keys, F.inline(F.concat(real(outer), F.col("_inner"))))
+
+
+def missing_numbers(
+    df: DataFrame,
+    keys: list[str] | None = None,
+    number: str = "tran_no",
+    first: int = 1,
+    exclude_numbers: tuple[int, ...] = (ref.OPEN_TRAN_NO, ref.CLOSE_TRAN_NO),
+    exclude_types: tuple[str, ...] = ("OPEN", "CLOSE"),
+) -> DataFrame:
+    """Numbers absent between ``first`` and the highest one per key: the rows of ``gap_intervals``.
+
+    Long gaps are cut into pieces of 65,536 numbers that are shuffled, so that one register with a
+    huge gap is written out by many tasks.
+    """
+    keys = keys or REGISTER_DAY
+    gaps = gap_intervals(df, keys, number, first, exclude_numbers, exclude_types)
+    span = F.explode(F.sequence("gap_from", "gap_to", F.lit(SPAN).cast("long"))).alias("_span")
+    spans = gaps.select(*keys, "gap_to", span)
+    upto = F.least(F.col("_span") + SPAN - 1, F.col("gap_to"))
+    piece = F.explode(F.sequence("_span", upto, F.lit(PIECE).cast("long"))).alias("_piece")
+    # a fixed number of partitions: adaptive execution would put these few small rows into one
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = spans.select(*keys, "gap_to", piece).repartition(n_parts, *keys, "_piece")
+    last = F.least(F.col("_piece") + PIECE - 1, F.col("gap_to"))
+    return pieces.select(*keys, F.explode(F.sequence("_piece", last)).alias(number))
 
 
 def sa_missing_tran(head: DataFrame) -> DataFrame:
