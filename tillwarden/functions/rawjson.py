@@ -6,6 +6,8 @@ and rounds money on the way in, so these look at the text itself.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from tillwarden.schemas import CHILDREN, HEAD_DDL, RECORD_KEYS, struct_of
@@ -42,6 +44,8 @@ def present_keys(raw: Column | str, section: str = "$") -> Column:
 def absent_keys(raw: Column | str, section: str = "$") -> Column:
     """Keys that some object of the section lacks; NULL when the section itself is absent."""
     wanted = F.array(*[F.lit(k) for k in section_keys(section)])
+    if section == "$":
+        return F.array_except(wanted, F.json_object_keys(_col(raw)))  # names only, no values
     objects = _objects(_col(raw), section)
     lacking = F.transform(objects, lambda m: F.array_except(wanted, F.map_keys(m)))
     return F.array_distinct(F.flatten(lacking))
@@ -75,10 +79,25 @@ MONEY_FIELDS = {
 }
 
 
+def _may_be_long(raw: Column) -> Column:
+    """Whether a text can hold a number with more than four decimals at all.
+
+    Such a number has a digit other than 0 behind the fourth decimal, or an exponent, or digits that are escaped or not
+    ASCII.  Three plain patterns: put together as one alternation they took 28 times as long.
+    """
+    return (
+        raw.rlike(r"\.[0-9]{4}[0-9]*[1-9]")
+        | raw.rlike("[0-9.][eE][-+]?[0-9]")
+        | raw.contains("\\u")
+        | (F.octet_length(raw) != F.char_length(raw))
+    )
+
+
 def long_scale(raw: Column | str) -> Column:
     """TRUE when any money number of the record is written with more than four decimals.
 
-    Numbers are compared as exact decimals, so ``1.50000`` and ``5E-4`` pass.
+    Numbers are compared as exact decimals, so ``1.50000`` and ``5E-4`` pass.  Only texts that look as if they held
+    such a number are parsed.
     """
     raw = _col(raw)
 
@@ -86,8 +105,8 @@ def long_scale(raw: Column | str) -> Column:
         exact = text.try_cast("decimal(38,18)")
         return F.coalesce(exact != exact.cast("decimal(24,4)"), F.lit(False))
 
-    def any_too_long(rows: Column, name: str) -> Column:
-        hit = F.exists(rows, lambda m: too_long(F.element_at(m, name)))
+    def any_too_long(rows: Column, names: list[str]) -> Column:
+        hit = F.exists(rows, lambda m: reduce(lambda a, b: a | b, [too_long(F.element_at(m, n)) for n in names]))
         return F.coalesce(hit, F.lit(False))
 
     bad = F.lit(False)
@@ -96,6 +115,5 @@ def long_scale(raw: Column | str) -> Column:
         bad = bad | too_long(F.element_at(head, name))
     for section in CHILDREN:
         rows = F.from_json(F.get_json_object(raw, f"$.{section}"), "array<map<string,string>>")
-        for name in MONEY_FIELDS[section]:
-            bad = bad | any_too_long(rows, name)
-    return bad
+        bad = bad | any_too_long(rows, MONEY_FIELDS[section])
+    return F.when(_may_be_long(raw), bad).otherwise(F.lit(False))
