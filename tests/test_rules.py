@@ -5,6 +5,7 @@ import copy
 from pyspark.sql import functions as F
 
 from records import bare, frame, record
+from tillwarden.functions import rawjson
 from tillwarden.operators import audit, conform, rules
 from tillwarden import reference as ref
 
@@ -240,6 +241,55 @@ def test_checks_on_sets_are_part_of_all_hits(spark):
     ]
 
 
+def test_sets_inside_a_record_give_what_joins_give(spark):
+    def disc(**kw):
+        return {"item_seq_no": 1, "discount_seq_no": 1, "promotion": 500001, "qty": 0.0, "unit_discount_amt": 5.0, "error_ind": "N"} | kw
+
+    def of(n, fault):
+        return edit(lambda r: (r["tran_head"].update(cashier=f"C{n}"), fault(r)))
+
+    faults = [
+        lambda r: r["tran_item"][0].update(total_igtax_amt=None),
+        lambda r: r["tran_item"][0].update(item="APP-M-9999", unit_retail=None),
+        lambda r: r["tran_igtax"][1].update(igtax_rate=0.05),
+        lambda r: r["tran_igtax"][1].update(item_seq_no=7),
+        lambda r: r.update(tran_disc=[disc(), disc(item_seq_no=9, discount_seq_no=2), disc(discount_seq_no=3, promotion=None)]),
+        lambda r: r["tran_head"].update(error_ind="X"),
+        lambda r: r.update(tran_igtax=None, tran_tender=None),
+        # numbers that are missing or repeated
+        lambda r: r["tran_item"].append(dict(r["tran_item"][0], item="APP-M-9999")),
+        lambda r: r["tran_item"][0].update(item_seq_no=None),
+        lambda r: r["tran_igtax"].extend([dict(r["tran_igtax"][0], total_igtax_amt=1.0)] * 2),
+        lambda r: (r.update(tran_disc=[disc(), disc()]), r["tran_head"].update(error_ind="X")),
+    ]
+    df = frame(spark, [of(n, f) for n, f in enumerate(faults)] + clean_day())
+    children = {c: audit.typed_children(df, c) for c in ("tran_item", "tran_disc", "tran_tender", "tran_tax", "tran_igtax")}
+    accepted = conform.with_keys(df).filter(F.size(conform.rejection_reasons(df)) == 0).select("record_key")
+    seeds = ref.products(spark), ref.promotions(spark)
+    cols = [*audit.ERROR_KEYS, *audit.HIT_KEYS]
+
+    def shown(hits):
+        return sorted(map(tuple, hits.select(*cols).collect()), key=repr)
+
+    want = shown(audit.audit_sets(accepted, children, *seeds))
+    assert shown(audit.nested_sets(df, *seeds)) == want and len(want) > 20
+
+
+def test_sets_need_no_shuffle_and_count_no_copy_twice(spark):
+    df = frame(spark, clean_day())
+    hits = audit.nested_sets(df, ref.products(spark), ref.promotions(spark))
+    assert "Exchange hashpartitioning" not in hits._jdf.queryExecution().executedPlan().toString()
+    # the tax lines of both copies were summed up for the item of each
+    assert all(code in ("TRAN_NO_DUP", "TRAN_SEQ_DUP") for code, *_ in all_hits(spark, clean_day() * 2))
+
+
+def test_long_scale_is_found_in_any_notation(spark):
+    texts = ["1.00001", "1e-5", "0.1E-4", '"1.00001"', '"\\u0031.\\u0030\\u0030001"', '"\u0661.\u0660\u0660\u0660\u0660\u0661"']
+    fine = ["1.50000", "5E-4", "1.0001", "1e5", "null", '"x1.00001"']
+    lines = spark.createDataFrame([(f'{{"tran_tender": [{{"tender_amt": {t}}}]}}',) for t in texts + fine], "value string")
+    assert [r.b for r in lines.select(rawjson.long_scale("value").alias("b")).collect()] == [True] * 6 + [False] * 6
+
+
 def test_orphans_with_and_without_a_key(spark):
     head = spark.createDataFrame([("a",), (None,)], "record_key string")
     rows = [("a", 1), ("b", 2), ("b", 2), (None, 3)] + [("hot", n) for n in range(500)]

@@ -124,7 +124,12 @@ def discount_errors(
 ) -> DataFrame:
     """Discounts on other types than sales, or different from price times share."""
     priced = items.select(*keys, "item_seq_no", "unit_retail", "tran_type")
-    joined = lookup_promo(disc.join(priced, [*keys, "item_seq_no"]), promotions)
+    return wrong_discounts(disc.join(priced, [*keys, "item_seq_no"]), promotions)
+
+
+def wrong_discounts(priced: DataFrame, promotions: DataFrame) -> DataFrame:
+    """The same for discounts that have the price of their item and the type of their transaction."""
+    joined = lookup_promo(priced, promotions)
     expected = M.promo_discount("unit_retail", F.col("disc_pct"))
     return joined.withColumn("expected_amt", expected).filter(
         (F.col("tran_type") != "SALE")
