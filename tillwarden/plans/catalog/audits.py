@@ -296,11 +296,14 @@ def sa_error(spark, sf):
 )
 def sa_error_references(spark, sf):
     """Every error points at exactly one object and has its own id."""
-    e = _errors(spark, sf)
-    bad = audit.reference_count_violations(e).agg(F.count(F.lit(1)).alias("n")).scalar()
-    return e.agg(
-        F.count(F.lit(1)).alias("n_errors"), F.count_distinct("error_seq_no").alias("n_ids")
-    ).withColumn("n_violations", bad).select("n_errors", "n_violations", "n_ids")
+    # all counts in one pass: an id is counted with its rows first
+    per_id = _errors(spark, sf).groupBy("error_seq_no").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~audit.points_at_one()).alias("bad")
+    )
+    return per_id.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_errors"), F.coalesce(F.sum("bad"), F.lit(0)).alias("n_violations"),
+        F.count("error_seq_no").alias("n_ids"),
+    )
 
 
 _BLOCKING = """('MISSING_TENDER', 'TENDER_VAR_GT_01', 'TRAN_NO_DUP', 'NEG_QTY_NO_REF', 'CC_NOT_MASKED', 'CHANNEL_INVALID',
