@@ -326,3 +326,33 @@ def test_keys_of_every_element_are_checked(spark, tmp_path):
         F.array_contains(rawjson.present_keys("value", "tran_item"), "class").alias("has_class"),
     ).first()
     assert got.absent == ["class"] and got.null_dept and not got.has_class
+
+
+def test_packed_till_log_reads_back_the_same(spark, tmp_path):
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    R.write_rtlog(frame(spark, some_records()), plain)
+    R.write_rtlog(frame(spark, some_records()), packed, compression="gzip")
+    R.write_rtlog(frame(spark, [record(8)]), packed, append=True, compression="gzip")
+    assert {f.name.split(".", 1)[1] for f in (tmp_path / "packed").rglob("part-*")} == {"c000.json.gz"}
+    assert R.count_lines(spark, packed).first().n_lines == R.count_lines(spark, plain).first().n_lines + 1 == 5
+    a, b = R.read_rtlog(spark, plain), R.read_rtlog(spark, packed)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).count() == 1
+
+
+def test_equal_rows_are_numbered_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "PIECE", 2)
+    rows = ['{"a": 1, "x": -0.0}'] * 5 + ['{"a": 1, "x": 0.0}', '{"a": null, "x": null}'] + ['{"a": 2, "x": 1.5}'] * 2
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "d.json").write_text("\n".join(rows) + "\n")
+    for day in ("2024-02-01", "2024-02-02"):  # the second delivery adds nothing
+        landing.land_json(spark, str(tmp_path / "in"), "a bigint, x double", str(tmp_path / "out"), day)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(str((r.a, r.x)) for r in got) == sorted(["(1, -0.0)"] * 5 + ["(1, 0.0)", "(None, None)"] + ["(2, 1.5)"] * 2)
+    assert len({r.record_key for r in got}) == 9
+
+
+def test_rows_without_copies_are_not_shuffled_on_landing(spark, tmp_path):
+    one = spark.createDataFrame([("a", 1), ("b", 2)], "record_key string, n int")
+    assert "Exchange" not in landing._once(one)._jdf.queryExecution().executedPlan().toString()
+    more = one.unionByName(one.filter("n = 2")).unionByName(spark.createDataFrame([(None, 3)] * 2, one.schema))
+    assert sorted(r.n for r in landing._once(more).collect()) == [1, 2, 3]
