@@ -22,7 +22,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from tillwarden import reference as ref
 from tillwarden.functions import keys as K
 from tillwarden.operators import audit, conform, rules, sequence, totals
-from tillwarden.schemas import CHILDREN, RECORD_KEYS
+from tillwarden.schemas import RECORD_KEYS
 from tillwarden.sources import canonical, landing, rtlog as R
 
 
@@ -61,8 +61,7 @@ def run(
     records = good.select(*RECORD_KEYS, "record_key", *R.PARTITION)
     facts = rules.nested_facts(records, stores)
     hits = rules.run_rules(facts, rule_list).unionByName(audit.duplicate_hits(flat_heads))
-    typed = {child: audit.typed_children(records, child) for child in CHILDREN}
-    hits = hits.unionByName(audit.audit_sets(flat_heads, typed, ref.products(spark), ref.promotions(spark)))
+    hits = hits.unionByName(audit.nested_sets(records, ref.products(spark), ref.promotions(spark)))
     children = {name: df for name, df in tables.items() if name != "sa_tran_head"}
     first = children | {
         "sa_error": audit.build_sa_error(hits, updated),
