@@ -134,3 +134,23 @@ def test_long_gaps_are_intervals_and_are_written_out_by_many_tasks(spark, monkey
     monkeypatch.setattr(sequence, "SPAN", 49)
     rows = sequence.missing_numbers(df.filter("k = 'b'"), ["k"], "n", exclude_numbers=())
     assert sorted(r.n for r in rows.collect()) == [1, 2, *range(4, 4100)]
+
+
+def test_rows_are_shuffled_once_for_join_and_window(spark):
+    rows = [(g, n) for g in ("a", None) for n in range(50)] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, n long").repartition(3)
+    with_no = spread.with_row_number(df, ["g"], [F.col("n")], F.floor(F.col("n") / 8))
+    lagged = spread.with_previous(df, ["g"], ["n"], F.floor(F.col("n") / 8), F.col("n"), "p")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (with_no, lagged):
+            plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+            # the rows once, the buckets once or twice
+            assert plan.count("Exchange hashpartitioning") <= 4, plan
+        got = {(r.g, r.n): r.row_no for r in with_no.select("*").collect()}
+        before = {(r.g, r.n): r.p for r in lagged.select("*").collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == 101 and got[("a", None)] == 1 and got[("a", 0)] == 2 and got[(None, 49)] == 50
+    assert before[("a", 0)] is None and before[(None, 0)] is None
+    assert all(before[(g, n)] == n - 1 for g in ("a", None) for n in range(1, 50))
