@@ -70,6 +70,21 @@ def test_words_of_letters_that_are_written_as_letter_and_mark():
         assert np.frombuffer(ids, dtype="<u2").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_known_words_before_marks_are_not_encoded_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        mine = R.WordEncoder(f.read())
+    learnt, plain = [], mine._learn_whole
+    monkeypatch.setattr(mine, "_learn_whole", lambda words, found: (learnt.extend(words), plain(words, found)))
+    for texts in (["Haus über"], ["Haus.### Haus,  über***\nHaus.###", "", "Haus's über'. a1. x." + "y" * 99, "Haus"]):
+        for text, ids in zip(texts, mine.encode(texts), strict=True):
+            assert np.frombuffer(ids, dtype="<u2").tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert sorted(learnt) == sorted(["Haus", "über", ".###", ",", "***", "Haus's", "über'.", "a1."])
+
+
 def test_damage_is_found():
     data = R.frame(4, np.arange(3, dtype="<u2").tobytes(), 2) + b"\n"
     length, doc_id, ids = R.unframe(data, 0)

@@ -24,6 +24,7 @@ further columns are ignored.  A text of any length is one record.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import unicodedata
@@ -33,9 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tillwarden.llm.shared import WordStore, parts_for, slices, texts, total_bytes
+from tillwarden.llm.shared import WordStore, kept, parts_for, slices, texts, total_bytes
 
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
@@ -86,13 +88,14 @@ class WordEncoder:
     KNOWN = 250_000  # words in a generation of the store
     LONG = 80  # longer words are encoded each time
     SEPARATOR = "\x01"
-    ENDS = ".,;:!?"
+    ENDS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks; the pre-tokenizer has forms of its own for an apostrophe
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.store: WordStore[bytes] = WordStore(self.KNOWN)
         one = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
@@ -100,7 +103,7 @@ class WordEncoder:
         # whether ASCII letters are only lower-cased before they reach the model
         self.direct = all(self._direct(w) == self._one(w) for w in ("a", "Word", "THE", "dont", "ILL", "xyzzyQ"))
         vocabulary = self.tokenizer.get_vocab()
-        suffix = self.tokenizer.model.end_of_word_suffix
+        suffix = self.model.end_of_word_suffix
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         if suffix:
             self.ends_word[[i for entry, i in vocabulary.items() if entry.endswith(suffix)]] = True
@@ -109,33 +112,44 @@ class WordEncoder:
         return array("H" if self.width == 2 else "I", ids).tobytes()
 
     def _direct(self, word: str) -> bytes:
-        return self._packed([token.id for token in self.tokenizer.model.tokenize(word.lower())])
+        return self._packed([token.id for token in self.model.tokenize(word.lower())])
 
     def _one(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _is_marked(self, word: str) -> bool:
-        """Whether a word is letters and one end mark, and stays so when normalised.
+    def _stem(self, word: str) -> str:
+        """The letters of a word that is letters and a run of end marks, and stays so when normalised; else nothing.
 
         The pre-tokenizer parts letters from marks.  Some letters are written as a letter and a mark by the normaliser
         (composed forms that it takes apart, a dotted capital I), and such a mark joins an end mark.
         """
-        if word[-1:] not in self.ENDS or not word[:-1].isalpha():
-            return False
-        return word.isascii() or unicodedata.normalize("NFC", word[:-1]).lower().isalpha()
+        stem = word.rstrip(self.ENDS)
+        if len(stem) == len(word) or not stem.isalpha():
+            return ""
+        return stem if stem.isascii() or unicodedata.normalize("NFC", stem).lower().isalpha() else ""
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of new words; a word of letters and one end mark is put together from the two."""
+        """Ids of new words; a word of letters and end marks is put together from the two."""
         found = {"": b""}
-        marked = [w for w in words if self._is_marked(w)]
-        bare = {w[:-1] for w in marked}.union(w[-1] for w in marked)
-        wanted = bare.union(words).difference(marked)
-        wanted.discard("")
-        known = {w: self.store.new[w] for w in bare if w in self.store.new}
-        self._learn_whole(sorted(wanted.difference(known)), found)
-        found.update(known)
-        for w in marked:
-            found[w] = found[w[:-1]] + found[w[-1]]
+        marked, parts, wanted = [], set(), []
+        for word in words:
+            stem = "" if word.isalpha() else self._stem(word)
+            if stem:
+                end = word[len(stem) :]
+                marked.append((word, stem, end))
+                parts.add(stem)
+                parts.add(end)
+            else:
+                wanted.append(word)
+        for part in parts:
+            known = self.store.get(part)
+            if known is None:
+                wanted.append(part)
+            else:
+                found[part] = known
+        self._learn_whole(list(set(wanted).difference(found)), found)
+        for word, stem, end in marked:
+            found[word] = found[stem] + found[end]
         return found
 
     def _learn_whole(self, words: list[str], found: dict[str, bytes]) -> None:
@@ -145,14 +159,24 @@ class WordEncoder:
         letters when normalised are one word each to the pre-tokenizer, so the last token of each is one that ends
         a word; they are encoded many in a row.  All others are parted by a separator.
         """
-        letters, others = [], []
+        plain, letters, others = [], [], []
         for word in words:
-            if self.direct and word.isascii() and word.isalpha():
-                found[word] = self._direct(word)
-            elif word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha():
+            if not word.isalpha():
+                others.append(word)
+            elif word.isascii():
+                (plain if self.direct else letters).append(word)
+            elif unicodedata.normalize("NFC", word).lower().isalpha():
                 letters.append(word)
             else:
                 others.append(word)
+        ids, ends, tokenize = [], [], self.model.tokenize
+        for word in plain:
+            ids += [token.id for token in tokenize(word.lower())]
+            ends.append(len(ids) * self.width)
+        packed, start = self._packed(ids), 0
+        for word, end in zip(plain, ends, strict=True):
+            found[word] = packed[start:end]
+            start = end
         for group in (letters[i : i + 500] for i in range(0, len(letters), 500)):
             (encoded,) = self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)
             ids = np.asarray(encoded.ids, dtype=f"<u{self.width}")
@@ -177,28 +201,34 @@ class WordEncoder:
         for word, start, end in zip(group, (starts * self.width).tolist(), (ends * self.width).tolist(), strict=True):
             found[word] = packed[start:end]
 
-    def encode(self, batch: list[str]) -> Iterator[bytes]:
-        """Packed ids of each text."""
-        cut = [text.replace("\n", " ").split(" ") for text in batch]
-        words = set().union(*cut)
-        long = {w for w in words if len(w) > self.LONG}
-        known = self.store.ready(words - long, self._learn)
-        for text in cut:
-            if long and not long.isdisjoint(text):
-                yield b"".join(self._one(w) if w in long else known[w] for w in text)
-            else:
-                yield b"".join(map(known.__getitem__, text))
-
+    def encode(self, batch: pa.Array | list[str]) -> Iterator[bytes]:
+        """Packed ids of each text.
 
-_ENCODERS: dict[int, WordEncoder] = {}
+        Arrow cuts the texts and tells equal words apart; ids of distinct words are looked up, and numpy lays them out.
+        """
+        column = batch if isinstance(batch, pa.Array) else pa.array(batch, pa.string())
+        cut = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        ends = (cut.offsets.to_numpy() - cut.offsets[0].as_py()).tolist()
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        long = {w for w in words if len(w) > self.LONG}
+        known = self.store.ready(set(words).difference(long), self._learn)
+        packed = [self._one(w) if w in long else known[w] for w in words] if long else [known[w] for w in words]
+        sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        word_ids = np.frombuffer(b"".join(packed), dtype=f"<u{self.width}")
+        places = coded.indices.to_numpy()
+        lengths = sizes[places]
+        bounds = np.concatenate(([0], np.cumsum(lengths)))
+        ids = word_ids[np.repeat(starts[places] - bounds[:-1], lengths) + np.arange(bounds[-1])].tobytes()
+        cuts = (bounds[ends] * self.width).tolist()
+        for first, last in itertools.pairwise(cuts):
+            yield ids[first:last]
 
 
 def encoder(tokenizer_json: str) -> WordEncoder:
     """One per Python worker, kept between tasks."""
-    key = hash(tokenizer_json)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(tokenizer_json)
-    return _ENCODERS[key]
+    return kept("token_records", hash(tokenizer_json), lambda: WordEncoder(tokenizer_json))
 
 
 def write_records(
@@ -224,7 +254,7 @@ def write_records(
         for whole in batches:
             for batch in slices(whole, SLICE):
                 doc_ids = batch.column(0).to_pylist()
-                all_ids = enc.encode(batch.column(1).to_pylist())
+                all_ids = enc.encode(batch.column(1))
                 out = [frame(doc_id, ids + end, enc.width) for doc_id, ids in zip(doc_ids, all_ids, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
