@@ -111,3 +111,21 @@ def test_different_texts_of_one_id_are_different_documents(spark):
     texts = sorted((r.doc_id or 0, r.text or "none" if r.text is None else r.text) for r in out if r.doc_id != 9)
     assert texts == sorted([(0, a), (2, b), (7, a), (7, ""), (7, "none")])
     assert len([r for r in out if r.doc_id == 9]) == 1
+
+
+def test_a_worker_keeps_the_store_of_one_operator():
+    import gc
+    import weakref
+
+    from tillwarden.llm import merge_dropout, shared, token_records
+
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    gone = weakref.ref(merge_dropout.encoder(model, 0.1, 1))
+    assert merge_dropout.encoder(model, 0.1, 1) is gone()
+    with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = weakref.ref(token_records.encoder(f.read()))
+    gc.collect()
+    assert gone() is None and words() is not None
+    shared.release()
+    assert words() is None

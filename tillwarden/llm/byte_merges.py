@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tillwarden.llm.shared import WordStore, texts
+from tillwarden.llm.shared import WordStore, kept, texts
 
 LONG = 64  # bytes of a word that the query takes
 QUERY_WORDS = 65_536  # in one query
@@ -253,15 +253,10 @@ class RankEncoder:
         return out
 
 
-_ENCODERS: dict[tuple, RankEncoder] = {}
-
-
 def encoder(rank_file: bytes, pattern: str) -> RankEncoder:
     """One per Python worker and vocabulary, kept between tasks."""
     key = (zlib.crc32(rank_file), len(rank_file), pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = RankEncoder(rank_file, pattern)
-    return _ENCODERS[key]
+    return kept("byte_merges", key, lambda: RankEncoder(rank_file, pattern))
 
 
 def _ranks(df: DataFrame, path: str):

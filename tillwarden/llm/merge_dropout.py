@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillwarden.llm.shared import slices, texts
+from tillwarden.llm.shared import kept, slices, texts
 from tillwarden.llm.wordhash import mix
 
 U = np.uint64
@@ -410,15 +410,10 @@ class DropoutEncoder:
         return b"".join(map(surface.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
-_ENCODERS: dict[tuple, DropoutEncoder] = {}
-
-
 def encoder(model: bytes, dropout: float, seed: int) -> DropoutEncoder:
     """One per Python worker and setting, kept between tasks."""
     key = (zlib.crc32(model), dropout, seed)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = DropoutEncoder(model, dropout, seed)
-    return _ENCODERS[key]
+    return kept("merge_dropout", key, lambda: DropoutEncoder(model, dropout, seed))
 
 
 def _model(docs: DataFrame, path: str):

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwarden.llm import wordhash
 from tillwarden.llm.components import components, joined_components
-from tillwarden.llm.shared import texts, written
+from tillwarden.llm.shared import release, texts, written
 
 U = np.uint64
 GROUPS = 8  # m: groups in a collection
@@ -102,6 +102,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     """Set size, set digest, sketch and the two collections of group hashes per document."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             sets = list(shingle_sets(batch.column(1).to_pylist(), k))
             sizes = [len(s) for s in sets]
@@ -205,6 +206,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     )
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         centre, centre_set = None, None
         for batch in batches:
             keep = []
