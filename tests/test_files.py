@@ -356,3 +356,11 @@ def test_rows_without_copies_are_not_shuffled_on_landing(spark, tmp_path):
     assert "Exchange" not in landing._once(one)._jdf.queryExecution().executedPlan().toString()
     more = one.unionByName(one.filter("n = 2")).unionByName(spark.createDataFrame([(None, 3)] * 2, one.schema))
     assert sorted(r.n for r in landing._once(more).collect()) == [1, 2, 3]
+
+
+def test_lines_of_lz4_files_are_read_and_counted(spark, tmp_path):
+    packed = str(tmp_path / "lz4")
+    R.write_rtlog(frame(spark, some_records()), packed, compression="lz4")
+    assert {f.name.split(".", 1)[1] for f in (tmp_path / "lz4").rglob("part-*")} == {"c000.json.lz4"}
+    n = len(some_records())
+    assert R.count_lines(spark, packed).first().n_lines == n == R.read_rtlog(spark, packed).filter("_corrupt is null").count()
