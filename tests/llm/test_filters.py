@@ -184,6 +184,14 @@ def test_quality_is_learned_from_labels_not_held_out(spark, odd):
     assert Q.scored(docs.limit(1), one).first().score > 0.99
 
 
+def test_filter_on_the_score_does_not_copy_the_figures_into_its_rules(odd):
+    rules = tuple(((("words", ">", float(n)),), 0.001 * n) for n in range(20))
+    kept = Q.scored(odd, Q.RuleModel(-0.05, rules), "s").filter("s >= 0.5").drop("s")
+    # words and lines are split once each at most, not once more for every rule in the filter
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2
+    assert sorted(r.doc_id for r in kept.collect()) == [5]
+
+
 # --- licences
 
 MIT = """MIT License

@@ -248,6 +248,8 @@ def scored(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFrame
     """The rows with their score; a column of that name is replaced."""
     # the row goes along as a struct, so that its columns may have any names
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != score]).alias("row")
-    return with_statistics(docs.select(row, F.col("text").cast("string").alias("text"))).select(
-        "row.*", model.score().alias(score)
+    figures = with_statistics(docs.select(row, F.col("text").cast("string").alias("text")))
+    # exploded: a filter on a plain column would be worked into its rules, each with the figures' expressions in full
+    return figures.select("row", F.explode(F.array(model.score())).alias("score")).select(
+        "row.*", F.col("score").alias(score)
     )
