@@ -301,6 +301,15 @@ def test_orphans_with_and_without_a_key(spark):
     assert sorted(r.line for r in both) == [1, 2]
 
 
+def test_orphans_read_a_child_once(spark):
+    head = spark.range(5).select(F.col("id").alias("tran_no"))
+    items = spark.range(77).selectExpr("id % 7 as tran_no", "cast(id % 7 as string) as record_key", "id as item_seq_no")
+    tender = spark.range(3).selectExpr("id as tran_no", "cast(id as string) as record_key", "id as tender_seq_no")
+    hits = audit.orphan_hits(head, {"tran_item": items, "tran_tender": tender}, key="tran_no")
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 77,") == 1
+    assert sorted(r.key_value_1 for r in hits.collect()) == [n for n in range(77) if n % 7 > 4]
+
+
 def test_flat_and_nested_facts_agree(spark):
     recs = clean_day() + [edit(f) for _, f in FAULTS] + [edit(many_faulty_lines)]
     for i, r in enumerate(recs):

@@ -61,7 +61,7 @@ def orphan_children(spark, sf):
         "tran_igtax": tax.igtax_lines(items, T.ORDER_KEYS),
     }
     keyed = {c: df.withColumn("record_key", F.col("tran_no").cast("string")) for c, df in children.items()}
-    hits = audit.orphan_hits(heads.select(F.col("tran_no").cast("string").alias("record_key")), keyed)
+    hits = audit.orphan_hits(heads, keyed, key="tran_no")
     return hits.select(
         F.col("record_key").cast("long").alias("tran_no"), "section", "key_value_1", "key_value_2"
     )
