@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from records import frame, record
+from tillwarden.plans.catalog import streams
 from tillwarden.streaming import late, windows
 
 
@@ -62,3 +63,19 @@ def test_nothing_late_and_rows_without_a_time(spark, tmp_path):
     lost = heads(spark, [at(10, 9, 2)]).withColumn("event_ts", F.lit(None).cast("timestamp"))
     late.late_batch(lost, path, 1)
     assert [r.tran_no for r in late.late_rows(spark, path).collect()] == [2]
+
+
+def test_deliveries_read_the_log_once(spark, monkeypatch):
+    log = frame(spark, [at(day, 9, day) for day in (1, 2, 4, 11)])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(streams.T, "till_log", lambda spark, sf: log.mapInArrow(counted, log.schema))
+    path, _ = streams._late_tables(spark, "unused")
+    assert seen.value == 4
+    # days 1 and 11 come with delivery 3, day 2 with 6 and day 4 with 2: 1 and 2 are late by the clocks of 4 and 11
+    assert sorted(r.tran_no for r in late.late_rows(spark, path).collect()) == [1, 2]

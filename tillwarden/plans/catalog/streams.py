@@ -143,9 +143,13 @@ _LATE_SQL = """
 def _late_tables(spark, sf):
     """The deliveries one after the other through a stream, which is started again for each."""
     source, path, cp = work_dir(spark, "deliveries"), work_dir(spark, "late"), work_dir(spark, "cp")
+    parted = work_dir(spark, "parted")
     log = T.till_log(spark, sf)
     delivery = F.day("tran_head.business_date") * 3 % _DELIVERIES
     events = log.select("tran_head.*", delivery.alias("delivery"))
+    # the log is read once for all deliveries: each of them then takes its own folder
+    events.write.partitionBy("delivery").parquet(parted)
+    events = spark.read.schema(events.schema).parquet(parted)
     for n in range(_DELIVERIES):
         events.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(source)
         heads = spark.readStream.schema(events.drop("delivery").schema).parquet(source)
