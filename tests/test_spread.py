@@ -121,6 +121,36 @@ def test_revisions(spark):
     assert [(r.k, r.s) for r in state] == [(1, "B")]
 
 
+def test_short_histories_are_shuffled_once_and_long_ones_bucketed(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(k, n, rng.choice(["A", "B", None])) for k in ("x", "y", None) for n in range(40)] + [("long", n, "AB"[n // 3 % 2]) for n in range(400)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, n long, s string").repartition(3)
+
+    def revisions():
+        return sequence.head_revisions(df, ["k"], ["n"], F.floor(F.col("n") / 8), ["s"])
+
+    want = {}
+    for key in ("x", "y", None, "long"):
+        own, before = sorted((n, s) for k, n, s in rows if k == key), ()
+        for n, s in own:
+            if (s,) != before:
+                want[key, n] = (s, sum(k == key for k, _ in want))
+            before = (s,)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = revisions()._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+        assert {(r.k, r.n): (r.s, r.rev_no) for r in revisions().collect()} == want
+        monkeypatch.setattr(spread, "SLOTS", 64)
+        monkeypatch.setattr(spread, "GROUP_ROWS", 150)
+        few, many = spread.split_by_size(df, ["k"])
+        assert many.filter("k = 'long'").count() == 400 and few.count() + many.count() == len(rows)
+        assert {(r.k, r.n): (r.s, r.rev_no) for r in revisions().collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_long_gaps_are_intervals_and_are_written_out_by_many_tasks(spark, monkeypatch):
     top = 20_000_002
     df = spark.createDataFrame([("a", 1), ("a", top), ("b", 3), ("b", 3), ("b", 4100), (None, 2)], "k string, n long")
