@@ -23,9 +23,16 @@ from tillwarden import reference as ref
 from tillwarden.functions import keys as K
 from tillwarden.operators import audit, conform, rules, sequence, totals
 from tillwarden.schemas import RECORD_KEYS
+from tillwarden.session import dropping_shuffles, work_dir
 from tillwarden.sources import canonical, landing, rtlog as R
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run(
     spark: SparkSession,
     landing_path: str,
@@ -34,6 +41,19 @@ def run(
     rule_list: list[rules.Rule] | None = None,
     updated: Column | None = None,
     ingest_date: str | None = None,
+) -> None:
+    with dropping_shuffles(spark):
+        _run(spark, landing_path, base, stores, rule_list, updated, ingest_date)
+
+
+def _run(
+    spark: SparkSession,
+    landing_path: str,
+    base: str,
+    stores: DataFrame,
+    rule_list: list[rules.Rule] | None,
+    updated: Column | None,
+    ingest_date: str | None,
 ) -> None:
     # the date of the run is fixed once, so that a run over midnight stays one ingestion
     ingest_date = ingest_date or datetime.now(UTC).date().isoformat()
@@ -44,7 +64,10 @@ def run(
     schema = StructType(keyed.schema.fields + [StructField("ingest_date", DateType())])
     kept = spark.read.schema(schema).parquet(bronze)
     store_day = [F.col("tran_head.store").alias("_store"), F.col("tran_head.business_date").alias("_date")]
-    touched = kept.filter(F.col("ingest_date") == F.lit(ingest_date).cast("date")).select(*store_day).distinct()
+    # store-days are written down: Catalyst sees how few they are, and records need no shuffle to meet them
+    touched = _written(
+        kept.filter(F.col("ingest_date") == F.lit(ingest_date).cast("date")).select(*store_day).distinct(), "touched-days"
+    )
     same_day = F.col("tran_head.store").eqNullSafe(F.col("_store")) & F.col("tran_head.business_date").eqNullSafe(
         F.col("_date")
     )
@@ -77,7 +100,10 @@ def run(
         # with its schema: a delivery without discounts or additive taxes writes no rows
         return canonical.read_canonical(spark, base, name, first[name].schema)
 
-    days = tables["sa_tran_head"].select(F.col("store").alias("_store"), F.col("business_date").alias("_date")).distinct()
+    heads = tables["sa_tran_head"]
+    days = _written(
+        heads.select(F.col("store").alias("_store"), F.col("business_date").alias("_date")).distinct(), "rebuilt-days"
+    )
 
     def rebuilt(df: DataFrame) -> DataFrame:
         """Rows of the store-days of this run."""
@@ -88,9 +114,9 @@ def run(
     errors = rebuilt(back("sa_error")).select(
         "record_key", "error_code", "store_override_ind", "hq_override_ind"
     )
-    head = audit.advance_status(tables["sa_tran_head"], errors, ref.error_codes(spark))
+    head = audit.advance_status(heads, errors, ref.error_codes(spark))
     sums = totals.calc_totals(
-        tables["sa_tran_head"],
+        heads,
         *[
             rebuilt(back(f"sa_tran_{child}"))
             for child in ("tender", "tax", "igtax", "disc")

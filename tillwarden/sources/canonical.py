@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from tillwarden.functions import keys as K
 from tillwarden.jobs import run_together
 from tillwarden.schemas import PARTITION_COLUMNS
 
@@ -16,18 +17,20 @@ def write_table(df: DataFrame, path: str, append: bool = False) -> None:
     """Write one table, replacing the store-days it touches (or all of it if it has none).
 
     Rows are rebalanced by store and date: small store-days share a task, a very
-    large one is split over tasks and files.
+    large one is split over tasks and files.  Record keys are packed on the way.
     """
     mode = "append" if append else "overwrite"
     if not set(PARTITION_COLUMNS) <= set(df.columns):
-        df.write.mode(mode).parquet(path)
+        df.write.mode(mode).parquet(path, compression="zstd")
         return
+    keyed = ["record_key"] if dict(df.dtypes).get("record_key") == "string" else []
+    packed = df.withColumns({c: K.packed(c) for c in keyed}).hint("rebalance", *[F.col(c) for c in PARTITION_COLUMNS])
     (
-        df.hint("rebalance", *[F.col(c) for c in PARTITION_COLUMNS])
+        packed.withColumns({c: K.unpacked(c) for c in keyed})
         .write.partitionBy(*PARTITION_COLUMNS)
         .option("partitionOverwriteMode", "dynamic")
         .mode(mode)
-        .parquet(path)
+        .parquet(path, compression="zstd")
     )
 
 

@@ -46,7 +46,7 @@ def _append(new: DataFrame, path: str, ingest_date: Column | str | None) -> None
     known = _existing_keys(new.sparkSession, path)
     if known is not None:
         new = new.join(known, "record_key", "left_anti")
-    new.withColumn("ingest_date", day).write.mode("append").partitionBy("ingest_date").parquet(path)
+    new.withColumn("ingest_date", day).write.mode("append").partitionBy("ingest_date").parquet(path, compression="zstd")
 
 
 def land_bronze(df: DataFrame, path: str, ingest_date: Column | str | None = None) -> None:
